@@ -52,9 +52,10 @@ class MergeTable:
         vocab = model["vocab"]
         self.special = [t["content"] for t in described["added_tokens"]]
         self.symbols = max(vocab.values()) + 1
-        self.of_byte = np.zeros(256, np.int64)
+        ending = model["end_of_word_suffix"] or ""
+        self.of_byte, self.of_last = np.zeros(256, np.int64), np.zeros(256, np.int64)
         for letter, byte in byte_letters().items():
-            self.of_byte[byte] = vocab[letter]
+            self.of_byte[byte], self.of_last[byte] = vocab[letter], vocab[letter + ending]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([vocab[a] * self.symbols + vocab[b] for a, b in pairs], np.int64)
         self.bits = int(len(pairs) * 5).bit_length()
@@ -81,13 +82,16 @@ class MergeTable:
             wrong = wrong[(seen != keys[wrong]) & (seen >= 0)]
         return slot
 
-    def count(self, pieces: list[bytes]) -> np.ndarray:
-        """The number of symbols of each piece after all merges."""
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all pieces after all merges, piece after piece, and the number of each piece's."""
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        left = lengths.copy()
-        symbol = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        symbol = self.of_byte[data]
+        last = np.cumsum(lengths)[lengths > 0] - 1
+        symbol[last] = self.of_last[data[last]]
         owner = np.repeat(np.arange(len(pieces)), lengths)
-        while len(symbol) > 1:
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbol):
             slot = self.find(symbol[:-1] * self.symbols + symbol[1:])
             rank = np.where(owner[:-1] == owner[1:], self.rank[slot], NO_RANK)
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
@@ -96,15 +100,19 @@ class MergeTable:
             chosen = (rank == np.repeat(low, size)[:-1]) & (rank < NO_RANK)
             # In a run such as "aaa" the places overlap: every second one merges, from the left.
             place = np.arange(len(chosen))
-            since = place - np.maximum.accumulate(np.where(chosen, -1, place))
+            since = place - np.maximum.accumulate(np.where(chosen, -1, place)) if len(place) else place
             chosen &= since % 2 == 1
             at = np.flatnonzero(chosen)
             symbol[at] = self.result[slot[at]]
-            keep = np.repeat(low < NO_RANK, size)
+            ended = np.repeat(low == NO_RANK, size)
+            done.append((symbol[ended], owner[ended]))
+            keep = ~ended
             keep[at + 1] = False
-            left -= np.bincount(owner[at], minlength=len(left))
             symbol, owner = symbol[keep], owner[keep]
-        return left
+        if not done:
+            return symbol, lengths
+        symbol, owner = (np.concatenate(x) for x in zip(*done, strict=True))
+        return symbol[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(pieces))
 
 
 class TokenCounter:
@@ -128,7 +136,7 @@ class TokenCounter:
         for i, piece in enumerate([*new, None]):
             if piece is None or size > MERGED_BYTES:
                 part = new[begin:i]
-                self.of_piece.update(zip(part, self.table.count([p.encode() for p in part]).tolist(), strict=True))
+                self.of_piece.update(zip(part, self.table.merge([p.encode() for p in part])[1].tolist(), strict=True))
                 begin, size = i, 0
             size += len(piece or "")
         piece_count = self.of_piece

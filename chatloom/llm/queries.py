@@ -8,7 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm.bpe_counts import token_counts
+from chatloom.llm.mixing import mix_sources
+from chatloom.llm.packing import packed_documents
+from chatloom.llm.quality import quality_scores
 from chatloom.llm.tables import read
+from chatloom.llm.topk import top_k
+from chatloom.llm.toxicity import toxicity_scores
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(read(spark, sf_dir, "documents"), max_epochs=3, cycle=(5, 2, 1))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64.0)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +42,25 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_token_counts": op8_token_counts}
+    found = (op2_mix_sources, op3_best_fit_packing, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts)
+    return {f.__name__: f for f in found}
+
+
+#: The 20 best by integer product, ties to the smaller id.
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and list_count(embedding) = len(embedding) and len(list_filter(embedding, x -> isnan(x) or isinf(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
+), r as (
+  select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score from s
+)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_top_k": TOP_K_SQL}

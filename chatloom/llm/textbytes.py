@@ -94,14 +94,14 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def words(texts: list[bytes], lower: bool = True, hashes: bool = True) -> Iterator[Words]:
-    """The words of all texts, block by block. lower: A-Z become a-z first."""
+def words(texts: list[bytes], lower: bool = True, hashes: bool = True, outside: np.ndarray = SPACE) -> Iterator[Words]:
+    """The words of all texts, block by block. lower: A-Z become a-z first. outside: the bytes between words."""
     for first, last in blocks(texts):
         buffer = b"\n".join(texts[first:last]) + b"\n"
         data = np.frombuffer(buffer.lower() if lower else buffer, np.uint8)
         lengths = np.fromiter(map(len, texts[first:last]), np.int64, last - first) + 1
         text_at = np.concatenate([[0], np.cumsum(lengths)])
-        space = SPACE[data]
+        space = outside[data]
         flips = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             flips = np.concatenate([[0], flips])
