@@ -8,14 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm.bpe_counts import token_counts
+from chatloom.llm.html_text import extract
 from chatloom.llm.mixing import mix_sources
 from chatloom.llm.packing import packed_documents
 from chatloom.llm.quality import quality_scores
+from chatloom.llm.quality_rules import quality_rules
 from chatloom.llm.tables import read
 from chatloom.llm.topk import top_k
 from chatloom.llm.toxicity import toxicity_scores
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(read(spark, sf_dir, "documents"), max_epochs=3, cycle=(5, 2, 1))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -41,8 +47,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_mix_sources, op3_best_fit_packing, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts)
+    found = (op1_html_text, op2_mix_sources, op3_best_fit_packing, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
