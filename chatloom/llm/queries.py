@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm.bpe_counts import token_counts
 from chatloom.llm.html_text import extract
+from chatloom.llm.jaccard import link_components
 from chatloom.llm.mixing import mix_sources
 from chatloom.llm.packing import packed_documents
 from chatloom.llm.quality import quality_scores
@@ -31,6 +32,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(read(spark, sf_dir, "documents"), width=5, percent=75)
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64.0)
 
@@ -52,16 +57,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_html_text, op2_mix_sources, op3_best_fit_packing, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts, op10_quality_rules)
+    found = (op1_html_text, op2_mix_sources, op3_best_fit_packing, op4_ngram_jaccard, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
 #: The 20 best by integer product, ties to the smaller id.
 TOP_K_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as e from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
   where vec_id is not null and embedding is not null
-    and list_count(embedding) = len(embedding) and len(list_filter(embedding, x -> isnan(x) or isinf(x))) = 0
+    and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: isnan(x) or isinf(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
   from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
