@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chatloom.llm.bpe_counts import token_counts
 from chatloom.llm.html_text import extract
 from chatloom.llm.jaccard import link_components
+from chatloom.llm.maxent import language_scores
 from chatloom.llm.mixing import mix_sources
 from chatloom.llm.packing import packed_documents
 from chatloom.llm.quality import quality_scores
@@ -52,12 +53,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_html_text, op2_mix_sources, op3_best_fit_packing, op4_ngram_jaccard, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts, op10_quality_rules)
+    found = (op1_html_text, op2_mix_sources, op3_best_fit_packing, op4_ngram_jaccard, op5_exact_top_k, op6_quality_classifier, op7_toxicity, op8_token_counts, op9_language_model, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
