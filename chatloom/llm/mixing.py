@@ -34,7 +34,7 @@ def sizes(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id"
             size = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(size.astype(np.int64))], [*keys, "size"])
 
-    return docs.select(*keys, text).mapInArrow(count, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", size long")
+    return docs.select(*keys, *(() if text in keys else (text,))).mapInArrow(count, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", size long")
 
 
 def water_fill(totals: DataFrame, max_epochs: int, cycle: tuple[int, ...]) -> DataFrame:
@@ -64,14 +64,21 @@ def _digit(column: str, level: int) -> Column:
     return F.pmod(F.shiftrightunsigned(F.col(column), 10 * level), F.lit(DIGITS)).cast("int")
 
 
-def taken(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+def taken(sized: DataFrame, targets: DataFrame, seed: int, rows: DataFrame | None = None) -> DataFrame:
     """Adds source_size, target, repeats (whole repetitions), part (words of one more) and taken (words) to rows with source, size and a doc_id.
 
-    Rows of equal hash and size are alike, so their order doesn't matter for the sums; reruns agree for
+    rows: the same rows with more columns, which then get what sized tells; only one row for each source meets them, so
+    they aren't shuffled. Rows of equal hash and size are alike, so their order doesn't matter for the sums; reruns agree for
     the same rows and seed.
     """
-    base = sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    base = base.withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("size"))).withColumn("_d1", _digit("_h", 0)).withColumn("_d2", _digit("_h", 1))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """Each row with its source's target, its hash and the hash's digits."""
+        joined = rows.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+        return joined.withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("size"))).withColumn("_d1", _digit("_h", 0)).withColumn("_d2", _digit("_h", 1))
+
+    base = placed(sized)
+    rows = sized if rows is None else rows
     mine = F.struct("_h", F.col("doc_id").isNotNull().alias("_some"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
     whole = F.floor("rate").cast("long")
     quota = (F.col("rate") - F.floor("rate")) * F.col("source_size")
@@ -93,7 +100,8 @@ def taken(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     last = last.groupBy("source").agg(F.min(F.struct(mine.alias("_row"), F.round(F.col("_left") - (F.col("_to") - F.col("size"))).cast("long").alias("_part"))).alias("_last"))
     last = written(last.withColumnRenamed("source", "_s3"))
     marked = (
-        base.join(first.drop("_left").withColumnRenamed("_s", "_s1"), F.col("source").eqNullSafe(F.col("_s1")), "left")
+        placed(rows)
+        .join(first.drop("_left").withColumnRenamed("_s", "_s1"), F.col("source").eqNullSafe(F.col("_s1")), "left")
         .join(second.drop("_left").withColumnRenamed("_s", "_s2"), F.col("source").eqNullSafe(F.col("_s2")), "left")
         .join(last, F.col("source").eqNullSafe(F.col("_s3")), "left")
     )
@@ -106,7 +114,7 @@ def taken(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     )
     part = F.when(F.col("_d1").eqNullSafe(F.col("_d1_cut")) & F.col("_d2").eqNullSafe(F.col("_d2_cut")) & mine.eqNullSafe(F.col("_last._row")), F.least(F.greatest("_last._part", F.lit(0)), F.col("size")))
     repeats, part = whole + F.when(under, 1).otherwise(0), F.coalesce(part, F.lit(0)).cast("long")
-    return marked.withColumn("repeats", repeats).withColumn("part", part).select(*sized.columns, "source_size", "target", "repeats", "part", (F.col("repeats") * F.col("size") + F.col("part")).alias("taken"))
+    return marked.withColumn("repeats", repeats).withColumn("part", part).select(*rows.columns, "source_size", "target", "repeats", "part", (F.col("repeats") * F.col("size") + F.col("part")).alias("taken"))
 
 
 def mix_sources(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (5, 2, 1), seed: int = 20240501) -> DataFrame:
@@ -116,5 +124,28 @@ def mix_sources(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (
     are rows of their own; an empty table gives none. Sources without words have target 0. Other columns are not read.
     """
     sized = written(sizes(docs))
-    targets = water_fill(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs, cycle)
-    return taken(sized, written(targets), seed)
+    return taken(sized, source_targets(sized, max_epochs, cycle), seed)
+
+
+def source_targets(sized: DataFrame, max_epochs: int, cycle: tuple[int, ...]) -> DataFrame:
+    return written(water_fill(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs, cycle))
+
+
+def mixed_documents(docs: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] = (5, 2, 1), seed: int = 20240501) -> DataFrame:
+    """The mix itself: rows of docs (doc_id, source, text, n_chars among the columns), each as often as it is taken.
+
+    The document on which a source's fraction ends also gives a row with its first words, whose n_chars is its own.
+    Documents without words are kept once. Edge cases are those of mix_sources.
+    """
+    sized = written(sizes(docs))
+    whole = sizes(docs, keys=tuple(docs.columns))
+    marked = taken(sized, source_targets(sized, max_epochs, cycle), seed, whole)
+    first_words = F.array_join(F.slice(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), F.col("part").cast("int")), " ")
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("repeats")).cast("int")
+    ends = F.array_compact(F.array(F.when(F.col("part") > 0, F.lit(True))))
+    copies = marked.withColumn("_cut", F.explode(F.concat(F.array_repeat(F.lit(False), times), ends)))
+    text = F.when(F.col("_cut"), first_words).otherwise(F.col("text"))
+    out = copies.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
