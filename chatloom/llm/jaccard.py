@@ -10,7 +10,7 @@ expanded into pairs:
    linked with a pivot form its cluster; each member's distance is known.
 3. Prefixes under one order (shingles that many documents share come last) are dealt by shingle. A shingle whose sets
    are all connected already gives nothing; else the pivots of its clusters are compared, after the other orders' filters
-   where a cluster is one set.
+   where a cluster is one set. Before texts are fetched, sizes and parity bits of the sets rule out most pairs.
 4. Jaccard distance is a metric: if two pivots are further apart than both radii and the threshold together, no
    members are linked. Only in between are members compared, first with the other pivot, then those that
    the triangle inequality leaves.
@@ -83,12 +83,27 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def parity_bits(value: np.ndarray) -> bytes:
+    """A bit for each residue of the shingles: whether their number is odd. About a bit a shingle, at least 64.
+
+    Where two sets' bits differ, at least one shingle is in one set only, so differing bits bound the difference from below.
+    """
+    size = max(64, 1 << max(len(value) - 1, 0).bit_length())
+    return np.packbits(np.bincount((value & _U(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Differing bits, after the longer one is folded to the length of the shorter."""
+    a, b = (np.frombuffer(v, np.uint64) for v in sorted((x, y), key=len))
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """For each document (named: false) its key, n, node (a hash of its set, null if empty) and first shingles; and shingles that are frequent in a batch (named: true) as node with n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, firsts, held = [], [], [], []
+            sizes, nodes, firsts, held, bits = [], [], [], [], []
             for _, _, value, at in shingle_sets(texts_of(batch, text), width):
                 n = np.diff(at)
                 some = n > 0
@@ -103,6 +118,7 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                 nodes.append(node)
                 firsts.append(first)
                 held.append(value)
+                bits += [parity_bits(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             if not sizes:
                 continue
             n, node, first = np.concatenate(sizes), np.concatenate(nodes).view(np.int64), np.concatenate(firsts).view(np.int64)
@@ -115,9 +131,9 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
             lists = pa.array([*first.tolist(), *[None] * len(many)], pa.list_(pa.int64()))
             keys = pa.concat_arrays([batch.column(0), pa.nulls(len(many), batch.column(0).type)])
             every = np.concatenate([node, values[edge[many]].view(np.int64)])
-            yield pa.RecordBatch.from_arrays([keys, pa.array(named), pa.array(np.concatenate([n, count[many]])), pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])), lists], [key, "named", "n", "node", "firsts"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(named), pa.array(np.concatenate([n, count[many]])), pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])), lists, pa.array([*bits, *[None] * len(many)], pa.binary())], [key, "named", "n", "node", "firsts", "bits"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, named boolean, n long, node long, firsts array<long>")
+    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, named boolean, n long, node long, firsts array<long>, bits binary")
 
 
 def linked(percent: int) -> Column:
@@ -128,13 +144,31 @@ def distance() -> Column:
     return 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
 
 
+def near_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs(a, b, slack) whose distance can be the threshold's plus slack, by their sizes and parity bits: a, b, exact (slack is above 0)."""
+    info = nodes.select("node", "n", "bits")
+    for side in ("a", "b"):
+        pairs = pairs.join(info.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    bound = 1 - percent / 100 + _EPS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb, slack = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 2))
+            differ = np.fromiter((least_difference(x, y) for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)), np.int64, len(na))
+            least = np.maximum(2 * differ / np.maximum(na + nb + differ, 1), 1 - np.minimum(na, nb) / np.maximum(np.maximum(na, nb), 1))
+            keep = pa.array(least <= bound + slack)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(slack > 0).filter(keep)], ["a", "b", "exact"])
+
+    return pairs.select("a", "b", "slack", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long, exact boolean")
+
+
 def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Adds na, nb and both (shared shingles) to pairs(a, b, exact): pivot a, node b.
+    """a, b, na, nb and both (shared shingles) of the pairs(a, b, slack) that can matter: pivot a, node b.
 
-    Pairs that aren't exact must first share a prefix under every order, else they are left out. Texts are fetched for
-    the nodes that occur only; a pivot with many pairs is dealt to several tasks.
+    Pairs whose sizes or parity bits put them beyond the threshold plus slack are left out, and those without slack whose prefixes don't
+    share a shingle under every order. Texts are fetched only for what is left; a pivot with many pairs is dealt to several tasks.
     """
-    pairs = written(pairs)
+    pairs = written(near_enough(pairs, nodes, percent))
     ids = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node").select("node", F.col("doc").alias("_doc")))
     wanted = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
     found = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(wanted, F.col("_key") == F.col("_doc"))
@@ -207,11 +241,14 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, ke
 def _shared_prefixes(docs: DataFrame, labels: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
     """shingle, pivot, component: of the shingles in prefixes of sets that aren't connected yet."""
     taken = prefixes(docs, width, percent, frequent, key, text)
-    named = labels.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), "pivot", "component")
-    rows = taken.join(named, (F.col(key) == F.col("_doc")) & (F.col("node") == F.col("_node"))).select(F.explode("shingles").alias("shingle"), "pivot", "component")
+    named = labels.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), "pivot")
+    named = F.broadcast(named) if named.count() <= SENT_IDS else named
+    rows = taken.join(named, (F.col(key) == F.col("_doc")) & (F.col("node") == F.col("_node"))).select(F.explode("shingles").alias("shingle"), "pivot")
     dealt = rows.repartition("shingle")
-    mixed = dealt.groupBy("shingle").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l <> _h").select("shingle")
-    return written(dealt.join(mixed, "shingle").distinct())
+    mixed = dealt.groupBy("shingle").agg(F.min("pivot").alias("_l"), F.max("pivot").alias("_h")).where("_l <> _h").select("shingle")
+    lists = dealt.join(mixed, "shingle").distinct().join(labels.select("pivot", "component").distinct(), "pivot")
+    apart = lists.groupBy("shingle").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l <> _h").select("shingle")
+    return written(lists.join(apart, "shingle").select("shingle", "pivot", "component"))
 
 
 def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,14 +263,13 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     known = written(profile(docs, width, key, text))
     rows = known.where(~F.col("named"))
     usable = rows.where(F.col("node").isNotNull() & F.col(key).isNotNull())
-    nodes = written(usable.groupBy("node").agg(F.min(key).alias("doc"), F.first("n").alias("n"), F.first("firsts").alias("firsts")))
+    nodes = written(usable.groupBy("node").agg(F.min(key).alias("doc"), F.first("n").alias("n"), F.first("firsts").alias("firsts"), F.first("bits").alias("bits")))
     frequent = known.where("named").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).select("node").toPandas()["node"].to_numpy(np.int64).view(np.uint64)
 
     # One pivot for each first shingle under each order.
-    starts = nodes.select("node", "n", F.posexplode("firsts").alias("k", "first"))
-    pivots = starts.groupBy("k", "first").agg(F.min(F.struct("node", "n")).alias("p")).select("k", "first", F.col("p.node").alias("a"), F.col("p.n").alias("an"))
-    near = (F.least("n", "an") * 100 >= F.greatest("n", "an") * percent) & (F.col("a") != F.col("node"))
-    stars = starts.join(pivots, ["k", "first"]).where(near).select("a", F.col("node").alias("b"), F.lit(False).alias("exact")).distinct()
+    starts = nodes.select("node", F.posexplode("firsts").alias("k", "first"))
+    pivots = starts.groupBy("k", "first").agg(F.min("node").alias("a"))
+    stars = starts.join(pivots, ["k", "first"]).where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b"), F.lit(0.0).alias("slack")).distinct()
     links = compared(stars, nodes, docs, width, percent, key, text).where(linked(percent)).withColumn("d", distance())
     edges = [links.select("a", "b")]
     connected = components(edges[0])
@@ -262,7 +298,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     meet = one.join(two, "shingle").where("a < b and ca <> cb").select("a", "b").distinct()
     meet = meet.join(wide.select(F.col("pivot").alias("a"), F.col("r").alias("ra")), "a").join(wide.select(F.col("pivot").alias("b"), F.col("r").alias("rb")), "b")
     meet = written(meet)
-    found = compared(meet.select("a", "b", (F.col("ra") + F.col("rb") > 0).alias("exact")), nodes, docs, width, percent, key, text).withColumn("d", distance())
+    found = compared(meet.select("a", "b", (F.col("ra") + F.col("rb")).alias("slack")), nodes, docs, width, percent, key, text).withColumn("d", distance())
     edges.append(found.where(linked(percent)).select("a", "b"))
     bound = 1 - percent / 100 + _EPS
     unsure = written(found.where(~linked(percent)).join(meet, ["a", "b"]).where((F.col("ra") + F.col("rb") > 0) & (F.col("d") - F.col("ra") - F.col("rb") <= bound)).select("a", "b", "d", "ra", "rb"))
@@ -290,7 +326,7 @@ def _members_linked(unsure: DataFrame, labels: DataFrame, nodes: DataFrame, docs
 
     open_ = written(apart(unsure, edges))
     member = labels.where("node <> pivot").select("pivot", F.col("node").alias("m"), F.col("d").alias("dm"))
-    first = [open_.join(member, F.col(own) == F.col("pivot")).where(F.col("d") - F.col("dm") - F.col(f"r{other}") <= bound).select(F.col(other).alias("a"), F.col("m").alias("b"), F.lit(True).alias("exact")) for own, other in (("a", "b"), ("b", "a"))]
+    first = [open_.join(member, F.col(own) == F.col("pivot")).where(F.col("d") - F.col("dm") - F.col(f"r{other}") <= bound).select(F.col(other).alias("a"), F.col("m").alias("b"), F.lit(1.0).alias("slack")) for own, other in (("a", "b"), ("b", "a"))]
     crossed = compared(first[0].union(first[1]).distinct(), nodes, docs, width, percent, key, text).withColumn("d", distance())
     new = crossed.where(linked(percent)).select("a", "b")
     rest = apart(open_, [*edges, new])
@@ -301,6 +337,6 @@ def _members_linked(unsure: DataFrame, labels: DataFrame, nodes: DataFrame, docs
         return member.join(away, "m").select(F.col("pivot").alias(own), F.col("p").alias(other), F.col("m").alias(f"m{own}"), F.col("dm").alias(f"own{own}"), F.col("dx").alias(f"far{own}"))
 
     both = rest.select("a", "b").join(side("a", "b"), ["a", "b"]).join(side("b", "a"), ["a", "b"])
-    left = both.where((F.abs(F.col("owna") - F.col("farb")) <= bound) & (F.abs(F.col("fara") - F.col("ownb")) <= bound)).select(F.col("ma").alias("a"), F.col("mb").alias("b"), F.lit(False).alias("exact")).distinct()
+    left = both.where((F.abs(F.col("owna") - F.col("farb")) <= bound) & (F.abs(F.col("fara") - F.col("ownb")) <= bound)).select(F.col("ma").alias("a"), F.col("mb").alias("b"), F.lit(0.0).alias("slack")).distinct()
     last = compared(left, nodes, docs, width, percent, key, text).where(linked(percent)).select("a", "b")
     return [new, last]
