@@ -6,14 +6,13 @@ compared. What is wanted is who is linked with whom, directly or through others,
 expanded into pairs:
 
 1. Equal sets are one node from here on.
-2. Under each order, the sets with the same first shingle are compared with one of them, a pivot. Sets
-   linked with a pivot form its cluster; each member's distance is known.
-3. Prefixes under one order (shingles that many documents share come last) are dealt by shingle. A shingle whose sets
-   are all connected already gives nothing; else the pivots of its clusters are compared, after the other orders' filters
-   where a cluster is one set. Before texts are fetched, sizes and parity bits of the sets rule out most pairs.
-4. Jaccard distance is a metric: if two pivots are further apart than both radii and the threshold together, no
-   members are linked. Only in between are members compared, first with the other pivot, then those that
-   the triangle inequality leaves.
+2. Under each order, the sets with the same first shingle are compared with one of them, a pivot. Links make
+   components; weaker similarity makes groups, which hold what is alike but not linked so far.
+3. In a group whose sets aren't all connected, blocks of sets meet blocks of sets, in a task each. Sets that
+   are connected already are passed over, so only links that join something come out.
+4. Between groups, prefixes under one order (shingles that many documents share come last) are dealt by shingle. Sets of
+   different groups that share one are candidates; sizes, parity bits and the prefixes under all other orders
+   rule most of them out before the sets are compared.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +30,16 @@ from chatloom.llm.components import components
 from chatloom.llm.tables import written
 from chatloom.llm.textbytes import mix, seeded, texts_of, windows, words
 
-ORDERS = 3
+ORDERS = 5
 #: Shingles with so many documents in a batch may be frequent; each batch names at most so many.
 LOCAL_COUNT, LOCAL_NAMED = 8, 20_000
 #: Frequent shingles that orders put last, at most; any choice gives the same links.
 FREQUENT = 200_000
-#: A shingle in the prefixes of more unconnected clusters becomes frequent too, and prefixes are taken anew, at most so often.
+#: Similarity from which sets share a group, in percent; any value gives the same links.
+GROUP_PERCENT = 50
+#: Shingles of a block of a group's sets, about: what a task holds of each side.
+BLOCK_SHINGLES = 600_000
+#: A shingle in the prefixes of more sets of different groups becomes frequent too, and prefixes are taken anew, at most so often.
 LONG_LIST, AGAIN = 200, 2
 #: Ids are sent to all machines to pick texts up to so many; beyond, texts are joined by shuffle.
 SENT_IDS = 1_000_000
@@ -83,12 +87,12 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def parity_bits(value: np.ndarray) -> bytes:
-    """A bit for each residue of the shingles: whether their number is odd. About a bit a shingle, at least 64.
+def parity_bits(value: np.ndarray, size: int = 0) -> bytes:
+    """A bit for each residue of the shingles: whether their number is odd. Four bits a shingle or more.
 
     Where two sets' bits differ, at least one shingle is in one set only, so differing bits bound the difference from below.
     """
-    size = max(64, 1 << max(len(value) - 1, 0).bit_length())
+    size = max(64, size or 4 << max(len(value) - 1, 0).bit_length())
     return np.packbits(np.bincount((value & _U(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
 
@@ -103,7 +107,7 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, firsts, held, bits = [], [], [], [], []
+            sizes, nodes, firsts, held, bits, owners = [], [], [], [], [], []
             for _, _, value, at in shingle_sets(texts_of(batch, text), width):
                 n = np.diff(at)
                 some = n > 0
@@ -118,32 +122,32 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                 nodes.append(node)
                 firsts.append(first)
                 held.append(value)
+                owners.append(np.repeat(np.arange(len(n)) + sum(map(len, sizes[:-1])), n))
                 bits += [parity_bits(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             if not sizes:
                 continue
             n, node, first = np.concatenate(sizes), np.concatenate(nodes).view(np.int64), np.concatenate(firsts).view(np.int64)
-            values = np.sort(np.concatenate(held))
+            order = np.argsort(np.concatenate(held), kind="stable")
+            values = np.concatenate(held)[order]
             edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
             count = np.diff(np.append(edge, len(values)))
+            # A set's standing: the share of its shingles that another set of the batch has. Central sets of a group have most.
+            common = np.bincount(np.concatenate(owners)[order], np.repeat(count > 1, count), minlength=len(n)) / np.maximum(n, 1)
             many = np.flatnonzero(count >= LOCAL_COUNT)
             many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
             named = np.repeat([False, True], [len(n), len(many)])
             lists = pa.array([*first.tolist(), *[None] * len(many)], pa.list_(pa.int64()))
             keys = pa.concat_arrays([batch.column(0), pa.nulls(len(many), batch.column(0).type)])
             every = np.concatenate([node, values[edge[many]].view(np.int64)])
-            yield pa.RecordBatch.from_arrays([keys, pa.array(named), pa.array(np.concatenate([n, count[many]])), pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])), lists, pa.array([*bits, *[None] * len(many)], pa.binary())], [key, "named", "n", "node", "firsts", "bits"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(named), pa.array(np.concatenate([n, count[many]])), pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])), lists, pa.array([*bits, *[None] * len(many)], pa.binary()), pa.array(np.concatenate([common, np.zeros(len(many))]))], [key, "named", "n", "node", "firsts", "bits", "standing"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, named boolean, n long, node long, firsts array<long>, bits binary")
+    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, named boolean, n long, node long, firsts array<long>, bits binary, standing double")
 
 
 def linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def distance() -> Column:
-    return 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-
-
 def near_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs(a, b, slack) whose distance can be the threshold's plus slack, by their sizes and parity bits: a, b, exact (slack is above 0)."""
     info = nodes.select("node", "n", "bits")
@@ -239,16 +243,55 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, ke
 
 
 def _shared_prefixes(docs: DataFrame, labels: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
-    """shingle, pivot, component: of the shingles in prefixes of sets that aren't connected yet."""
+    """shingle, node, grp: of the shingles in prefixes of sets of different groups."""
     taken = prefixes(docs, width, percent, frequent, key, text)
-    named = labels.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), "pivot")
+    named = labels.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), "grp")
     named = F.broadcast(named) if named.count() <= SENT_IDS else named
-    rows = taken.join(named, (F.col(key) == F.col("_doc")) & (F.col("node") == F.col("_node"))).select(F.explode("shingles").alias("shingle"), "pivot")
-    dealt = rows.repartition("shingle")
-    mixed = dealt.groupBy("shingle").agg(F.min("pivot").alias("_l"), F.max("pivot").alias("_h")).where("_l <> _h").select("shingle")
-    lists = dealt.join(mixed, "shingle").distinct().join(labels.select("pivot", "component").distinct(), "pivot")
-    apart = lists.groupBy("shingle").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).where("_l <> _h").select("shingle")
-    return written(lists.join(apart, "shingle").select("shingle", "pivot", "component"))
+    dealt = taken.join(named, (F.col(key) == F.col("_doc")) & (F.col("node") == F.col("_node"))).select(F.explode("shingles").alias("shingle"), "node", "grp").repartition("shingle")
+    mixed = dealt.groupBy("shingle").agg(F.min("grp").alias("_l"), F.max("grp").alias("_h")).where("_l <> _h").select("shingle")
+    return written(dealt.join(mixed, "shingle").distinct())
+
+
+def _joins(label: np.ndarray, sets: list[np.ndarray], bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links of left with right places that join what isn't connected yet: a set is compared only with those of other labels."""
+    found = []
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    for i in left.tolist():
+        other = right[label[right] != label[i]]
+        differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        total = n[other] + n[i]
+        near = (100 * (total - differ) >= percent * (total + differ)) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))
+        for j in other[near][np.argsort(differ[near], kind="stable")].tolist():
+            if label[j] != label[i]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    found.append((i, j))
+                    label[label == label[j]] = label[i]
+    return found
+
+
+def group_links(labels: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """Links a, b inside groups that hold several components: blocks of sets meet blocks of sets, no pairs are made."""
+    sums = labels.groupBy("grp").agg(F.min("component").alias("_l"), F.max("component").alias("_h"), F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks")).where("_l <> _h").select("grp", "blocks")
+    wanted = written(labels.join(sums, "grp").select("node", F.col("doc").alias("_doc"), "component", "grp", "blocks"))
+    ids = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
+    members = written(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(ids, F.col("_key") == F.col("_doc")).select("node", "component", "grp", "blocks", "text").dropDuplicates(["node"]))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    # Each block meets itself and every other one, once.
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
+    rows = members.withColumn("block", block).withColumn("m", F.explode(meets)).select("grp", "m.i", "m.j", "block", "node", "component", "text")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [v[a:b] for _, _, v, at in shingle_sets([t.encode() for t in pdf["text"]], width) for a, b in zip(at[:-1], at[1:], strict=True)]
+        size = 1 << (4 * max(map(len, sets))).bit_length()
+        bits = np.stack([np.frombuffer(parity_bits(v, size), np.uint64) for v in sets])
+        label = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1].copy()
+        block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        links = _joins(label, sets, bits, np.flatnonzero(block == i), np.flatnonzero(block == j), percent)
+        return pd.DataFrame({"a": node[[x for x, _ in links]], "b": node[[y for _, y in links]]}, dtype=np.int64)
+
+    return written(rows.groupBy("grp", "i", "j").applyInPandas(run, "a long, b long"))
 
 
 def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,47 +306,33 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     known = written(profile(docs, width, key, text))
     rows = known.where(~F.col("named"))
     usable = rows.where(F.col("node").isNotNull() & F.col(key).isNotNull())
-    nodes = written(usable.groupBy("node").agg(F.min(key).alias("doc"), F.first("n").alias("n"), F.first("firsts").alias("firsts"), F.first("bits").alias("bits")))
+    kept = [F.min(key).alias("doc"), *(F.first(c).alias(c) for c in ("n", "firsts", "bits")), F.max("standing").alias("standing")]
+    nodes = written(usable.groupBy("node").agg(*kept))
     frequent = known.where("named").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).select("node").toPandas()["node"].to_numpy(np.int64).view(np.uint64)
 
-    # One pivot for each first shingle under each order.
-    starts = nodes.select("node", F.posexplode("firsts").alias("k", "first"))
-    pivots = starts.groupBy("k", "first").agg(F.min("node").alias("a"))
-    stars = starts.join(pivots, ["k", "first"]).where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b"), F.lit(0.0).alias("slack")).distinct()
-    links = compared(stars, nodes, docs, width, percent, key, text).where(linked(percent)).withColumn("d", distance())
-    edges = [links.select("a", "b")]
-    connected = components(edges[0])
-
-    # Clusters: a pivot with links is its own centre, another node joins its nearest pivot.
-    centres = links.select(F.col("a").alias("node")).distinct().withColumn("is_pivot", F.lit(True))
-    nearest = links.groupBy(F.col("b").alias("node")).agg(F.min(F.struct("d", "a")).alias("near"))
-    labels = (
-        nodes.select("node", "doc", "n")
-        .join(centres, "node", "left")
-        .join(nearest, "node", "left")
-        .join(connected, "node", "left")
-        .select("node", "doc", "n", F.when(F.col("is_pivot") | F.col("near").isNull(), F.col("node")).otherwise(F.col("near.a")).alias("pivot"), F.when(F.col("is_pivot") | F.col("near").isNull(), 0.0).otherwise(F.col("near.d")).alias("d"), F.coalesce("component", "node").alias("component"))
-    )
-    labels = written(labels)
+    # One pivot for each first shingle under each order: the set of highest standing.
+    starts = nodes.select("node", "standing", F.posexplode("firsts").alias("k", "first"))
+    pivots = starts.groupBy("k", "first").agg(F.max(F.struct("standing", "node"))["node"].alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    slack = (percent - GROUP_PERCENT) / 100
+    stars = starts.join(pivots, ["k", "first"]).where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b"), F.lit(slack).alias("slack")).distinct()
+    seen = compared(stars, nodes, docs, width, percent, key, text)
+    alike, edges = seen.where(linked(GROUP_PERCENT)).select("a", "b"), [seen.where(linked(percent)).select("a", "b")]
+    connected, grouped = components(edges[0]), components(alike).withColumnRenamed("component", "grp")
+    labels = nodes.select("node", "doc", "n").join(connected, "node", "left").join(grouped, "node", "left")
+    labels = written(labels.withColumn("component", F.coalesce("component", "node")).withColumn("grp", F.coalesce("grp", "node")))
+    edges.append(group_links(labels, docs, width, percent, key, text))
+
     for turn in range(AGAIN + 1):
         lists = _shared_prefixes(docs, labels, width, percent, frequent, key, text)
         if turn == AGAIN:
             break
-        longer = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST).orderBy(F.desc("n")).limit(FREQUENT).toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)
+        longer = lists.groupBy("shingle").agg(F.countDistinct("grp").alias("n")).where(F.col("n") > LONG_LIST).orderBy(F.desc("n")).limit(FREQUENT).toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)
         if not len(np.setdiff1d(longer, frequent)):
             break
         frequent = np.union1d(frequent, longer)
-    one, two = (lists.select("shingle", F.col("pivot").alias(p), F.col("component").alias(c)) for p, c in (("a", "ca"), ("b", "cb")))
-    wide = labels.groupBy("pivot").agg(F.max("d").alias("r"))
-    meet = one.join(two, "shingle").where("a < b and ca <> cb").select("a", "b").distinct()
-    meet = meet.join(wide.select(F.col("pivot").alias("a"), F.col("r").alias("ra")), "a").join(wide.select(F.col("pivot").alias("b"), F.col("r").alias("rb")), "b")
-    meet = written(meet)
-    found = compared(meet.select("a", "b", (F.col("ra") + F.col("rb")).alias("slack")), nodes, docs, width, percent, key, text).withColumn("d", distance())
-    edges.append(found.where(linked(percent)).select("a", "b"))
-    bound = 1 - percent / 100 + _EPS
-    unsure = written(found.where(~linked(percent)).join(meet, ["a", "b"]).where((F.col("ra") + F.col("rb") > 0) & (F.col("d") - F.col("ra") - F.col("rb") <= bound)).select("a", "b", "d", "ra", "rb"))
-    if not unsure.isEmpty():
-        edges += _members_linked(unsure, labels, nodes, docs, edges, bound, width, percent, key, text)
+    one, two = (lists.select("shingle", F.col("node").alias(p), F.col("grp").alias(c)) for p, c in (("a", "ga"), ("b", "gb")))
+    meet = one.join(two, "shingle").where("a < b and ga <> gb").select("a", "b", F.lit(0.0).alias("slack")).distinct()
+    edges.append(compared(meet, nodes, docs, width, percent, key, text).where(linked(percent)).select("a", "b"))
 
     whole = components(reduce(DataFrame.union, edges))
     reached = nodes.select("node", "doc").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -312,31 +341,3 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     with_set = usable.join(of_node, F.col("node") == F.col("_node"), "left").select(key, F.col("n").alias("n_shingles"), "component_id")
     others = rows.where(F.col("node").isNull() | F.col(key).isNull()).select(key, F.col("n").alias("n_shingles"), F.col(key).alias("component_id"))
     return with_set.union(others)
-
-
-def _members_linked(unsure: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, edges: list[DataFrame], bound: float, width: int, percent: int, key: str, text: str) -> list[DataFrame]:
-    """Edges between members of clusters whose pivots are neither linked nor far enough apart."""
-
-    def apart(pairs: DataFrame, known: list[DataFrame]) -> DataFrame:
-        """The pairs of clusters that no links connect yet."""
-        now = components(reduce(DataFrame.union, known))
-        for side in ("a", "b"):
-            pairs = pairs.join(now.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-        return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
-
-    open_ = written(apart(unsure, edges))
-    member = labels.where("node <> pivot").select("pivot", F.col("node").alias("m"), F.col("d").alias("dm"))
-    first = [open_.join(member, F.col(own) == F.col("pivot")).where(F.col("d") - F.col("dm") - F.col(f"r{other}") <= bound).select(F.col(other).alias("a"), F.col("m").alias("b"), F.lit(1.0).alias("slack")) for own, other in (("a", "b"), ("b", "a"))]
-    crossed = compared(first[0].union(first[1]).distinct(), nodes, docs, width, percent, key, text).withColumn("d", distance())
-    new = crossed.where(linked(percent)).select("a", "b")
-    rest = apart(open_, [*edges, new])
-    away = crossed.select(F.col("a").alias("p"), F.col("b").alias("m"), F.col("d").alias("dx"))
-
-    def side(own: str, other: str) -> DataFrame:
-        """Members of one cluster with the distances to both pivots."""
-        return member.join(away, "m").select(F.col("pivot").alias(own), F.col("p").alias(other), F.col("m").alias(f"m{own}"), F.col("dm").alias(f"own{own}"), F.col("dx").alias(f"far{own}"))
-
-    both = rest.select("a", "b").join(side("a", "b"), ["a", "b"]).join(side("b", "a"), ["a", "b"])
-    left = both.where((F.abs(F.col("owna") - F.col("farb")) <= bound) & (F.abs(F.col("fara") - F.col("ownb")) <= bound)).select(F.col("ma").alias("a"), F.col("mb").alias("b"), F.lit(0.0).alias("slack")).distinct()
-    last = compared(left, nodes, docs, width, percent, key, text).where(linked(percent)).select("a", "b")
-    return [new, last]
