@@ -189,5 +189,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, text: str =
             tokens = np.array(counter.count([t.decode("utf-8", "replace") for t in texts]), np.int64)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit)], [key, "n_bytes", "n_tokens", "over_limit"])
+        counter.of_chunk.clear()
+        counter.of_piece.clear()
 
     return docs.select(key, text).mapInArrow(count, schema)

@@ -56,7 +56,7 @@ def train_shard(texts: list[bytes], labels: np.ndarray, s: Settings) -> tuple[np
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     l1 = np.full(size + 1, s.l1)
     l1[size] = 0.0
-    rows = [(i, np.append(b, size), np.append(x, 1.0)) for i, b, x in s.rows(texts)]
+    rows = [(i, np.append(b, size).astype(np.int32), np.append(x, 1.0).astype(np.float32)) for i, b, x in s.rows(texts)]
     order = np.random.default_rng(s.seed)
 
     def weights(at: np.ndarray) -> np.ndarray:

@@ -53,6 +53,11 @@ class WordIds:
         self.of_word: dict[bytes, bytes] = {}
         self.of_part: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Gives the memory of known words back: the worker may run other things next."""
+        self.of_word.clear()
+        self.of_part.clear()
+
     def _merged(self, parts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(parts), 1 << 16):
             symbols, counts = self.table.merge([p.encode() for p in parts[i : i + (1 << 16)]])
@@ -127,6 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, key: str
                         crc.append(zlib.crc32(part))
                 begin, size = i + 1, 0
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(v, pa.int64()) for v in (start, length, crc))], [key, "piece", "start", "length", "ids_crc32"])
+        ids.forget()
 
     return docs.select(key, text).mapInArrow(cut, schema)
 
