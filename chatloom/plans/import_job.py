@@ -17,6 +17,7 @@ from chatloom.operators.enrich import enriched
 from chatloom.operators.retain import retained
 from chatloom.operators.sanitize import sanitized
 from chatloom.operators.state import decided, run_report, upserted
+from chatloom.session import written
 
 
 @dataclass(frozen=True)
@@ -50,8 +51,11 @@ def read_state(spark: SparkSession, places: Places, run: int) -> DataFrame:
 
 
 def conversations(records: DataFrame) -> DataFrame:
-    """Raw records to conversations with content_hash, document_id and error (a stage); duplicates and bad records have one."""
-    marked = split_duplicates(parsed(records.where(F.col("raw").isNotNull())))
+    """Raw records to conversations with content_hash, document_id and error (a stage); duplicates and bad records have one.
+
+    What is parsed is written before it is filtered: pushed below the parse, a filter would repeat it.
+    """
+    marked = split_duplicates(written(parsed(records.where(F.col("raw").isNotNull()))))
     rows = marked.withColumn("source", F.lit("chatgpt")).withColumn("document_id", document_id(F.col("source"), F.col("source_id")))
     reason = F.coalesce(F.col("reject_reason"), field_defect())
     return rows.withColumn("reject_reason", reason).withColumn("error", F.when(F.col("reject_reason").isNotNull(), F.lit("source"))).withColumn("content_hash", content_hash(F.col("messages")))

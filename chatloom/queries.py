@@ -19,7 +19,7 @@ from chatloom.operators.conversation import assembled, balanced, field_defect, p
 from chatloom.operators.enrich import enriched, tag_defect
 from chatloom.plans import fixtures as fx
 from chatloom.sources.exports import conversation_files, replay_records, replayed_defect
-from chatloom.session import shared_folder
+from chatloom.session import shared_folder, written
 from chatloom.streaming.refresh import keep_latest, last_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,7 +173,7 @@ def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsed(fx.records(spark, sf_dir))
+    return written(parsed(written(fx.records(spark, sf_dir))))
 
 
 @query(f"select source_id, pos, role, text, strftime(sent_at, '%Y-%m-%dT%H:%M:%S.%fZ') as sent_at from (select *, row_number() over (partition by conv_id order by conv_turn) - 1 as pos from (select source_id, conv_id, pos as conv_turn, role, text, sent_at from ({TURNS})))")
@@ -200,7 +200,7 @@ def graph_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, k = F.col("raw"), F.col("conv_id") % 8
     broken = (
         F.when(k == 0, F.replace(raw, F.lit('"conversation_id"'), F.lit('"nothing"')))
-        .when(k == 1, F.concat(raw, F.lit("}")))
+        .when(k == 1, F.left(raw, F.length(raw) - 5))
         .when(k == 2, F.replace(raw, F.lit('"parent":"root"'), F.lit('"parent":"lost"')))
         .when(k == 3, F.regexp_replace(raw, r'"root":\{"parent":null,"children":\[', '"root":{"parent":null,"children":["lost",'))
         .when(k == 4, F.regexp_replace(raw, r'"root":\{"parent":null,"children":\[[^\]]*\]', '"root":{"parent":null,"children":7'))
@@ -208,14 +208,14 @@ def graph_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 6, F.regexp_replace(raw, r'"update_time":\d+', '"update_time":"soon"'))
         .otherwise(raw)
     )
-    rows = parsed(fx.records(spark, sf_dir).withColumn("raw", broken))
+    rows = parsed(written(fx.records(spark, sf_dir).withColumn("raw", broken)))
     return rows.select(F.col("conv_id").cast("string").alias("source_id"), "reject_reason")
 
 
 @query("select conv_id::varchar as source_id, defect, count(*) as n from (select distinct conv_id, 'dangling_parent' as defect from conversations where conv_id % 3 = 0) group by 1, 2")
 def graph_link_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links as joins; each third conversation has lost its root."""
-    rows = graph.with_links(fx.records(spark, sf_dir).withColumn("mapping", graph.mapping_of(F.try_parse_json("raw"))).withColumn("source_id", F.col("conv_id").cast("string")))
+    rows = graph.with_links(written(fx.records(spark, sf_dir)).withColumn("mapping", graph.mapping_of(F.try_parse_json("raw"))).withColumn("source_id", F.col("conv_id").cast("string")))
     nodes = graph.graph_nodes(rows).where(~((F.col("node") == "root") & (F.col("source_id").cast("bigint") % 3 == 0)) & ~F.col("node").startswith("x"))
     nodes = nodes.withColumn("children", F.filter("children", lambda c: ~c.startswith("x")))
     return graph.link_defects(nodes).groupBy("source_id", "defect").agg(F.count(F.lit(1)).alias("n"))
@@ -613,7 +613,7 @@ def replay_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("conv_id") % 5
     rows = fx.records(spark, sf_dir).select("conv_id", F.concat(F.lit("chatgpt:"), F.col("conv_id").cast("string")).alias("id"), F.encode("raw", "utf-8").alias("content"))
     rows = rows.withColumn("media_type", F.when(k == 1, "text/html").otherwise("application/json")).withColumn("document_id", F.when(k == 2, F.concat(F.col("id"), F.lit("x"))).otherwise(F.col("id")))
-    checked = parsed(replay_records(rows)).withColumn("defect", replayed_defect())
+    checked = parsed(replay_records(written(rows))).withColumn("defect", replayed_defect())
     return checked.select(F.when(F.col("document_id").endswith("x"), F.regexp_replace("document_id", "x$", "")).otherwise(F.col("document_id")).alias("document_id"), "defect")
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str = "chatloom", cores: int | None = None, **conf: str) -> SparkSession:
@@ -35,3 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder. Cuts lineage, and keeps long expressions from being repeated in what follows."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
