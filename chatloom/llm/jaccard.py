@@ -32,15 +32,15 @@ from chatloom.llm.textbytes import mix, seeded, texts_of, windows, words
 
 ORDERS = 5
 #: Shingles with so many documents in a batch may be frequent; each batch names at most so many.
-LOCAL_COUNT, LOCAL_NAMED = 8, 20_000
+LOCAL_COUNT, LOCAL_NAMED = 3, 50_000
 #: Frequent shingles that orders put last, at most; any choice gives the same links.
-FREQUENT = 200_000
+FREQUENT = 1_000_000
 #: Similarity from which sets share a group, in percent; any value gives the same links.
 GROUP_PERCENT = 50
 #: Shingles of a block of a group's sets, about: what a task holds of each side.
 BLOCK_SHINGLES = 600_000
 #: A shingle in the prefixes of more sets of different groups becomes frequent too, and prefixes are taken anew, at most so often.
-LONG_LIST, AGAIN = 200, 2
+LONG_LIST, AGAIN = 100, 1
 #: Ids are sent to all machines to pick texts up to so many; beyond, texts are joined by shuffle.
 SENT_IDS = 1_000_000
 #: Pairs of one pivot that stay together; a pivot with more is dealt to several tasks.
@@ -243,13 +243,15 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, ke
 
 
 def _shared_prefixes(docs: DataFrame, labels: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
-    """shingle, node, grp: of the shingles in prefixes of sets of different groups."""
+    """node, shingle, grp, n: of the shingles in prefixes of sets of different groups."""
     taken = prefixes(docs, width, percent, frequent, key, text)
     named = labels.select(F.col("node").alias("_node"), F.col("doc").alias("_doc"), "grp")
     named = F.broadcast(named) if named.count() <= SENT_IDS else named
     dealt = taken.join(named, (F.col(key) == F.col("_doc")) & (F.col("node") == F.col("_node"))).select(F.explode("shingles").alias("shingle"), "node", "grp").repartition("shingle")
-    mixed = dealt.groupBy("shingle").agg(F.min("grp").alias("_l"), F.max("grp").alias("_h")).where("_l <> _h").select("shingle")
-    return written(dealt.join(mixed, "shingle").distinct())
+    # Both sides need the same columns, so that they share one exchange.
+    both = F.struct("grp", "node")
+    mixed = dealt.groupBy("shingle").agg(F.min(both).alias("_l"), F.max(both).alias("_h")).where("_l.grp <> _h.grp").select("shingle")
+    return written(dealt.join(mixed, "shingle").distinct().join(labels.select("node", "n"), "node"))
 
 
 def _joins(label: np.ndarray, sets: list[np.ndarray], bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -330,8 +332,9 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         if not len(np.setdiff1d(longer, frequent)):
             break
         frequent = np.union1d(frequent, longer)
-    one, two = (lists.select("shingle", F.col("node").alias(p), F.col("grp").alias(c)) for p, c in (("a", "ga"), ("b", "gb")))
-    meet = one.join(two, "shingle").where("a < b and ga <> gb").select("a", "b", F.lit(0.0).alias("slack")).distinct()
+    one, two = (lists.select("shingle", F.col("node").alias(p), F.col("grp").alias(f"g{p}"), F.col("n").alias(f"n{p}")) for p in ("a", "b"))
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    meet = one.join(two, "shingle").where(sizes & F.expr("a < b and ga <> gb")).select("a", "b", F.lit(0.0).alias("slack")).distinct()
     edges.append(compared(meet, nodes, docs, width, percent, key, text).where(linked(percent)).select("a", "b"))
 
     whole = components(reduce(DataFrame.union, edges))
