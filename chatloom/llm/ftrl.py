@@ -17,10 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import features
-from chatloom.llm.tables import crc32_mod
+from chatloom.llm.tables import batch_rows, crc32_mod
 from chatloom.llm.textbytes import texts_of
 
 
+#: Rows of an Arrow batch while texts are scored.
+BATCH_ROWS = 1000
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of a model; max_rows bounds the labelled sample, shard_rows what one shard learns from."""
@@ -87,6 +91,7 @@ def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> D
 
 def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str = "doc_id", text: str = "text") -> np.ndarray:
     """Weights of all buckets and the bias. Without labelled rows all weights are 0, and each score is 0.5."""
+    batch_rows(docs, BATCH_ROWS)
     chosen = sample(labels, label, s, key).withColumnRenamed(key, "_key")
     shards = max(1, -(-s.max_rows // s.shard_rows)) if labels.limit(s.shard_rows + 1).count() > s.shard_rows else 1
     rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select("text", "label", F.pmod(F.xxhash64(F.lit(s.seed + 1), F.col(key)), F.lit(shards)).alias("shard"), F.xxhash64(key, "text").alias("at"))
@@ -119,6 +124,7 @@ def score_texts(texts: list[bytes], weights: np.ndarray, s: Settings) -> np.ndar
 
 def scored(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted (1 from the threshold on) of every row of docs."""
+    batch_rows(docs, BATCH_ROWS)
     held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     kind = dict(docs.dtypes)[key]
 
@@ -132,6 +138,7 @@ def scored(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float,
 
 def filtered(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float, keep: int, text: str = "text") -> DataFrame:
     """The rows of docs, all columns as they are, that are predicted as keep; in one pass, without a join."""
+    batch_rows(docs, BATCH_ROWS)
     held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,14 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.components import components
-from chatloom.llm.tables import written
+from chatloom.llm.tables import batch_rows, written
 from chatloom.llm.textbytes import mix, seeded, texts_of, windows, words
 
 ORDERS = 5
 #: Shingles with so many documents in a batch may be frequent; each batch names at most so many.
 LOCAL_COUNT, LOCAL_NAMED = 3, 50_000
+#: Rows of such a batch.
+COUNTED_ROWS = 10_000
 #: Frequent shingles that orders put last, at most; any choice gives the same links.
-FREQUENT = 1_000_000
+FREQUENT = 4_000_000
 #: Similarity from which sets share a group, in percent; any value gives the same links.
 GROUP_PERCENT = 50
 #: Shingles of a block of a group's sets, about: what a task holds of each side.
@@ -242,6 +244,13 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, ke
     return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, node long, shingles array<long>")
 
 
+def most(counts: DataFrame, name: str, least: int) -> np.ndarray:
+    """Shingles with at least least and with at least a FREQUENT-th of all counts, which at most FREQUENT can have."""
+    counts = written(counts.where(F.col("n") >= least))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") >= total / FREQUENT).select(name).toPandas()[name].to_numpy(np.int64).view(np.uint64)
+
+
 def _shared_prefixes(docs: DataFrame, labels: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
     """node, shingle, grp, n: of the shingles in prefixes of sets of different groups."""
     taken = prefixes(docs, width, percent, frequent, key, text)
@@ -305,12 +314,13 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     a null component and link nothing; repeated rows each give a row; an empty table gives none. Other columns are not read.
     Shingles and sets are told apart by 64-bit hashes.
     """
+    batch_rows(docs, COUNTED_ROWS)
     known = written(profile(docs, width, key, text))
     rows = known.where(~F.col("named"))
     usable = rows.where(F.col("node").isNotNull() & F.col(key).isNotNull())
     kept = [F.min(key).alias("doc"), *(F.first(c).alias(c) for c in ("n", "firsts", "bits")), F.max("standing").alias("standing")]
     nodes = written(usable.groupBy("node").agg(*kept))
-    frequent = known.where("named").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).select("node").toPandas()["node"].to_numpy(np.int64).view(np.uint64)
+    frequent = most(known.where("named").groupBy("node").agg(F.sum("n").alias("n")), "node", 1)
 
     # One pivot for each first shingle under each order: the set of highest standing.
     starts = nodes.select("node", "standing", F.posexplode("firsts").alias("k", "first"))
@@ -328,7 +338,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         lists = _shared_prefixes(docs, labels, width, percent, frequent, key, text)
         if turn == AGAIN:
             break
-        longer = lists.groupBy("shingle").agg(F.countDistinct("grp").alias("n")).where(F.col("n") > LONG_LIST).orderBy(F.desc("n")).limit(FREQUENT).toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)
+        longer = most(lists.groupBy("shingle").agg(F.countDistinct("grp").alias("n")), "shingle", LONG_LIST + 1)
         if not len(np.setdiff1d(longer, frequent)):
             break
         frequent = np.union1d(frequent, longer)

@@ -33,3 +33,8 @@ def written(df: DataFrame) -> DataFrame:
 def crc32_mod(column: str, by: int):
     """crc32 of an id as text, modulo so many; null ids give 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(by), F.lit(0))
+
+
+def batch_rows(df: DataFrame, rows: int) -> None:
+    """Sets how many rows an Arrow batch of later jobs holds: fewer where whole texts go through Python and back, to bound memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
