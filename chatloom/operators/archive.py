@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,14 @@ def latest(df: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(row, order).alias("_row")).select("_row.*")
 
 
+def shelf(key: Column) -> Column:
+    """The folder of a key. It begins with a letter, so that Spark doesn't read folder names as numbers."""
+    return F.concat(F.lit("s"), F.left(key, F.lit(2)))
+
+
 def archive_rows(df: DataFrame) -> DataFrame:
     """Rows to archive from document_id, enriched fields, content_hash of the sanitized form, media_type and content (the original's bytes)."""
-    return df.withColumn("format_version", F.lit(FORMAT_VERSION)).withColumn("key", archive_key(F.col("document_id"))).withColumn("sha256", F.sha2("content", 256)).withColumn("shelf", F.left("key", F.lit(2)))
+    return df.withColumn("format_version", F.lit(FORMAT_VERSION)).withColumn("key", archive_key(F.col("document_id"))).withColumn("sha256", F.sha2("content", 256)).withColumn("shelf", shelf(F.col("key")))
 
 
 def store(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -27,23 +33,22 @@ def store(spark: SparkSession, rows: DataFrame, path: str) -> None:
     New contents of a shelf are staged before they replace it, so a failed run leaves the old ones.
     """
     touched = [r.shelf for r in rows.select("shelf").distinct().collect()]  # at most 256
+    new = rows.withColumn("_new", F.lit(1))
     try:
-        old = spark.read.parquet(path).where(F.col("shelf").isin(touched))
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(missing):
+        old = spark.read.schema(rows.schema).parquet(path).where(F.col("shelf").isin(touched))
+        new = new.unionByName(old.withColumn("_new", F.lit(0)).select(*new.columns))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        old = None
-    new = rows.withColumn("_new", F.lit(1))
-    whole = new if old is None else new.unionByName(old.withColumn("_new", F.lit(0)).select(*new.columns))
     staged = f"{path.rstrip('/')}__staged"
-    latest(whole, ("document_id",), "_new").drop("_new").write.mode("overwrite").partitionBy("shelf").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shelf").parquet(path)
+    latest(new, ("document_id",), "_new").drop("_new").write.mode("overwrite").partitionBy("shelf").parquet(staged)
+    spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shelf").parquet(path)
 
 
 def load(archive: DataFrame, document_id: str) -> DataFrame:
     """One document, by its key: Parquet filters on shelf and key leave little to read."""
     key = archive_key(F.lit(document_id))
-    return archive.where((F.col("shelf") == F.left(key, F.lit(2))) & (F.col("key") == key))
+    return archive.where((F.col("shelf") == shelf(key)) & (F.col("key") == key))
 
 
 def not_found(wanted: DataFrame, archive: DataFrame) -> DataFrame:

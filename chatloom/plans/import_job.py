@@ -85,7 +85,7 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     kept = full.select("document_id", "source", "source_id", "title", "started_at", "last_activity_at", "messages", "project", "provenance", "tags", content_hash(F.col("messages")).alias("content_hash"), F.lit("application/json").alias("media_type"), F.encode("raw", "utf-8").alias("content"))
     archives.store(spark, archives.archive_rows(kept), places.archive)
     documents = retained(full)
-    fine = documents.where(F.col("error").isNull()).drop("error").withColumn("shelf", F.left(F.sha2("document_id", 256), F.lit(2)))
+    fine = documents.where(F.col("error").isNull()).drop("error").withColumn("shelf", archives.shelf(F.sha2("document_id", 256)))
     archives.store(spark, fine, places.documents)
 
     done = full.select("source", "source_id", "document_id", "content_hash", "project").join(documents.select("document_id", F.col("error").alias("error")), "document_id")
