@@ -1,0 +1,25 @@
+"""Some registered queries against their SQL; the driver compares all of them on a larger input."""
+
+import duckdb
+import pytest
+
+from chatloom import queries as library
+
+SF = "/root/testdata/sf0.001"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", ["content_hashes", "import_decision", "run_report", "export_files", "message_text", "tool_fold", "redact_jwt", "redact_overlap", "project_of_document", "archive_audit", "tag_match_modes", "log_scrub"])
+def test_query_equals_its_sql(spark, db, name):
+    got = library.QUERIES[name](spark, SF)
+    columns = sorted(got.columns)
+    want = db.execute(f"select {', '.join(columns)} from ({library.SQL[name]})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(str, want))
