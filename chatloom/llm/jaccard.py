@@ -124,17 +124,22 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                 nodes.append(node)
                 firsts.append(first)
                 held.append(value)
-                owners.append(np.repeat(np.arange(len(n)) + sum(map(len, sizes[:-1])), n))
+                owners.append(np.repeat(np.arange(len(n), dtype=np.int32) + np.int32(sum(map(len, sizes[:-1]))), n))
                 bits += [parity_bits(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             if not sizes:
                 continue
             n, node, first = np.concatenate(sizes), np.concatenate(nodes).view(np.int64), np.concatenate(firsts).view(np.int64)
-            order = np.argsort(np.concatenate(held), kind="stable")
-            values = np.concatenate(held)[order]
+            # A batch's shingles are some tens of megabytes, so each array goes as soon as it has served.
+            values = np.concatenate(held)
+            held.clear()
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.concatenate(owners)[order]
+            del order, owners
             edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
             count = np.diff(np.append(edge, len(values)))
             # A set's standing: the share of its shingles that another set of the batch has. Central sets of a group have most.
-            common = np.bincount(np.concatenate(owners)[order], np.repeat(count > 1, count), minlength=len(n)) / np.maximum(n, 1)
+            common = np.bincount(owner[np.repeat(count > 1, count)], minlength=len(n)) / np.maximum(n, 1)
+            del owner
             many = np.flatnonzero(count >= LOCAL_COUNT)
             many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
             named = np.repeat([False, True], [len(n), len(many)])
