@@ -20,8 +20,6 @@ from chatloom.llm.textbytes import Words, texts_of, windows, words
 BITS = 16
 #: Added to each bucket's share of 2**BITS, in n-grams.
 SMOOTHING = 0.5
-#: Labelled good rows that stand for trusted text, at most about so many.
-TRUSTED_ROWS = 20_000
 #: Mean log ratio from which a document is kept.
 THRESHOLD = -0.4
 REPEAT_WIDTH = 8
@@ -54,11 +52,11 @@ def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(smooth(trusted)) - np.log(smooth(raw))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_ROWS, key: str = "doc_id") -> DataFrame:
-    """Ids of labelled good rows, at most about limit of them, by a seeded hash."""
-    good = labels.where((F.col("quality") == 1) & F.col(key).isNotNull())
-    n = good.count()
-    return good.where(F.pmod(F.xxhash64(F.lit(11), F.col(key)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limit / max(n, 1)))).select(F.col(key).alias("_trusted")).distinct()
+def trusted_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Texts of all rows of docs that have a label as good. Both sides are dealt by key, as the ids grow with the corpus."""
+    good = labels.where((F.col("quality") == 1) & F.col(key).isNotNull()).select(F.col(key).alias("_trusted")).distinct()
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(text))
+    return rows.join(good.hint("shuffle_hash"), F.col("_id") == F.col("_trusted"), "left_semi")
 
 
 def repeated_words(w: Words, width: int = REPEAT_WIDTH) -> np.ndarray:
@@ -118,11 +116,10 @@ def rules(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, key:
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_ratio, kept of every row.
 
-    The raw multinomial counts all rows of docs, the trusted one labelled good rows (at most TRUSTED_ROWS). Null and
+    The raw multinomial counts all rows of docs, the trusted one all labelled good rows. Null and
     empty texts have no words and fail the base rules; null ids and repeated rows are judged like any row; an
     empty table gives none; without labels the ratio is 0 everywhere. Only id and text of docs are read.
     """
     raw = bucket_counts(docs, text)
-    ids = trusted_ids(labels, key=key)
-    trusted = bucket_counts(docs.select(F.col(key).alias("_id"), F.col(text)).join(F.broadcast(ids), F.col("_id") == F.col("_trusted"), "left_semi"), text)
+    trusted = bucket_counts(trusted_rows(docs, labels, key, text), text)
     return rules(docs, log_ratio(trusted, raw), threshold, key, text)

@@ -272,6 +272,13 @@ def test_quality_rules_equal_brute_force(odd, docs, labels):
     assert quality_rules.quality_rules(odd.limit(0), labels).count() == 0
 
 
+def test_trusted_text_is_counted_over_all_good_rows(spark):
+    texts = spark.createDataFrame([(i, f"w{i} w{i + 1} and w{7 * i}") for i in range(300)], "doc_id long, text string")
+    good = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    # All rows are good, so trusted and raw text are the same.
+    assert {r.log_ratio for r in quality_rules.quality_rules(texts, good).collect()} == {0.0}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>if (a<b) x="</p>";</script></head><body><nav><ul><li><a href="/">Home page</a></ul></nav>
 <div class="cookie-notice">We use cookies here</div>{open}<h1>Head &amp; <i>tail</i></h1><p>First<br>para with <b>bold</b>ness &lt;x&gt;.<p>Second   one
 goes on.<aside>Look aside</aside><form><input><label>Mail</label></form><section id="comments"><p>Nice!</p></section>{close}<footer>&copy; us</footer></body></html>"""
