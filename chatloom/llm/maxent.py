@@ -1,16 +1,20 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | before) = P(class | before) P(word | class, before). Frequent words form classes of equal number; all other words are
-one class, in which a word has its smoothed share of the class's counts. The features of what is before are the last
-word, the last two (an n-gram) and the one before the last (a skip), hashed into buckets with one weight
-for each class, and with the class for each of its words. Training is distributed: each shard of the corpus makes
-AdaGrad updates in mini-batches over all its texts, and the shards' weights are averaged, each bucket by those that saw it.
+P(word | before) = P(class | before) P(word | class, before). The most frequent words form classes of equal number; all
+others form tiers, each a tree of classes within classes in which a word is a path of choices among so many branches. Without
+weights each choice has the share of its words' counts; weights of contexts move it. Words under a tiny share of all tokens
+are too many to send to all machines: they are dealt by hash to the leaves of a tree of their own, and in its leaf a word
+has its smoothed share of the leaf's counts. The features of what is before
+are the last word, the last two (an n-gram) and the one before the last (a skip), hashed into buckets whose number grows with
+the corpus, with one weight for each class, and with the class or branching for each of its words. Training is distributed: each
+shard of the corpus makes AdaGrad updates in mini-batches over all its texts, and the shards' weights are averaged, each bucket by
+those that saw it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,16 +30,22 @@ _U = np.uint64
 END = int(seeded(1, 9)[0])  #: the hash of the end token
 _SALT = seeded(16, 8)
 SMOOTHING = 0.1
-#: Words with at least this share of all tokens are few (at most its inverse) and are sent to all machines with their counts.
-COMMON = 1 / 65536
+#: Words with at least this share of all tokens are in the model, and are sent to all machines with their counts.
+COMMON = 2.0**-22
+#: Levels of the tree of the other words at most.
+REST_DEPTH = 4
+#: Tokens from which buckets grow, and how many times their number doubles at most.
+GROWS_FROM, DOUBLINGS = 1 << 24, 4
+_NONE = np.float32(-1e9)
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Size of the model; nothing here depends on the data."""
+    """Size of the model at least; the vocabulary's trees and the buckets grow with the corpus."""
 
     classes: int = 16
     words: int = 32  #: of each class
+    width: int = 16  #: branches of a tree
     bits: int = 14  #: buckets of the class features
     word_bits: int = 14  #: buckets of the word features
     rate: float = 0.3
@@ -43,6 +53,11 @@ class Shape:
     shards: int = 64  #: the corpus is trained in at most so many shards
     block: int = 1024  #: buckets whose weights are averaged together
 
+    def grown(self, tokens: int) -> Shape:
+        """With buckets by the square root of the tokens: each shard sends its weights, and shards grow with the corpus too."""
+        more = min(DOUBLINGS, max(0, round(np.log2(max(tokens, 1) / GROWS_FROM) / 2)))
+        return replace(self, bits=self.bits + more, word_bits=self.word_bits + more)
+
 
 def tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of each text with an end token after each, and where each text's begin."""
@@ -68,34 +83,107 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def log_shares(counts: np.ndarray) -> np.ndarray:
+    """Log of each count's share of its row, for rows that have any."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(counts > 0, np.log(counts / counts.sum(axis=-1, keepdims=True)), _NONE).astype(np.float32)
+
+
+def rest_depth(leaves: int, width: int) -> int:
+    """Levels of a tree of so many leaves."""
+    depth = 0
+    while width**depth < leaves:
+        depth += 1
+    return depth
+
+
+def leaf_of(hashes: np.ndarray, leaves: int) -> np.ndarray:
+    """The leaf of a word outside the vocabulary: the first bits of its hash. leaves is a power of 2."""
+    bits = leaves.bit_length() - 1
+    return (hashes >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def rest_leaves(rare: DataFrame, distinct: int, shape: Shape) -> np.ndarray:
+    """Smoothed counts of the leaves of so many words: about as many leaves, a power of the tree's width."""
+    leaves = shape.width ** min(REST_DEPTH, max(0, rest_depth(distinct, shape.width) - 1))
+    bits = leaves.bit_length() - 1
+    leaf = F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
+    found = rare.groupBy(leaf.alias("leaf")).agg((F.sum("n") + SMOOTHING * F.count(F.lit(1))).alias("n")).toPandas()
+    out = np.full(leaves, SMOOTHING)
+    out[found["leaf"].to_numpy(np.int64)] += found["n"].to_numpy(np.float64)
+    return out
+
+
 class Vocabulary:
-    """Classes and words of the model, from the most frequent words, and counts of the common ones."""
+    """Classes, trees and words of the model with their counts, and the shares that they have without weights."""
 
-    def __init__(self, word: np.ndarray, n: np.ndarray, total: int, distinct: int, shape: Shape):
+    def __init__(self, word: np.ndarray, n: np.ndarray, total: int, distinct: int, shape: Shape, leaves: np.ndarray | None = None):
+        s = self.shape = shape
         order = np.lexsort((word, -n))
-        self.total, self.distinct, self.shape = total, distinct, shape
-        self.common, self.count = word[np.argsort(word)], n[np.argsort(word)]
-        inside = order[: shape.classes * shape.words]
-        place = np.arange(len(inside))
-        sort = np.argsort(word[inside])
-        self.known, self.id = word[inside][sort], place[sort]
-        self.rest_total = total - int(n[inside].sum())
-        self.rest_distinct = distinct - len(inside)
-        self.sizes = np.bincount(place // shape.words, minlength=shape.classes)
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """A word's number in the model, or -1."""
+        sort = np.argsort(word[order])
+        self.known, self.count, self.id = word[order][sort], n[order][sort], sort.astype(np.int32)
+        self.rest_total, self.rest_distinct = total - int(n.sum()), distinct - len(n)
+        ranked = n[order].astype(np.float64)
+        flat = np.zeros((s.classes, s.words))
+        at = min(len(ranked), flat.size)
+        flat.flat[:at] = ranked[:at]
+        self.words = log_shares(flat)
+        by_class = list(flat.sum(axis=1))
+        #: Of each tier: its first word, how many choices a path has, and the first row of each level in branches.
+        self.tiers: list[tuple[int, int, list[int]]] = []
+        #: Counts of the leaves of the other words, smoothed.
+        self.leaves = np.array([self.rest_total + SMOOTHING * (self.rest_distinct + 1)]) if leaves is None else leaves
+        branches, rows, depth, end = [np.full((1, s.width), _NONE)], 1, 2, len(ranked)
+        ranked = np.concatenate([ranked, self.leaves])
+        while at < len(ranked):
+            # The last tier is the leaves.
+            mine = ranked[at : min(at + s.width**depth, end)] if at < end else self.leaves
+            depth = depth if at < end else rest_depth(len(self.leaves), s.width)
+            by_class.append(mine.sum())
+            levels, below = [], mine
+            for _ in range(depth):
+                below = np.concatenate([below, np.zeros(-len(below) % s.width)]).reshape(-1, s.width)
+                levels.append(log_shares(below))
+                below = below.sum(axis=1)
+            first = []
+            for level in reversed(levels):
+                first.append(rows)
+                branches.append(level)
+                rows += len(level)
+            self.tiers.append((at, depth, first))
+            at, depth = at + len(mine), depth + 1
+        self.branches = np.concatenate(branches)
+        self.classes = log_shares(np.array(by_class))
+        self.first = np.array([t[0] for t in self.tiers[:-1]], np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """A word's place in known, or -1."""
         if not len(self.known):
             return np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.id[at], -1)
+        return np.where(self.known[at] == hashes, at, -1)
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """A common word's count, or -1."""
-        if not len(self.common):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
-        return np.where(self.common[at] == hashes, self.count[at], -1)
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """A word's number in the model by frequency; of other words -1 less the leaf."""
+        at = self.find(hashes)
+        out = -1 - leaf_of(hashes, len(self.leaves))
+        out[at >= 0] = self.id[at[at >= 0]]
+        return out
+
+    def class_of(self, ids: np.ndarray) -> np.ndarray:
+        s = self.shape
+        tier = s.classes - 1 + np.searchsorted(self.first, ids, side="right")
+        return np.where(ids < 0, len(self.classes) - 1, np.where(ids < s.classes * s.words, ids // s.words, tier))
+
+    def choices(self, ids: np.ndarray, cls: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level of each tier: which tokens have a choice there, its row in branches, and the branch taken."""
+        width = self.shape.width
+        for k, (begin, depth, first) in enumerate(self.tiers):
+            at = np.flatnonzero(cls == self.shape.classes + k)
+            place = np.where(ids[at] < 0, -1 - ids[at], ids[at] - begin)
+            for level, row in enumerate(first) if len(at) else ():
+                step = width ** (depth - level - 1)
+                yield at, row + place // (step * width), place // step % width
 
 
 def contexts(token: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -109,49 +197,59 @@ def contexts(token: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Weights: class_w[bucket, class] (the last class is all other words) and word_w[bucket, place in its class]."""
+    """Weights: class_w[bucket, class], word_w[bucket, place in its class] and tree_w[bucket, branch]."""
 
-    def __init__(self, v: Vocabulary, class_w: np.ndarray | None = None, word_w: np.ndarray | None = None):
+    def __init__(self, v: Vocabulary):
         s = v.shape
         self.v, self.s = v, s
         # Each bank of features has buckets of its own; the last row of class_w is the bias.
-        self.class_w = np.zeros((3 * (1 << s.bits) + 1, s.classes + 1), np.float32) if class_w is None else class_w
-        self.word_w = np.zeros((3 * (1 << s.word_bits) + s.classes, s.words), np.float32) if word_w is None else word_w
-        self.mask = np.where(np.arange(s.words)[None, :] < v.sizes[:, None], 0, -1e9).astype(np.float32)
+        self.class_w = np.zeros((3 * (1 << s.bits) + 1, len(v.classes)), np.float32)
+        self.word_w = np.zeros((3 * (1 << s.word_bits) + s.classes, s.words), np.float32)
+        self.tree_w = np.zeros((3 * (1 << s.word_bits), s.width), np.float32)
 
     def class_rows(self, context: np.ndarray) -> np.ndarray:
         rows = (context >> _U(64 - self.s.bits)).astype(np.int64) + (np.arange(3) << self.s.bits)[:, None]
         return np.concatenate([rows, np.full((1, context.shape[1]), len(self.class_w) - 1)])
 
+    def inner_rows(self, context: np.ndarray, which: np.ndarray, salt: int) -> np.ndarray:
+        return (mix(context + which.astype(np.uint64) * _SALT[salt]) >> _U(64 - self.s.word_bits)).astype(np.int64) + (np.arange(3) << self.s.word_bits)[:, None]
+
     def word_rows(self, context: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        rows = (mix(context + cls.astype(np.uint64) * _SALT[5]) >> _U(64 - self.s.word_bits)).astype(np.int64) + (np.arange(3) << self.s.word_bits)[:, None]
-        return np.concatenate([rows, (3 << self.s.word_bits) + cls[None, :]])
+        return np.concatenate([self.inner_rows(context, cls, 5), (3 << self.s.word_bits) + cls[None, :]])
 
     @staticmethod
-    def _log_softmax(weights: np.ndarray, rows: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
-        logit = weights[rows[0]]
+    def _odds(weights: np.ndarray, rows: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """exp of base plus weights, and its sums."""
+        logit = weights.take(rows[0], axis=0)
         for r in rows[1:]:
-            logit += weights[r]
-        if mask is not None:
-            logit += mask
-        logit -= logit.max(axis=1, keepdims=True)
-        logit -= np.log(np.exp(logit).sum(axis=1, keepdims=True))
-        return logit
-
-    def log_probability(self, token: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """Natural log of each token's model probability; of other words that of their class only."""
-        if not len(token):
-            return np.zeros(0)
-        ids, context = self.v.ids(token), contexts(token, begin)
-        cls = np.where(ids >= 0, ids // self.s.words, self.s.classes)
-        out = np.zeros(len(token))
-        for i in range(0, len(token), self.s.batch):
-            part = slice(i, i + self.s.batch)
-            c = cls[part]
-            out[part] = self._log_softmax(self.class_w, self.class_rows(context[:, part]))[np.arange(len(c)), c]
+            logit += weights.take(r, axis=0)
+        logit += base
+        np.minimum(logit, np.float32(60), out=logit)
+        np.exp(logit, out=logit)
+        return logit, np.maximum(logit @ np.ones(logit.shape[1], np.float32), np.float32(1e-37))
+
+    def _log(self, weights: np.ndarray, rows: np.ndarray, base: np.ndarray, target: np.ndarray) -> np.ndarray:
+        odds, total = self._odds(weights, rows, base)
+        return np.log(np.maximum(odds[np.arange(len(target)), target], np.float32(1e-37)) / total)
+
+    def _parts(self, token: np.ndarray, begin: np.ndarray, ids: np.ndarray, size: int) -> Iterator[tuple]:
+        """All choices of all tokens in batches: a name of the weights, tokens, rows, shares without weights, and what was chosen."""
+        context, cls = contexts(token, begin), self.v.class_of(ids)
+        for i in range(0, len(token), size):
+            c, x, mine = cls[i : i + size], context[:, i : i + size], ids[i : i + size]
+            yield "class", slice(i, i + len(c)), self.class_rows(x), self.v.classes, c
             at = np.flatnonzero(c < self.s.classes)
-            inner = self._log_softmax(self.word_w, self.word_rows(context[:, part][:, at], c[at]), self.mask[c[at]])
-            out[i + at] += inner[np.arange(len(at)), ids[part][at] % self.s.words]
+            if len(at):
+                yield "word", i + at, self.word_rows(x[:, at], c[at]), self.v.words[c[at]], mine[at] % self.s.words
+            for at, node, branch in self.v.choices(mine, c):
+                yield "tree", i + at, self.inner_rows(x[:, at], node, 6), self.v.branches.take(node, axis=0), branch
+
+    def log_probability(self, token: np.ndarray, begin: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
+        """Natural log of each token's model probability; of words outside the vocabulary that of their leaf only."""
+        out = np.zeros(len(token))
+        # Smaller batches than in training: the arrays stay in the processor's cache.
+        for which, at, rows, base, target in self._parts(token, begin, self.v.ids(token) if ids is None else ids, self.s.batch // 8):
+            out[at] += self._log(getattr(self, f"{which}_w"), rows, base, target)
         return out
 
 
@@ -160,33 +258,28 @@ class Trainer(Model):
 
     def __init__(self, v: Vocabulary):
         super().__init__(v)
-        self.class_g, self.word_g = np.full(len(self.class_w), 1e-4, np.float32), np.full(len(self.word_w), 1e-4, np.float32)
+        self.class_g, self.word_g, self.tree_g = (np.full(len(w), 1e-4, np.float32) for w in (self.class_w, self.word_w, self.tree_w))
 
-    def _step(self, weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, target: np.ndarray, mask: np.ndarray | None = None) -> None:
-        error = np.exp(self._log_softmax(weights, rows, mask))
+    def _step(self, weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, base: np.ndarray, target: np.ndarray) -> None:
+        error, total = self._odds(weights, rows, base)
+        error /= total[:, None]
         error[np.arange(len(target)), target] -= 1
         for r in rows:
-            # A bank has at most 2**16 buckets, and 16-bit numbers sort in linear time.
-            order = np.argsort((r - r.min()).astype(np.uint16), kind="stable")
+            # 16-bit numbers sort in linear time.
+            low = r - r.min()
+            order = np.argsort(low.astype(np.uint16 if low.max() < 1 << 16 else np.uint32), kind="stable")
             placed = r[order]
             edge = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]]))
             count = np.diff(np.append(edge, len(r))).astype(np.float32)
             at = placed[edge]
             # The mean error of a bucket's tokens, with a step that grows with their number.
-            gradient = np.add.reduceat(error[order], edge, axis=0) / np.sqrt(count)[:, None]
+            gradient = np.add.reduceat(error.take(order, axis=0), edge, axis=0) / np.sqrt(count)[:, None]
             sums[at] += (gradient * gradient).mean(axis=1)
             weights[at] -= self.s.rate * gradient / np.sqrt(sums[at])[:, None]
 
     def learn(self, token: np.ndarray, begin: np.ndarray) -> None:
-        ids, context = self.v.ids(token), contexts(token, begin)
-        cls = np.where(ids >= 0, ids // self.s.words, self.s.classes)
-        for i in range(0, len(token), self.s.batch):
-            part = slice(i, i + self.s.batch)
-            c, x = cls[part], context[:, part]
-            self._step(self.class_w, self.class_g, self.class_rows(x), c)
-            at = np.flatnonzero(c < self.s.classes)
-            if len(at):
-                self._step(self.word_w, self.word_g, self.word_rows(x[:, at], c[at]), ids[part][at] % self.s.words, self.mask[c[at]])
+        for which, _, rows, base, target in self._parts(token, begin, self.v.ids(token), self.s.batch):
+            self._step(getattr(self, f"{which}_w"), getattr(self, f"{which}_g"), rows, base, target)
 
 
 def train(docs: DataFrame, v: Vocabulary, text: str = "text") -> Model:
@@ -200,7 +293,8 @@ def train(docs: DataFrame, v: Vocabulary, text: str = "text") -> Model:
             for w in words(texts_of(batch, text)):
                 model.learn(*tokens(w))
                 some = True
-        for which, weights, sums in (("class", model.class_w, model.class_g), ("word", model.word_w, model.word_g)) if some else ():
+        for which in ("class", "word", "tree") if some else ():
+            weights, sums = getattr(model, f"{which}_w").astype(np.float16), getattr(model, f"{which}_g")
             for i in range(0, len(weights), s.block):
                 yield pa.RecordBatch.from_arrays([pa.array([which]), pa.array([i // s.block]), pa.array([weights[i : i + s.block].tobytes()], pa.binary()), pa.array([(sums[i : i + s.block] - np.float32(1e-4)).tobytes()], pa.binary())], ["which", "block", "weights", "sums"])
 
@@ -208,7 +302,7 @@ def train(docs: DataFrame, v: Vocabulary, text: str = "text") -> Model:
         total, weight = 0.0, 0.0
         for w, g in zip(pdf["weights"], pdf["sums"], strict=True):
             seen = np.sqrt(np.maximum(np.frombuffer(g, np.float32), 0)).astype(np.float64)
-            total = total + np.frombuffer(w, np.float32).reshape(len(seen), -1) * seen[:, None]
+            total = total + np.frombuffer(w, np.float16).astype(np.float32).reshape(len(seen), -1) * seen[:, None]
             weight = weight + seen
         out = (total / np.maximum(weight, 1e-12)[:, None]).astype(np.float32)
         return pd.DataFrame({"which": [pdf["which"].iloc[0]], "block": [pdf["block"].iloc[0]], "weights": [out.tobytes()]})
@@ -219,7 +313,7 @@ def train(docs: DataFrame, v: Vocabulary, text: str = "text") -> Model:
     learned = shards.mapInArrow(run, "which string, block long, weights binary, sums binary").groupBy("which", "block").applyInPandas(mean, "which string, block long, weights binary").collect()
     model = Model(v)
     for row in learned:
-        table = model.class_w if row.which == "class" else model.word_w
+        table = getattr(model, f"{row.which}_w")
         at = row.block * s.block
         part = np.frombuffer(row.weights, np.float32).reshape(-1, table.shape[1])
         table[at : at + len(part)] = part
@@ -239,12 +333,12 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
     counts = written(word_counts(training))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     common = counts.where(F.col("n") >= max(1.0, total.n * COMMON)).toPandas()
-    v = Vocabulary(common["word"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64), total.n, total.v, shape)
+    rare = counts.where(F.col("n") < max(1.0, total.n * COMMON))
+    leaves = rest_leaves(rare, total.v - len(common), shape)
+    v = Vocabulary(common["word"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64), total.n, total.v, shape.grown(total.n), leaves)
     model = train(training, v)
     held = spark.sparkContext.broadcast(model)
-    # log10 of a rest word's share of its class: its count and the smoothing over those of the class.
     denominator = np.log10(max(total.n + SMOOTHING * (total.v + 1), 1e-300))
-    rest = np.log10(max(v.rest_total + SMOOTHING * (v.rest_distinct + 1), 1e-300))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -254,17 +348,18 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
                 token, begin = tokens(w)
                 n = w.last - w.first
                 owner = np.repeat(np.arange(n), np.diff(begin))
-                count, ids = m.v.counts(token), m.v.ids(token)
-                some = count >= 0
-                log_count = np.log10(np.where(some, count, 0) + SMOOTHING)
-                outside = ids < 0
-                model_sum = np.bincount(owner, m.log_probability(token, begin), minlength=n) / np.log(10) - rest * np.bincount(owner[outside], minlength=n)
-                base = np.bincount(owner[some], log_count[some], minlength=n)
-                score = model_sum + np.bincount(owner[some & outside], log_count[some & outside], minlength=n)
+                place = m.v.find(token)
+                some = place >= 0
+                leaf = leaf_of(token[~some], len(m.v.leaves))
+                ids = np.empty(len(token), np.int64)
+                ids[some], ids[~some] = m.v.id[place[some]], -1 - leaf
+                # Another word's share of its leaf: its count, which is joined, and the smoothing over those of the leaf.
+                score = np.bincount(owner, m.log_probability(token, begin, ids), minlength=n) / np.log(10) - np.bincount(owner[~some], np.log10(m.v.leaves[leaf]), minlength=n)
+                base = np.bincount(owner[some], np.log10(m.v.count[place[some]] + SMOOTHING), minlength=n)
                 n_tokens = np.diff(begin)
                 number = row + np.arange(n)
                 row += n
-                # One row for the text itself, with a word number of its own, and one for each word that isn't common.
+                # One row for the text itself, with a word number of its own, and one for each word outside the model.
                 text_of, word_at = owner[~some], token[~some]
                 order = np.lexsort((word_at, text_of))
                 text_of, word_at = text_of[order], word_at[order]
@@ -287,8 +382,7 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
 
     schema = f"row long, word long, times long, {key} {dict(docs.dtypes)[key]}, held_out boolean, n_tokens long, common long, base double, model double"
     rows = known.mapInArrow(run, schema)
-    rare = counts.where(F.col("n") < max(1.0, total.n * COMMON)).select(F.col("word").alias("_w"), F.col("n").alias("_n"))
-    looked = rows.join(rare, F.col("word") == F.col("_w"), "left")
+    looked = rows.join(rare.select(F.col("word").alias("_w"), F.col("n").alias("_n")), F.col("word") == F.col("_w"), "left")
     log_rare = F.col("times") * F.log10(F.coalesce("_n", F.lit(0)) + SMOOTHING)
     each = looked.groupBy("row").agg(
         *(F.max(c).alias(c) for c in (key, "held_out", "n_tokens", "common", "base", "model")),

@@ -254,6 +254,33 @@ def test_language_model_is_a_distribution():
     assert math.isclose(sum(map(math.exp, each)), 1, rel_tol=1e-4)
 
 
+def test_language_model_chooses_rare_words_by_context():
+    from chatloom.llm.maxent import Trainer, Vocabulary, tokens
+
+    # Of 1,200 words that are equally frequent, each b follows its a; all but 4 are outside the classes.
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"a{i} b{i}" for i in rng.permutation(600)).encode() for _ in range(60)]
+    found = [tokens(w) for w in words(texts)]
+    word, n = np.unique(np.concatenate([t for t, _ in found]), return_counts=True)
+    v = Vocabulary(word, n, int(n.sum()), len(word), Shape(classes=2, words=2, batch=4096))
+    model = Trainer(v)
+    for t, b in found:
+        model.learn(t, b)
+    (t, b), = [tokens(w) for w in words([b" ".join(b"a%d b%d" % (i, j) for i, j in zip(range(600), [*range(300), *range(301, 600), 300], strict=True))])]
+    p = model.log_probability(t, b)[1::2][:600]
+    assert p[:300].mean() > p[300:].mean() + 2
+    # Words outside the vocabulary are chosen among by their leaves.
+    few = np.argsort(n)[-1:]
+    leaves = np.full(256, 0.1) + np.bincount(word >> np.uint64(56), n, minlength=256)
+    v = Vocabulary(word[few], n[few], int(n.sum()), len(word), Shape(classes=2, words=2, batch=4096), leaves)
+    model = Trainer(v)
+    for x, y in found:
+        model.learn(x, y)
+    p = model.log_probability(t, b)[1::2][:600]
+    assert p[:300].mean() > p[300:].mean() + 1
+    assert Shape().grown(1 << 30).bits > Shape().grown(1 << 20).bits == Shape().bits
+
+
 def test_quality_rules_equal_brute_force(odd, docs, labels):
     for df in (odd, docs):
         got = quality_rules.quality_rules(df, labels)
