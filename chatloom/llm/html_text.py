@@ -2,7 +2,8 @@
 
 A page is a row of tags and words. Words score positive and tags negative; how much, depends on the element and
 is learned from labelled pages: those whose markup says where the article is. One linear scan finds the
-contiguous region with the highest score. Elements that never belong to an article count nothing and give no text.
+contiguous region with the highest score. Elements that never belong to an article count nothing and give no text; one that
+is marked so but holds the article, or most of what is left of the page, is kept.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 KNOWN = INLINE | VOID | frozenset("address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset("nav aside footer form head menu dialog button select option optgroup datalist fieldset svg math canvas audio video object map search".split())
 ARTICLES = ("article", "main")
-#: Words in class, id or role that mark what isn't the article.
-MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promoted promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup paywall sidebar rail aside widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc skip footer contentinfo complementary search login comment comments commentlist disqus respond reply replies discussion related recommended recommendations share sharing social tags dialog".split())
+#: Words in class, id or role that mark what isn't the article: as a whole name, or first in one of such words and those of LAYOUT.
+MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promoted promotion banner cookie cookies consent gdpr popup modal overlay newsletter subscribe signup paywall sidebar rail aside widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc skip footer contentinfo complementary search login comment comments commentlist disqus respond reply replies discussion related recommended recommendations share sharing social tags dialog".split())
 #: These mark it only outside the article itself.
-OUTER_MARKS = frozenset("header masthead topbar toolbar".split())
+OUTER_MARKS = frozenset("header masthead topbar toolbar alert notice notices".split())
+LAYOUT = frozenset("area bar block box button buttons center container content form group inner item items left link links list main outer panel posts primary right row secondary section slot top bottom unit wrap wrapper".split())
 #: A new element of the first kind ends an open one of the second.
 IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -55,16 +57,22 @@ class Page:
         self.name: list[str] = []
         self.closes: list[bool] = []
         self.dropped: list[bool] = []
+        self.held: list[int] = []  #: the innermost droppable element around each token, or -1
+        self.drops: list[list[int]] = []  #: of each droppable element: first and last token, the one around it, whether it can be kept
+        closed: list[int] = []  #: droppable elements, inner ones first
         self.sections: list[tuple[int, int]] = []  #: first and last token of each article
         at = 0
         open_: list[tuple[str, bool, int]] = []
-        in_article = drops = 0
+        in_article, around = 0, -1
 
         def close(depth: int) -> None:
-            nonlocal in_article, drops
+            nonlocal in_article, around
             while len(open_) > depth:
                 name, drop, begin = open_.pop()
-                drops -= drop
+                if drop:
+                    self.drops[around][1] = len(self.text)
+                    closed.append(around)
+                    around = self.drops[around][2]
                 if name in ARTICLES:
                     in_article -= 1
                     self.sections.append((begin, len(self.text)))
@@ -73,7 +81,7 @@ class Page:
             self.text.append(text)
             self.name.append(name)
             self.closes.append(closes)
-            self.dropped.append(drops > 0)
+            self.held.append(around)
 
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -100,24 +108,55 @@ class Page:
                 depth = max(d for d, o in enumerate(open_) if o[0] == "p")
                 if all(o[0] in INLINE or o[0] == "p" for o in open_[depth:]):
                     close(depth)
-            drop = name in DROPPED or name == "header" and not in_article or (len(rest) > 3 and bool(self._marked(rest, in_article > 0 or name in ("html", "body", *ARTICLES)) and name not in ("html", "body", *ARTICLES)))
+            hidden = name not in ("html", "body", *ARTICLES) and len(rest) > 3 and bool(HIDDEN.search(rest))
+            fixed = hidden or name in DROPPED and name != "form" or name == "header" and not in_article
+            drop = fixed or name == "form" or (len(rest) > 3 and name not in ("html", "body", *ARTICLES) and self._marked(rest, in_article > 0 or name == "p"))
             if rest.rstrip().endswith("/") and name not in KNOWN:
                 continue
-            drops += drop
+            if drop:
+                self.drops.append([len(self.text), 0, around, not fixed])
+                around = len(self.drops) - 1
             in_article += name in ARTICLES
             open_.append((name, drop, len(self.text)))
             add(None, name)
         if at < len(source):
             add(source[at:], open_[-1][0] if open_ else "")
         close(0)
+        self._drop(closed)
+
+    def _drop(self, closed: list[int]) -> None:
+        """Decides on the droppable elements, those with most words first, of equal ones inner ones: one is kept if it holds the largest article or more words than are left outside it."""
+        gone = [True] * len(self.drops)
+        if any(d[3] for d in self.drops):
+            own = [0] * (len(self.drops) + 1)  # words under no inner drop; the last is of those under none at all
+            for text, k in zip(self.text, self.held, strict=True):
+                if text is not None:
+                    own[k] += len(text.split())
+            article = max(self.sections, key=lambda s: s[1] - s[0], default=None)
+            heads = [i for i, name in enumerate(self.name) if name == "h1" and not self.closes[i]]
+            for k in sorted(closed, key=lambda k: -own[k]):
+                first, last, outer, can = self.drops[k]
+                if not can or not own[k] or heads and not any(first < i < last for i in heads):
+                    continue
+                left, up = own[-1], outer
+                while up >= 0:
+                    left, up = left + own[up], self.drops[up][2]
+                if own[k] > left or article and first < article[0] and article[1] <= last:
+                    gone[k] = False
+                    own[outer] += own[k]
+        for k, d in enumerate(self.drops):  # outer ones come first
+            gone[k] = gone[k] or d[2] >= 0 and gone[d[2]]
+        self.dropped = [k >= 0 and gone[k] for k in self.held]
 
     @staticmethod
     def _marked(rest: str, inside: bool) -> bool:
         for m in ATTRIBUTE.finditer(rest):
-            found = {x.lower() for x in WORD_PARTS.findall(m[1] or m[2] or m[3] or "")}
-            if found & MARKS or not inside and found & OUTER_MARKS:
-                return True
-        return bool(HIDDEN.search(rest))
+            for token in (m[1] or m[2] or m[3] or "").split():
+                parts = [x.lower() for x in WORD_PARTS.findall(token)]
+                marks = MARKS if inside else MARKS | OUTER_MARKS
+                if parts and parts[0] in marks and all(x in MARKS or x in OUTER_MARKS or x in LAYOUT for x in parts):
+                    return True
+        return False
 
     def region_text(self, first: int, last: int) -> str:
         """Text of tokens first to before last: references decoded, one space for white space and between blocks."""

@@ -322,6 +322,18 @@ def test_main_text_of_pages(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def test_marks_on_wrappers_do_not_drop_the_article():
+    weights = {(w, k): (1.0 if w == "word" else -0.5) for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
+    words_ = "a quick line of prose about many things that goes on for a while"
+    ad = '<div class="ad">buy this</div><div id="sidebar-wrap"><p>links here</p></div><div class="comments">so nice</div>'
+    for wrap in ("div class='content-sidebar-wrap'", "div class='layout has-sidebar'", "div class=page-with-nav", "div class='post comment-open tags-x'", "form id='aspnetForm'", "div class='sidebar-wrap'", "section class='share-price'", "p class='alert'"):
+        inner = words_ if wrap[0] == "p" else f"<p>{words_}</p>"
+        tag = wrap.split()[0]
+        assert html_text.main_text(f"<body>{ad}<{wrap}>{inner}</{tag}>{ad}</body>", weights) == words_, wrap
+        assert html_text.main_text(f"<body>{ad}<article><{wrap}>{inner}</{tag}>{ad}</article></body>", weights) == words_, wrap
+    assert html_text.main_text(f"<div class='widget'><article>{words_}</article></div><nav>{words_}</nav>", weights) == words_
+
+
 def test_best_region_is_contiguous():
     weights = {(w, k): (1.0 if w == "word" else -2.0) for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
     assert html_text.main_text("<b>a</b><b>c</b><div>one two three four five six seven</div><b>z</b>", weights) == "one two three four five six seven"
