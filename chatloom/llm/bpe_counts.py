@@ -84,12 +84,14 @@ class MergeTable:
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of all pieces after all merges, piece after piece, and the number of each piece's."""
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        data = np.frombuffer(b"".join(pieces), np.uint8)
+        return self.merge_bytes(np.frombuffer(b"".join(pieces), np.uint8), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+
+    def merge_bytes(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """merge() of pieces that lie one after another in data."""
         symbol = self.of_byte[data]
         last = np.cumsum(lengths)[lengths > 0] - 1
         symbol[last] = self.of_last[data[last]]
-        owner = np.repeat(np.arange(len(pieces)), lengths)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(symbol):
             slot = self.find(symbol[:-1] * self.symbols + symbol[1:])
@@ -112,7 +114,7 @@ class MergeTable:
         if not done:
             return symbol, lengths
         symbol, owner = (np.concatenate(x) for x in zip(*done, strict=True))
-        return symbol[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(pieces))
+        return symbol[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(lengths))
 
 
 class TokenCounter:

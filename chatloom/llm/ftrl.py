@@ -1,8 +1,9 @@
 """Logistic regression over hashed n-grams, trained by follow-the-regularised-leader.
 
-A bounded, seeded sample of labelled rows is dealt to shards; each shard makes FTRL-proximal updates over its
-texts for some epochs (a rate of its own for each coordinate, L1 and L2), and the shards' weights are averaged.
-What leaves the shards is bounded by the number of buckets. Scoring is a sum of looked-up weights in numpy batches.
+A bounded, seeded sample of labelled rows becomes hashed features where it lies; only bucket numbers are dealt to a fixed number of
+shards. Each shard makes FTRL-proximal updates over its rows for some epochs (a rate of its own for each coordinate, L1 and L2),
+and a bucket's weight is the mean over the shards by the squared gradients that they saw there. Scoring is a sum of
+looked-up weights in numpy batches.
 """
 
 from __future__ import annotations
@@ -11,23 +12,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm import features
-from chatloom.llm.tables import batch_rows, crc32_mod
+from chatloom.llm.tables import crc32_mod, give_back, slices
 from chatloom.llm.textbytes import texts_of
 
 
-#: Rows of an Arrow batch while texts are scored.
-BATCH_ROWS = 1000
-
-
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of a model; max_rows bounds the labelled sample, shard_rows what one shard learns from."""
+    """Parameters of a model; max_rows bounds the labelled sample, which shards learn from in equal parts."""
 
     kind: str  #: "shaped" or "plain", functions of features
     bits: int
@@ -39,28 +35,30 @@ class Settings:
     l2: float = 1.0
     epochs: int = 3
     max_rows: int = 16_000
-    shard_rows: int = 4_000
+    shards: int = 4
     seed: int = 7
 
-    def rows(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Number, distinct buckets and values of each text that has features."""
+    def rows(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct buckets and values of each text, in turn."""
         for first, last, owner, bucket in getattr(features, self.kind)(texts, self.bits):
             both, count = np.unique((owner << self.bits) | bucket, return_counts=True)
-            text, bucket = both >> self.bits, both & ((1 << self.bits) - 1)
+            text, bucket = both >> self.bits, (both & ((1 << self.bits) - 1)).astype(np.int32)
             at = np.searchsorted(text, np.arange(last - first + 1))
-            for i in range(last - first):
-                c = count[at[i] : at[i + 1]]
-                if len(c):
-                    yield first + i, bucket[at[i] : at[i + 1]], np.ones(len(c)) if self.binary else self.scale * c / c.sum()
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                c = count[a:b].astype(np.float32)
+                yield bucket[a:b], np.ones(b - a, np.float32) if self.binary else np.float32(self.scale) * c / max(c.sum(), np.float32(1))
+
 
+def learned(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets that rows (buckets, values) have, their weights and squared gradients; the bucket after the last is the bias, which has no L1.
 
-def train_shard(texts: list[bytes], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets with a weight, and the weights; the bucket after the last is the bias, which has no L1."""
+    Rows without features teach nothing.
+    """
     size = 1 << s.bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     l1 = np.full(size + 1, s.l1)
     l1[size] = 0.0
-    rows = [(i, np.append(b, size).astype(np.int32), np.append(x, 1.0).astype(np.float32)) for i, b, x in s.rows(texts)]
+    full = [(i, np.append(b, np.int32(size)), np.append(x, np.float32(1))) for i, (b, x) in enumerate(rows) if len(b)]
     order = np.random.default_rng(s.seed)
 
     def weights(at: np.ndarray) -> np.ndarray:
@@ -68,17 +66,16 @@ def train_shard(texts: list[bytes], labels: np.ndarray, s: Settings) -> tuple[np
         return np.where(big > 0, -np.sign(z[at]) * big / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2), 0.0)
 
     for _ in range(s.epochs):
-        for k in order.permutation(len(rows)):
-            i, at, x = rows[k]
+        for k in order.permutation(len(full)):
+            i, at, x = full[k]
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -30, 30)))
             g = (p - labels[i]) * x
             now = n[at] + g * g
             z[at] += g - (np.sqrt(now) - np.sqrt(n[at])) / s.alpha * w
             n[at] = now
-    w = weights(np.arange(size + 1))
-    at = np.flatnonzero(w)
-    return at, w[at]
+    at = np.flatnonzero(n)
+    return at, weights(at), n[at]
 
 
 def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> DataFrame:
@@ -86,23 +83,43 @@ def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> D
     usable = labels.where((crc32_mod(key, 4) != 2) & F.col(key).isNotNull() & F.col(label).isin(0, 1))
     n = usable.count()
     kept = usable.where(F.pmod(F.xxhash64(F.lit(s.seed), F.col(key)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, s.max_rows / max(n, 1))))
-    return kept.groupBy(key).agg(F.max(label).alias("label"))
+    return kept.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
+
+
+def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str, text: str) -> DataFrame:
+    """shard, at, label, buckets and values (little-endian numbers) of the sampled rows: what training needs of their texts."""
+    chosen = F.broadcast(sample(labels, label, s, key))
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(chosen, F.col("_id") == F.col("_key"))
+    rows = rows.select("text", F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64(F.lit(s.seed + 1), "_id"), F.lit(s.shards)).cast("int").alias("shard"), F.xxhash64("_id", "text").alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = list(s.rows(texts_of(batch)))
+            buckets = pa.array([b.astype("<i4").tobytes() for b, _ in found], pa.binary())
+            # All values of a binary model are 1.
+            values = pa.nulls(len(found), pa.binary()) if s.binary else pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), batch.column(1), buckets, values], ["shard", "at", "label", "buckets", "values"])
+
+    return rows.mapInArrow(run, "shard int, at long, label double, buckets binary, values binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str = "doc_id", text: str = "text") -> np.ndarray:
     """Weights of all buckets and the bias. Without labelled rows all weights are 0, and each score is 0.5."""
-    batch_rows(docs, BATCH_ROWS)
-    chosen = sample(labels, label, s, key).withColumnRenamed(key, "_key")
-    shards = max(1, -(-s.max_rows // s.shard_rows)) if labels.limit(s.shard_rows + 1).count() > s.shard_rows else 1
-    rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select("text", "label", F.pmod(F.xxhash64(F.lit(s.seed + 1), F.col(key)), F.lit(shards)).alias("shard"), F.xxhash64(key, "text").alias("at"))
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at", kind="stable")
-        at, w = train_shard([(t or "").encode() for t in pdf["text"]], pdf["label"].to_numpy(float), s)
-        return pd.DataFrame({"bucket": at, "weight": w})
-
-    learned = rows.groupBy("shard").applyInPandas(learn, "bucket long, weight double")
-    mean = learned.groupBy("bucket").agg((F.sum("weight") / shards).alias("weight")).toPandas()
+
+    def learn(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("at", "ascending")])
+        rows = []
+        for b, x in zip(part.column("buckets").to_pylist(), part.column("values").to_pylist(), strict=True):
+            bucket = np.frombuffer(b, "<i4")
+            rows.append((bucket, np.ones(len(bucket), np.float32) if x is None else np.frombuffer(x, "<f4")))
+        at, w, n = learned(rows, part.column("label").to_numpy(), s)
+        out = pa.table({"bucket": at, "weight": w, "seen": n})
+        del rows, part
+        give_back()
+        return out
+
+    each = hashed(docs, labels, label, s, key, text).groupBy("shard").applyInArrow(learn, "bucket long, weight double, seen double")
+    mean = each.groupBy("bucket").agg((F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).alias("weight")).where("weight <> 0").toPandas()
     weights = np.zeros((1 << s.bits) + 1)
     weights[mean["bucket"].to_numpy(np.int64)] = mean["weight"].to_numpy()
     return weights
@@ -110,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str
 
 def score_texts(texts: list[bytes], weights: np.ndarray, s: Settings) -> np.ndarray:
     """The probability of label 1 of each text; one without features gets the bias alone."""
-    total = np.full(len(texts), weights[-1])
+    total = np.full(len(texts), float(weights[-1]))
     for first, last, owner, bucket in getattr(features, s.kind)(texts, s.bits):
         n = last - first
         if s.binary:
@@ -124,26 +141,26 @@ def score_texts(texts: list[bytes], weights: np.ndarray, s: Settings) -> np.ndar
 
 def scored(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted (1 from the threshold on) of every row of docs."""
-    batch_rows(docs, BATCH_ROWS)
     held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     kind = dict(docs.dtypes)[key]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = score_texts(texts_of(batch, text), held.value.astype(np.float64), s)
+        for batch in slices(batches):
+            p = score_texts(texts_of(batch), held.value, s)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= threshold).astype(np.int32))], [key, "held_out", "score", "predicted"])
 
-    return docs.select(key, text, (crc32_mod(key, 4) == 2).alias("held_out")).mapInArrow(score, f"{key} {kind}, held_out boolean, score double, predicted int")
+    return docs.select(key, F.col(text).alias("text"), (crc32_mod(key, 4) == 2).alias("held_out")).mapInArrow(score, f"`{key}` {kind}, held_out boolean, score double, predicted int")
 
 
-def filtered(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float, keep: int, text: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, that are predicted as keep; in one pass, without a join."""
-    batch_rows(docs, BATCH_ROWS)
-    held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+def predicted(spark: SparkSession, text: Column, weights: np.ndarray, s: Settings, threshold: float) -> Column:
+    """Whether a text's score reaches the threshold: only the text goes to Python, and one bit comes back."""
+    held = spark.sparkContext.broadcast(weights.astype(np.float32))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            predicted = score_texts(texts_of(batch, text), held.value.astype(np.float64), s) >= threshold
-            yield batch.filter(pa.array(predicted == bool(keep)))
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = slices([pa.RecordBatch.from_arrays([texts], ["text"])])
+            found = [score_texts(texts_of(part), held.value, s) >= threshold for part in parts]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0, bool))
 
-    return docs.mapInArrow(run, docs.schema)
+    return run(text)

@@ -8,11 +8,11 @@ expanded into pairs:
 1. Equal sets are one node from here on.
 2. Under each order, the sets with the same first shingle are compared with one of them, a pivot. Links make
    components; weaker similarity makes groups, which hold what is alike but not linked so far.
-3. In a group whose sets aren't all connected, blocks of sets meet blocks of sets, in a task each. Sets that
-   are connected already are passed over, so only links that join something come out.
+3. In a group whose sets aren't all connected, blocks of the sets outside its largest component meet blocks of all its sets, in a task
+   each. Sets that are connected already are passed over, so only links that join something come out.
 4. Between groups, prefixes under one order (shingles that many documents share come last) are dealt by shingle. Sets of
-   different groups that share one are candidates; sizes, parity bits and the prefixes under all other orders
-   rule most of them out before the sets are compared.
+   different groups that share one are candidates; where very many share one, blocks of their sizes and parity bits meet in tasks. Sizes,
+   parity bits and the prefixes under the other orders are intersected before any text is fetched.
 """
 
 from __future__ import annotations
@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.components import components
-from chatloom.llm.tables import batch_rows, written
+from chatloom.llm.tables import slices, written
 from chatloom.llm.textbytes import mix, seeded, texts_of, windows, words
 
 ORDERS = 5
-#: Shingles with so many documents in a batch may be frequent; each batch names at most so many.
-LOCAL_COUNT, LOCAL_NAMED = 3, 50_000
-#: Rows of such a batch.
-COUNTED_ROWS = 10_000
+#: Of these, so many more than the first have their prefixes intersected before texts are fetched.
+FILTERS = 2
+#: Shingles with so many documents in a slice of so many bytes may be frequent; each slice names at most so many.
+LOCAL_COUNT, LOCAL_NAMED, COUNTED_BYTES = 3, 50_000, 1 << 25
 #: Frequent shingles that orders put last, at most; any choice gives the same links.
 FREQUENT = 4_000_000
 #: Similarity from which sets share a group, in percent; any value gives the same links.
@@ -43,6 +43,10 @@ GROUP_PERCENT = 50
 BLOCK_SHINGLES = 600_000
 #: A shingle in the prefixes of more sets of different groups becomes frequent too, and prefixes are taken anew, at most so often.
 LONG_LIST, AGAIN = 100, 1
+#: Sets of a block of a list with more than LONG_LIST sets.
+LIST_BLOCK = 1024
+#: Parts of the rows of one key where a large table meets facts about its keys.
+SALTS = 32
 #: Ids are sent to all machines to pick texts up to so many; beyond, texts are joined by shuffle.
 SENT_IDS = 1_000_000
 #: Pairs of one pivot that stay together; a pivot with more is dealt to several tasks.
@@ -76,15 +80,24 @@ def shingle_sets(texts: list[bytes], width: int) -> Iterator[tuple[int, int, np.
         yield w.first, w.last, value[new], count[begin]
 
 
+def short(values: np.ndarray) -> np.ndarray:
+    """The upper half of each hash: enough to tell what is frequent, and to find that prefixes share nothing."""
+    return (values >> _U(32)).astype(np.uint32)
+
+
 def _ranks(values: np.ndarray, order: int, frequent: np.ndarray) -> np.ndarray:
-    """A shingle's place in a global order: seeded, with the frequent ones last."""
+    """A shingle's place in a global order: seeded, with the frequent ones (short, sorted) last."""
     place = mix(values ^ _ORDER[order]) >> _U(1)
     if len(frequent):
-        found = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values
-        place[found] |= _U(1 << 63)
+        place[_among(short(values), frequent)] |= _U(1 << 63)
     return place
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the known, sorted ones."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -105,50 +118,65 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 
 def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
-    """For each document (named: false) its key, n, node (a hash of its set, null if empty) and first shingles; and shingles that are frequent in a batch (named: true) as node with n."""
+    """For each document (named: false) its key, text_hash, n, node (a hash of its set, null if empty), first shingles, parity bits and standing; and shingles that are frequent in a slice (named: true) as node, short, with n.
+
+    A set's standing is the share of its shingles that the slice holds twice: central sets of a group have most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, nodes, firsts, held, bits, owners = [], [], [], [], [], []
-            for _, _, value, at in shingle_sets(texts_of(batch, text), width):
+        for batch in slices(batches, most=COUNTED_BYTES):
+            sizes, nodes, firsts, held, bits = [], [], [], [], []
+            for _, _, value, at in shingle_sets(texts_of(batch), width):
                 n = np.diff(at)
                 some = n > 0
                 node = np.zeros(len(n), np.uint64)
                 first = np.zeros((len(n), ORDERS), np.uint64)
                 if some.any():
                     begin = at[:-1][some]
-                    node[some] = mix(np.add.reduceat(mix(value + _U(1)), begin) + n[some].astype(np.uint64))
+                    node[some] = node_hash(value, begin, n[some])
                     for k in range(ORDERS):
                         first[some, k] = np.minimum.reduceat(mix(value ^ _ORDER[k]), begin)
                 sizes.append(n)
                 nodes.append(node)
                 firsts.append(first)
-                held.append(value)
-                owners.append(np.repeat(np.arange(len(n), dtype=np.int32) + np.int32(sum(map(len, sizes[:-1]))), n))
+                held.append(short(value))
                 bits += [parity_bits(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            if not sizes:
-                continue
             n, node, first = np.concatenate(sizes), np.concatenate(nodes).view(np.int64), np.concatenate(firsts).view(np.int64)
-            # A batch's shingles are some tens of megabytes, so each array goes as soon as it has served.
-            values = np.concatenate(held)
-            held.clear()
-            order = np.argsort(values, kind="stable")
-            values, owner = values[order], np.concatenate(owners)[order]
-            del order, owners
+            values = np.sort(np.concatenate(held))
             edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
             count = np.diff(np.append(edge, len(values)))
-            # A set's standing: the share of its shingles that another set of the batch has. Central sets of a group have most.
-            common = np.bincount(owner[np.repeat(count > 1, count)], minlength=len(n)) / np.maximum(n, 1)
-            del owner
+            twice = values[edge[count > 1]]
+            total = [np.concatenate([[0], np.cumsum(_among(x, twice))]) for x in held]
+            common = np.concatenate([np.diff(t[np.concatenate([[0], np.cumsum(k)])]) for t, k in zip(total, sizes, strict=True)]) / np.maximum(n, 1)
             many = np.flatnonzero(count >= LOCAL_COUNT)
             many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
-            named = np.repeat([False, True], [len(n), len(many)])
-            lists = pa.array([*first.tolist(), *[None] * len(many)], pa.list_(pa.int64()))
-            keys = pa.concat_arrays([batch.column(0), pa.nulls(len(many), batch.column(0).type)])
-            every = np.concatenate([node, values[edge[many]].view(np.int64)])
-            yield pa.RecordBatch.from_arrays([keys, pa.array(named), pa.array(np.concatenate([n, count[many]])), pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])), lists, pa.array([*bits, *[None] * len(many)], pa.binary()), pa.array(np.concatenate([common, np.zeros(len(many))]))], [key, "named", "n", "node", "firsts", "bits", "standing"])
+            every = np.concatenate([node, values[edge[many]].astype(np.int64)])
+            columns = [
+                pa.concat_arrays([batch.column(0), pa.nulls(len(many), batch.column(0).type)]),
+                pa.concat_arrays([batch.column(2), pa.nulls(len(many), pa.int64())]),
+                pa.array(np.repeat([False, True], [len(n), len(many)])),
+                pa.array(np.concatenate([n, count[many]])),
+                pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])),
+                pa.array([*first.tolist(), *[None] * len(many)], pa.list_(pa.int64())),
+                pa.array([*bits, *[None] * len(many)], pa.binary()),
+                pa.array(np.concatenate([common, np.zeros(len(many))])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [key, "text_hash", "named", "n", "node", "firsts", "bits", "standing"])
+
+    schema = f"`{key}` {dict(docs.dtypes)[key]}, text_hash long, named boolean, n long, node long, firsts array<long>, bits binary, standing double"
+    return docs.select(key, F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(run, schema)
+
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, named boolean, n long, node long, firsts array<long>, bits binary, standing double")
+def node_hash(value: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of each set of shingles; the sets lie one after another from begin on, and none is empty."""
+    return mix(np.add.reduceat(mix(value + _U(1)), begin) + n.astype(np.uint64))
+
+
+def texts_of_nodes(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """The columns of nodes, and the text of the document that stands for each: by its id and the text's hash, as an id may have several texts."""
+    found = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_hash"))
+    wanted = F.broadcast(nodes) if nodes.count() <= SENT_IDS else nodes
+    return found.join(wanted, (F.col("_key") == F.col("doc")) & (F.col("_hash") == F.col("text_hash"))).select(*nodes.columns, "text")
 
 
 def linked(percent: int) -> Column:
@@ -173,21 +201,58 @@ def near_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "slack", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long, exact boolean")
 
 
-def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+def _ends_of(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, doc and text_hash of the nodes in pairs."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    return ends.join(nodes, "node").select("node", "doc", "text_hash")
+
+
+def prefixes_meet(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """The pairs(a, b, exact) whose prefixes share a shingle under each of the other orders. Prefixes are taken where the texts lie."""
+    named = texts_of_nodes(docs, written(_ends_of(pairs, nodes)), key, text).select("node", "text")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint32)
+        for batch in slices(batches):
+            lists: list[list[bytes]] = [[] for _ in range(FILTERS)]
+            for _, _, value, at in shingle_sets(texts_of(batch), width):
+                for k, out in enumerate(lists, 1):
+                    rank = _ranks(value, k, none)
+                    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                        m = prefix_size(b - a, percent)
+                        out.append(np.sort(short(value[a:b][np.argpartition(rank[a:b], m - 1)[:m]])).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in lists)], ["node", *names])
+
+    names = [f"order{k}" for k in range(1, FILTERS + 1)]
+    taken = written(named.mapInArrow(take, "node long, " + ", ".join(f"{n} binary" for n in names)).dropDuplicates(["node"]))
+    for side in ("a", "b"):
+        pairs = pairs.join(taken.select(F.col("node").alias(side), *(F.col(n).alias(f"{n}_{side}") for n in names)), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for k in range(FILTERS):
+                both = zip(batch.column(3 + k).to_pylist(), batch.column(3 + FILTERS + k).to_pylist(), strict=True)
+                keep &= np.fromiter((bool(_among(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)).any()) for x, y in both), bool, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in range(3)], ["a", "b", "exact"])
+
+    return pairs.select("a", "b", "exact", *(f"{n}_a" for n in names), *(f"{n}_b" for n in names)).mapInArrow(run, "a long, b long, exact boolean")
+
+
+def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str, filtered: bool = True) -> DataFrame:
     """a, b, na, nb and both (shared shingles) of the pairs(a, b, slack) that can matter: pivot a, node b.
 
-    Pairs whose sizes or parity bits put them beyond the threshold plus slack are left out, and those without slack whose prefixes don't
+    Pairs whose sizes or parity bits put them beyond the threshold plus slack are left out, and (filtered) those whose prefixes don't
     share a shingle under every order. Texts are fetched only for what is left; a pivot with many pairs is dealt to several tasks.
     """
     pairs = written(near_enough(pairs, nodes, percent))
-    ids = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node").select("node", F.col("doc").alias("_doc")))
-    wanted = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
-    found = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(wanted, F.col("_key") == F.col("_doc"))
-    texts = written(found.select("node", "text"))
+    if filtered:
+        pairs = written(prefixes_meet(pairs, nodes, docs, width, percent, key, text))
+    texts = written(texts_of_nodes(docs, written(_ends_of(pairs, nodes)), key, text).select("node", "text").dropDuplicates(["node"]))
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIVOT_PAIRS).alias("parts"))
     dealt = written(pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts"))).drop("parts"))
     left = dealt.select("a", "part").distinct().join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    rows = dealt.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(left, ["a", "part"]).select("a", "b", "exact", "ta", "tb")
+    rows = dealt.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(left, ["a", "part"]).select("a", "b", "ta", "tb")
     none = np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,13 +260,10 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
         one = lambda t: next((v for _, _, v, _ in shingle_sets([t], width)), none)
         for batch in batches:
             out: list[tuple] = []
-            exact = batch.column(2).to_pylist()
             for i, (ta, tb) in enumerate(zip(texts_of(batch, "ta"), texts_of(batch, "tb"), strict=True)):
                 if ta != last[0]:
                     last = (ta, one(ta))
                 x, y = last[1], one(tb)
-                if not exact[i] and not _prefixes_meet(x, y, percent):
-                    continue
                 out.append((i, len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
             at = pa.array([o[0] for o in out], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array([o[k] for o in out], pa.int64()) for k in (1, 2, 3))], ["a", "b", "na", "nb", "both"])
@@ -209,28 +271,18 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     return written(rows.mapInArrow(run, "a long, b long, na long, nb long, both long").distinct())
 
 
-def _prefixes_meet(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether the prefixes share a shingle under every order."""
-    none = np.zeros(0, np.uint64)
-    for k in range(ORDERS):
-        px, py = _ranks(x, k, none), _ranks(y, k, none)
-        p, q = prefix_size(len(x), percent), prefix_size(len(y), percent)
-        px, py = (np.partition(r, m - 1)[:m] for r, m in ((px, p), (py, q)))
-        if not len(np.intersect1d(px, py)):
-            return False
-    return True
-
-
 def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
     """key, node and the shingles of the prefix of each document that has shingles."""
     held = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, nodes, found, ends = [], [], [], [0]
-            for first, last, value, at in shingle_sets(texts_of(batch, text), width):
+            for first, last, value, at in shingle_sets(texts_of(batch), width):
                 rank = _ranks(value, 0, held.value)
-                mixed = mix(value + _U(1))
+                n = np.diff(at)
+                if (n > 0).any():
+                    nodes.append(node_hash(value, at[:-1][n > 0], n[n > 0]))
                 for i in range(last - first):
                     a, b = at[i], at[i + 1]
                     if a == b:
@@ -238,22 +290,21 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, ke
                     m = prefix_size(int(b - a), percent)
                     chosen = np.argpartition(rank[a:b], m - 1)[:m]
                     rows.append(first + i)
-                    nodes.append(mixed[a:b].sum(dtype=np.uint64) + _U(int(b - a)))
                     found.append(value[a:b][chosen])
                     ends.append(ends[-1] + m)
-            node = mix(np.array(nodes, np.uint64)).view(np.int64)
+            node = np.concatenate(nodes).view(np.int64) if nodes else np.zeros(0, np.int64)
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(node), lists], [key, "node", "shingles"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, node long, shingles array<long>")
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, node long, shingles array<long>")
 
 
 def most(counts: DataFrame, name: str, least: int) -> np.ndarray:
-    """Shingles with at least least and with at least a FREQUENT-th of all counts, which at most FREQUENT can have."""
+    """Short shingles with at least least and with at least a FREQUENT-th of all counts, which at most FREQUENT can have."""
     counts = written(counts.where(F.col("n") >= least))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.where(F.col("n") >= total / FREQUENT).select(name).toPandas()[name].to_numpy(np.int64).view(np.uint64)
+    return counts.where(F.col("n") >= total / FREQUENT).select(name).toPandas()[name].to_numpy(np.int64).astype(np.uint32)
 
 
 def _shared_prefixes(docs: DataFrame, labels: DataFrame, width: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
@@ -286,30 +337,69 @@ def _joins(label: np.ndarray, sets: list[np.ndarray], bits: np.ndarray, left: np
     return found
 
 
+def _with_facts(rows: DataFrame, facts: DataFrame, on: str, node: str = "node") -> DataFrame:
+    """rows joined with facts about their key on; the rows of a key are dealt to several tasks."""
+    salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int")).join(salted, [on, "_salt"]).drop("_salt")
+
+
 def group_links(labels: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Links a, b inside groups that hold several components: blocks of sets meet blocks of sets, no pairs are made."""
-    sums = labels.groupBy("grp").agg(F.min("component").alias("_l"), F.max("component").alias("_h"), F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks")).where("_l <> _h").select("grp", "blocks")
-    wanted = written(labels.join(sums, "grp").select("node", F.col("doc").alias("_doc"), "component", "grp", "blocks"))
-    ids = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
-    members = written(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(ids, F.col("_key") == F.col("_doc")).select("node", "component", "grp", "blocks", "text").dropDuplicates(["node"]))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # Each block meets itself and every other one, once.
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    rows = members.withColumn("block", block).withColumn("m", F.explode(meets)).select("grp", "m.i", "m.j", "block", "node", "component", "text")
+    """Links a, b inside groups that hold several components: blocks of the sets outside the largest one meet blocks of all sets, no pairs are made."""
+    parts = labels.groupBy("grp", "component").agg(F.sum("n").alias("n"))
+    sums = parts.groupBy("grp").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    sums = written(sums.select("grp", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK_SHINGLES).cast("int").alias("few"), F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("many")))
+    wanted = written(_with_facts(labels.select("node", "doc", "text_hash", "component", "grp"), sums, "grp"))
+    members = written(texts_of_nodes(docs, wanted, key, text).dropDuplicates(["node"]))
+    mine = F.xxhash64("node")
+    outside = members.where(F.col("component") != F.col("main")).withColumn("i", F.pmod(mine, F.col("few")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("left", F.lit(True))
+    every = members.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("j", F.pmod(mine, F.col("many")).cast("int")).withColumn("left", F.lit(False))
+    rows = outside.unionByName(every).select("grp", "i", "j", "left", "node", "component", "text")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [v[a:b] for _, _, v, at in shingle_sets([t.encode() for t in pdf["text"]], width) for a, b in zip(at[:-1], at[1:], strict=True)]
         size = 1 << (4 * max(map(len, sets))).bit_length()
         bits = np.stack([np.frombuffer(parity_bits(v, size), np.uint64) for v in sets])
         label = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1].copy()
-        block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        links = _joins(label, sets, bits, np.flatnonzero(block == i), np.flatnonzero(block == j), percent)
+        left, node = pdf["left"].to_numpy(), pdf["node"].to_numpy()
+        links = _joins(label, sets, bits, np.flatnonzero(left), np.flatnonzero(~left), percent)
         return pd.DataFrame({"a": node[[x for x, _ in links]], "b": node[[y for _, y in links]]}, dtype=np.int64)
 
     return written(rows.groupBy("grp", "i", "j").applyInPandas(run, "a long, b long"))
 
 
+def long_lists(lists: DataFrame) -> DataFrame:
+    """Shingles that more than LONG_LIST sets share: shingle, their main group, and blocks of the sets outside it (few) and of all (many)."""
+    parts = lists.groupBy("shingle", "grp").agg(F.count(F.lit(1)).alias("m"))
+    sums = parts.groupBy("shingle").agg(F.max(F.struct("m", "grp"))["grp"].alias("main"), F.sum("m").alias("all"), F.max("m").alias("most")).where(F.col("all") > LONG_LIST)
+    return sums.select("shingle", "main", F.ceil((F.col("all") - F.col("most")) / LIST_BLOCK).cast("int").alias("few"), F.ceil(F.col("all") / LIST_BLOCK).cast("int").alias("many"))
+
+
+def long_list_pairs(lists: DataFrame, nodes: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """a, b of sets of different groups on a long list (shingle, node, grp, n) that sizes and parity bits allow: blocks of the sets outside its main group meet blocks of all in tasks, no pairs are made before."""
+    rows = _with_facts(lists, long, "shingle").join(nodes.select("node", "bits"), "node")
+    mine = F.xxhash64("node")
+    outside = rows.where(F.col("grp") != F.col("main")).withColumn("i", F.pmod(mine, F.col("few")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("left", F.lit(True))
+    every = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("j", F.pmod(mine, F.col("many")).cast("int")).withColumn("left", F.lit(False))
+    dealt = outside.unionByName(every).select("shingle", "i", "j", "left", "node", "grp", "n", "bits")
+
+    def run(part: pa.Table) -> pa.Table:
+        left, node, grp, n = (part.column(c).to_numpy() for c in ("left", "node", "grp", "n"))
+        bits = part.column("bits").to_pylist()
+        size = min(map(len, bits)) // 8
+        # Longer bits are folded to the length of the shortest.
+        bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size), axis=0) for x in bits])
+        right, found = np.flatnonzero(~left), [np.zeros((2, 0), np.int64)]
+        for x in np.flatnonzero(left).tolist():
+            other = right[(grp[right] != grp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
+            differ = np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            other = other[100 * (n[other] + n[x] - differ) >= percent * (n[other] + n[x] + differ)]
+            found.append(np.stack([np.minimum(node[other], node[x]), np.maximum(node[other], node[x])]))
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("shingle", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles and component_id of every row of docs.
 
@@ -319,12 +409,11 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     a null component and link nothing; repeated rows each give a row; an empty table gives none. Other columns are not read.
     Shingles and sets are told apart by 64-bit hashes.
     """
-    batch_rows(docs, COUNTED_ROWS)
     known = written(profile(docs, width, key, text))
     rows = known.where(~F.col("named"))
     usable = rows.where(F.col("node").isNotNull() & F.col(key).isNotNull())
-    kept = [F.min(key).alias("doc"), *(F.first(c).alias(c) for c in ("n", "firsts", "bits")), F.max("standing").alias("standing")]
-    nodes = written(usable.groupBy("node").agg(*kept))
+    kept = [F.min(F.struct(F.col(key).alias("doc"), "text_hash")).alias("_d"), *(F.first(c).alias(c) for c in ("n", "firsts", "bits")), F.max("standing").alias("standing")]
+    nodes = written(usable.groupBy("node").agg(*kept).select("node", "_d.*", "n", "firsts", "bits", "standing"))
     frequent = most(known.where("named").groupBy("node").agg(F.sum("n").alias("n")), "node", 1)
 
     # One pivot for each first shingle under each order: the set of highest standing.
@@ -332,10 +421,10 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     pivots = starts.groupBy("k", "first").agg(F.max(F.struct("standing", "node"))["node"].alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
     slack = (percent - GROUP_PERCENT) / 100
     stars = starts.join(pivots, ["k", "first"]).where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b"), F.lit(slack).alias("slack")).distinct()
-    seen = compared(stars, nodes, docs, width, percent, key, text)
+    seen = compared(stars, nodes, docs, width, percent, key, text, filtered=False)
     alike, edges = seen.where(linked(GROUP_PERCENT)).select("a", "b"), [seen.where(linked(percent)).select("a", "b")]
     connected, grouped = components(edges[0]), components(alike).withColumnRenamed("component", "grp")
-    labels = nodes.select("node", "doc", "n").join(connected, "node", "left").join(grouped, "node", "left")
+    labels = nodes.select("node", "doc", "text_hash", "n").join(connected, "node", "left").join(grouped, "node", "left")
     labels = written(labels.withColumn("component", F.coalesce("component", "node")).withColumn("grp", F.coalesce("grp", "node")))
     edges.append(group_links(labels, docs, width, percent, key, text))
 
@@ -343,13 +432,15 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         lists = _shared_prefixes(docs, labels, width, percent, frequent, key, text)
         if turn == AGAIN:
             break
-        longer = most(lists.groupBy("shingle").agg(F.countDistinct("grp").alias("n")), "shingle", LONG_LIST + 1)
+        longer = most(lists.groupBy(F.shiftrightunsigned("shingle", 32).alias("shingle")).agg(F.countDistinct("grp").alias("n")), "shingle", LONG_LIST + 1)
         if not len(np.setdiff1d(longer, frequent)):
             break
         frequent = np.union1d(frequent, longer)
-    one, two = (lists.select("shingle", F.col("node").alias(p), F.col("grp").alias(f"g{p}"), F.col("n").alias(f"n{p}")) for p in ("a", "b"))
+    long = written(long_lists(lists))
+    few = lists.join(long, "shingle", "left_anti")
+    one, two = (few.select("shingle", F.col("node").alias(p), F.col("grp").alias(f"g{p}"), F.col("n").alias(f"n{p}")) for p in ("a", "b"))
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    meet = one.join(two, "shingle").where(sizes & F.expr("a < b and ga <> gb")).select("a", "b", F.lit(0.0).alias("slack")).distinct()
+    meet = one.join(two, "shingle").where(sizes & F.expr("a < b and ga <> gb")).select("a", "b").union(long_list_pairs(lists, nodes, long, percent)).withColumn("slack", F.lit(0.0)).distinct()
     edges.append(compared(meet, nodes, docs, width, percent, key, text).where(linked(percent)).select("a", "b"))
 
     whole = components(reduce(DataFrame.union, edges))

@@ -1,6 +1,6 @@
 """Best-fit packing of documents into sequences of bounded length, by hierarchical residual packing.
 
-Each partition packs its pieces best-fit decreasing, in blocks of bounded size. Nearly full bins
+Each partition packs its pieces best-fit decreasing, in blocks of bounded size. Bins that are nearly full, or too full for the smallest other,
 stay as they are; the others go up a tree as single items, a few partitions into one, and are packed
 best-fit with their like in each round. A bin's place in its parent is one small row per round, so
 the pieces themselves never move: at the end they look up where their bin went.
@@ -9,9 +9,9 @@ the pieces themselves never move: at the end they look up where their bin went.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -21,27 +21,101 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.bpe_counts import MergeTable
-from chatloom.llm.tables import written
-from chatloom.llm.textbytes import texts_of
-
-#: Words whose ids a worker keeps; then it forgets them. Bounds memory only.
-KEPT = 400_000
-BATCH_BYTES = 1 << 21
-#: Items that are packed together; a partition with more packs them in blocks of so many.
-BLOCK_ITEMS = 1 << 18
+from chatloom.llm.tables import slices, written
+from chatloom.llm.textbytes import SPACE, blocks, span_hashes, texts_of
+
+#: Bytes of known units and their ids with which a worker forgets them; until then it keeps them, between tasks too.
+KEPT_BYTES = 1 << 25
+#: Items that are packed together at most: in a partition's blocks, and in a task of the tree.
+BLOCK_ITEMS = 1 << 16
 #: A bin with at most so much free space, as a share of its capacity, is nearly full.
 NEARLY_FULL = 1 / 256
-#: So many partitions' underfull bins meet in one of the next round.
-FAN_IN = 16
-#: Words that may be cut before encoding, as each part is a pre-token of its own: ASCII (but "<", of special strings) and Latin-1 letters.
-PLAIN = re.compile("[\x21-\x3B\x3D-\x7EÀ-ÖØ-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Rounds of the tree at most; each has a range of bin numbers.
+MOST_ROUNDS = 30
+#: The tree ends with a round that lowers the number of bins by less than this share.
+WORTH = 1 / 100
+#: Kinds of bytes: letters (ASCII, and both bytes of Latin-1 letters), digits, other printable ASCII.
+LETTER, DIGIT, OTHER = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = OTHER
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+_KIND[0x30:0x3A] = DIGIT
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+#: What may follow an apostrophe that begins a unit: one letter, or two. Fixed values.
+_ONE = np.zeros(256, bool)
+_ONE[[ord(c) for c in "stmd"]] = True
+_TWO = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
+_LIBRARY = np.uint64(0xA24BAED4963EE407)
+
+
+@dataclass
+class Units:
+    """Units of a buffer: parts of plain words, and other words whole, in their order."""
+
+    data: np.ndarray  #: the bytes; those of plain words in lower case
+    start: np.ndarray
+    end: np.ndarray
+    plain: np.ndarray
+    hash: np.ndarray
+
+
+def units(data: np.ndarray) -> Units:
+    """Cuts bytes at white space, and words of ASCII and Latin-1 letters further, as the pre-tokenizer does: runs of letters, digits each alone, runs of others, endings after an apostrophe.
+
+    Words with other characters, or with "<" of special strings, are one unit. data ends in white space.
+    """
+    space = SPACE[data]
+    kind = _KIND[data]
+    lead = data == 0xC3
+    second = np.zeros(len(data), bool)
+    second[1:] = lead[:-1] & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    first = np.zeros(len(data), bool)
+    first[:-1] = second[1:]
+    kind[first | second] = LETTER
+    odd = ((kind == 0) & ~space) | (data == 0x3C)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.concatenate([[0], edge])
+    begin, end = edge[0::2], edge[1::2]
+    if not len(begin):
+        none = np.zeros(0, np.int64)
+        return Units(data, none, none, none.astype(bool), none.astype(np.uint64))
+    strange = np.add.reduceat(odd, begin, dtype=np.int64) > 0
+    lower = _LOWER[data]
+    capital = second & (data >= 0x80) & (data <= 0x9E)
+    lower[capital] += 0x20
+    cut = np.ones(len(data), bool)
+    cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    # An ending after an apostrophe that begins a unit belongs to it, and the next unit begins behind it.
+    at = np.flatnonzero((data == 0x27) & cut)
+    at = at[at + 3 < len(data)]
+    one = at[_ONE[lower[at + 1]]]
+    two = at[np.any([(lower[at + 1] == a) & (lower[at + 2] == b) for a, b in _TWO], axis=0)]
+    cut[np.concatenate([one, two]) + 1] = False
+    cut[np.concatenate([one + 2, two + 3])] = True
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[begin[strange]] += 1
+    inside[end[strange]] -= 1
+    in_strange = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    cut &= ~in_strange & ~space
+    cut[begin[strange]] = True
+    start = np.flatnonzero(cut)
+    stop = np.append(start[1:], len(data))
+    word_end = end[np.searchsorted(begin, start, side="right") - 1]
+    stop = np.minimum(stop, word_end)
+    data = np.where(in_strange, data, lower)
+    plain = ~in_strange[start]
+    value = span_hashes(data, start, stop)
+    value[~plain] ^= _LIBRARY
+    return Units(data, start, stop, plain, value)
 
 
 class WordIds:
-    """Token ids of texts for a tokenizer that drops white space: a text's ids are its words' ids in turn.
+    """Token ids of texts for a tokenizer that lowers case, drops white space and cuts words as units() does: a text's ids are its units' ids in turn.
 
-    Parts of plain words are merged in batches as ragged arrays; other words go to the library itself.
+    Parts of plain words are merged in batches as ragged arrays; other words go to the library itself. Known units lie
+    in arrays, sorted by hash.
     """
 
     def __init__(self, path: str):
@@ -50,50 +124,52 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.table = MergeTable(path)
-        self.of_word: dict[bytes, bytes] = {}
-        self.of_part: dict[str, bytes] = {}
-
-    def forget(self) -> None:
-        """Gives the memory of known words back: the worker may run other things next."""
-        self.of_word.clear()
-        self.of_part.clear()
-
-    def _merged(self, parts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(parts), 1 << 16):
-            symbols, counts = self.table.merge([p.encode() for p in parts[i : i + (1 << 16)]])
-            data, end = symbols.astype("<u4").tobytes(), 4 * np.cumsum(counts)
-            yield from (data[a:b] for a, b in zip((end - 4 * counts).tolist(), end.tolist(), strict=True))
-
-    def _learn(self, new: set[bytes]) -> None:
-        whole, cut = [], {}
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            if PLAIN.fullmatch(text):
-                cut[word] = PARTS.findall(text.lower())
-            else:
-                whole.append(word)
-        known = self.of_part
-        parts = list({p for ps in cut.values() for p in ps if p not in known})
-        if len(known) + len(parts) > KEPT:
-            known.clear()
-            parts = list({p for ps in cut.values() for p in ps})
-        known.update(zip(parts, self._merged(parts), strict=True))
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in whole], add_special_tokens=False)
-        self.of_word.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(whole, found, strict=True))
-        self.of_word.update((w, b"".join(map(known.__getitem__, ps))) for w, ps in cut.items())
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        cut = [t.split() for t in texts]
-        distinct = set().union(*cut)
-        known = self.of_word
-        new = {w for w in distinct if w not in known}
-        if new and len(known) + len(new) > KEPT:
-            known.clear()
-            new = distinct
-        if new:
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn(self, u: Units, new: np.ndarray) -> None:
+        """Adds the units at places new, which are distinct."""
+        plain, other = new[u.plain[new]], new[~u.plain[new]]
+        length = u.end[plain] - u.start[plain]
+        at = np.repeat(u.start[plain] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        symbols, counts = self.table.merge_bytes(u.data[at], length)
+        words = [u.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(u.start[other].tolist(), u.end[other].tolist(), strict=True)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids = np.concatenate([symbols.astype(np.uint32), *(np.array(x, np.uint32) for x in found)])
+        counts = np.concatenate([counts, np.fromiter(map(len, found), np.int64, len(found))])
+        hashes = np.concatenate([self.known, u.hash[plain], u.hash[other]])
+        first = np.concatenate([self.first, len(self.ids) + np.cumsum(counts) - counts])
+        order = np.argsort(hashes, kind="stable")
+        self.known, self.first, self.count = hashes[order], first[order], np.concatenate([self.count, counts])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        return np.where(self.known[at] == hashes, at, -1) if len(self.known) else np.full(len(hashes), -1)
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        for first, last in blocks(texts):
+            buffer = b"\n".join(texts[first:last]) + b"\n"
+            u = units(np.frombuffer(buffer, np.uint8))
+            distinct, one, which = np.unique(u.hash, return_index=True, return_inverse=True)
+            at = self._find(distinct)
+            new = at < 0
+            if new.any():
+                if 24 * len(self.known) + self.ids.nbytes > KEPT_BYTES:
+                    self._forget()
+                    new[:] = True
+                self._learn(u, one[new])
+                at = self._find(distinct)
+            count = self.count[at][which]
+            end = np.cumsum(count)
+            ids = self.ids[np.repeat(self.first[at][which] - end + count, count) + np.arange(end[-1] if len(end) else 0)]
+            text_end = np.cumsum(np.fromiter(map(len, texts[first:last]), np.int64, last - first) + 1)
+            edges = np.concatenate([[0], end])[np.searchsorted(u.start, np.concatenate([[0], text_end]))]
+            yield from (ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -108,33 +184,25 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, key: str
     the last may be shorter. Null and empty texts are the end id alone. tokenizer: path of a
     ``tokenizers`` file that drops white space and doesn't look across it.
     """
-    schema = f"{key} {dict(docs.dtypes)[key]}, piece int, start long, length long, ids_crc32 long"
-    end = end_id.to_bytes(4, "little")
+    schema = f"`{key}` {dict(docs.dtypes)[key]}, piece int, start long, length long, ids_crc32 long"
+    end = np.array([end_id], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _word_ids(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             row, piece, start, length, crc = [], [], [], [], []
-            texts = texts_of(batch, text)
-            begin, size = 0, 0
-            for i, one in enumerate(texts):
-                size += len(one)
-                if size < BATCH_BYTES and i + 1 < len(texts):
-                    continue
-                for r, found in enumerate(ids.encode(texts[begin : i + 1]), begin):
-                    found += end
-                    for p, at in enumerate(range(0, len(found), 4 * capacity)):
-                        part = found[at : at + 4 * capacity]
-                        row.append(r)
-                        piece.append(p)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                begin, size = i + 1, 0
+            for r, found in enumerate(ids.encode(texts_of(batch))):
+                whole = np.append(found, end).astype("<u4", copy=False)
+                for p, at in enumerate(range(0, len(whole), capacity)):
+                    part = whole[at : at + capacity]
+                    row.append(r)
+                    piece.append(p)
+                    start.append(at)
+                    length.append(len(part))
+                    crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(v, pa.int64()) for v in (start, length, crc))], [key, "piece", "start", "length", "ids_crc32"])
-        ids.forget()
 
-    return docs.select(key, text).mapInArrow(cut, schema)
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,25 +260,32 @@ def pack(items: DataFrame, capacity: int, size: str = "length") -> DataFrame:
     """Adds sequence_id and offset to items that each have a size of 1 to capacity.
 
     Sequences hold at most capacity; offsets in each run from 0 without gaps. Sequence numbers are
-    unique, not consecutive. Bins are few above the lower bound: underfull ones of all partitions are packed
-    again in each round, until one partition is left or nothing is underfull. Each round's rows are written to
+    unique, not consecutive. Bins are few above the lower bound. A round of the tree packs the bins that are underfull and can still take the
+    smallest of them, in tasks of BLOCK_ITEMS at most; rounds end when one task has seen all, or when a round isn't worth its cost. Each round's rows are written to
     the shared folder, so lost executors don't change which item is in which bin.
     """
     added = ", bin long, bin_offset long, bin_fill long"
     plain = ", ".join(f"`{n}` {t}" for n, t in items.dtypes)
     first = written(items.mapInArrow(lambda b: _packed(b, 0, capacity, size), plain + added))
     limit = int(capacity * (1 - NEARLY_FULL))
-    underfull = first.where(F.col("bin_fill") < limit).select(F.col("bin").alias("was"), F.col("bin_fill").alias("size")).distinct()
-    partitions = first.rdd.getNumPartitions()
-    moves: list[DataFrame] = []
-    while True:
-        partitions = -(-partitions // FAN_IN)
-        dealt = underfull.repartition(partitions, "was")
-        level = len(moves) + 1
-        moves.append(moved := written(dealt.mapInArrow(lambda b, level=level: _packed(b, level, capacity, "size"), "was long, size long" + added)))
-        underfull = moved.where(F.col("bin_fill") < limit).select(F.col("bin").alias("was"), F.col("bin_fill").alias("size")).distinct()
-        if partitions == 1:
+    last, moves = first, []
+    while len(moves) < MOST_ROUNDS:
+        bins = written(last.where(F.col("bin_fill") < limit).select(F.col("bin").alias("was"), F.col("bin_fill").alias("size")).distinct())
+        least = bins.agg(F.min("size")).first()[0]
+        if least is None:
+            break
+        open_ = bins.where(F.col("size") <= capacity - least)
+        n = open_.count()
+        if n < 2:
+            break
+        tasks, level = -(-n // BLOCK_ITEMS), len(moves) + 1
+        # Other bins meet in each round.
+        dealt = open_.repartition(tasks, F.xxhash64(F.lit(level), "was"))
+        moves.append(last := written(dealt.mapInArrow(lambda b, level=level: _packed(b, level, capacity, "size"), "was long, size long" + added)))
+        if tasks == 1 or last.select("bin").distinct().count() > n * (1 - WORTH):
             break
+    if not moves:
+        return first.select(*items.columns, F.col("bin").alias("sequence_id"), F.col("bin_offset").alias("offset"))
     place = None
     for moved in reversed(moves):
         here = moved.select("was", "bin", F.col("bin_offset").alias("at"))

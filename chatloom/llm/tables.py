@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of texts that a task works on at once; a longer text comes alone.
+SLICE_BYTES = 1 << 22
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all machines share; a temporary folder only where it is unset (tests)."""
+    """spark.checkpoint.dir, which all machines share; a temporary folder only where it is unset and all work is on one machine (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -35,6 +45,22 @@ def crc32_mod(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(by), F.lit(0))
 
 
-def batch_rows(df: DataFrame, rows: int) -> None:
-    """Sets how many rows an Arrow batch of later jobs holds: fewer where whole texts go through Python and back, to bound memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, without copies, that hold about most bytes of a text column; empty batches are left out. At the end the worker gives memory back."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        length = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(length, dtype=np.int64) // most
+        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory of this worker to the machine, as other workers of the executor may need it next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only with glibc
+    if trim:
+        trim(0)

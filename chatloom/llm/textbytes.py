@@ -54,6 +54,16 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each span of bytes, which isn't empty."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    up, down = _power_tables(len(data))
+    running = np.cumsum(BYTE_VALUES[data] * up[: len(data)], dtype=np.uint64)
+    before = np.where(start > 0, running[np.maximum(start - 1, 0)], _U(0))
+    return mix((running[end - 1] - before) * down[start])
+
+
 @dataclass
 class Words:
     """Words of texts [first, last) of a batch."""
@@ -106,12 +116,7 @@ def words(texts: list[bytes], lower: bool = True, hashes: bool = True, outside:
         if not space[0]:
             flips = np.concatenate([[0], flips])
         start, end = flips[0::2], flips[1::2]
-        value = np.zeros(0, np.uint64)
-        if hashes and len(start):
-            up, down = _power_tables(len(data))
-            running = np.cumsum(BYTE_VALUES[data] * up[: len(data)], dtype=np.uint64)
-            before = np.where(start > 0, running[np.maximum(start - 1, 0)], _U(0))
-            value = mix((running[end - 1] - before) * down[start])
+        value = span_hashes(data, start, end) if hashes else np.zeros(0, np.uint64)
         yield Words(first, last, data, text_at, start, end, value, np.searchsorted(start, text_at))
 
 
