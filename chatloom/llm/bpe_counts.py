@@ -17,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from chatloom.llm.tables import bounded, slices
 from chatloom.llm.textbytes import texts_of
 
 NO_RANK = np.iinfo(np.int32).max
@@ -27,8 +29,8 @@ WHITE = r"\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: The pre-tokenizer's pattern, fixed by the published vocabulary.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Entries that a worker keeps of texts' chunks and of pre-tokens; then it forgets them. Bounds memory only.
-KEPT = 400_000
+#: Bytes of texts' chunks, and of pre-tokens, with which a worker forgets them; until then it keeps them, between tasks too. An entry takes some besides its text.
+KEPT_BYTES, ENTRY_BYTES = 1 << 26, 120
 #: Bytes of pre-tokens that are merged together.
 MERGED_BYTES = 1 << 19
 #: Characters of texts that are cut together.
@@ -118,22 +120,19 @@ class MergeTable:
 
 
 class TokenCounter:
-    """Counts the tokens of texts; keeps what it has counted, within KEPT entries."""
+    """Counts the tokens of texts; keeps what it has counted, up to KEPT_BYTES."""
 
     def __init__(self, path: str):
         self.table = MergeTable(path)
         self.special = re.compile("|".join(map(re.escape, self.table.special))) if self.table.special else None
         self.of_chunk: dict[str, int] = {}
         self.of_piece: dict[str, int] = {}
+        self.held = 0
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.of_chunk) + len(chunks) > KEPT:
-            self.of_chunk.clear()
         cut = {c: PRE_TOKEN.findall(c) for c in chunks}
         new = list({p for pieces in cut.values() for p in pieces if p not in self.of_piece})
-        if len(self.of_piece) + len(new) > KEPT:
-            self.of_piece.clear()
-            new = list({p for pieces in cut.values() for p in pieces})
+        self.held += sum(map(len, chunks)) + sum(map(len, new)) + ENTRY_BYTES * (len(chunks) + len(new))
         begin, size = 0, 0
         for i, piece in enumerate([*new, None]):
             if piece is None or size > MERGED_BYTES:
@@ -163,10 +162,13 @@ class TokenCounter:
                 n, parts = len(self.special.findall(text)), self.special.split(text)
             counts.append(n)
             cut.append([c for part in parts for c in CHUNK.findall(part)] if len(parts) > 1 else CHUNK.findall(text))
-        distinct = set().union(*cut)
+        if self.held > KEPT_BYTES:
+            self.of_chunk.clear()
+            self.of_piece.clear()
+            self.held = 0
         known = self.of_chunk
-        if new := {c for c in distinct if c not in known}:
-            self._learn(new if len(known) + len(new) <= KEPT else distinct)
+        if new := {c for c in set().union(*cut) if c not in known}:
+            self._learn(new)
         return [n + sum(map(known.__getitem__, chunks)) for n, chunks in zip(counts, cut, strict=True)]
 
 
@@ -182,16 +184,14 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, text: str =
     Null and empty texts have no bytes and no tokens; a null id stays null; repeated rows each give
     a row; other columns of docs are not read. No truncation, padding, begin or end tokens.
     """
-    schema = f"{key} {dict(docs.dtypes)[key]}, n_bytes long, n_tokens long, over_limit boolean"
+    schema = f"`{key}` {dict(docs.dtypes)[key]}, n_bytes long, n_tokens long, over_limit boolean"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer)
-        for batch in batches:
-            texts = texts_of(batch, text)
+        for batch in slices(batches):
+            texts = texts_of(batch)
             tokens = np.array(counter.count([t.decode("utf-8", "replace") for t in texts]), np.int64)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit)], [key, "n_bytes", "n_tokens", "over_limit"])
-        counter.of_chunk.clear()
-        counter.of_piece.clear()
 
-    return docs.select(key, text).mapInArrow(count, schema)
+    return bounded(docs).select(key, F.col(text).alias("text")).mapInArrow(count, schema)

@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import features
-from chatloom.llm.tables import crc32_mod, give_back, slices
+from chatloom.llm.tables import bounded, crc32_mod, give_back, slices, steady
 from chatloom.llm.textbytes import texts_of
 
 
@@ -49,33 +50,35 @@ class Settings:
                 yield bucket[a:b], np.ones(b - a, np.float32) if self.binary else np.float32(self.scale) * c / max(c.sum(), np.float32(1))
 
 
-def learned(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets that rows (buckets, values) have, their weights and squared gradients; the bucket after the last is the bias, which has no L1.
+def learned(bucket: np.ndarray, value: np.ndarray | None, begin: np.ndarray, labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets that rows have, their weights and squared gradients; the bucket after the last is the bias, which has no L1.
 
-    Rows without features teach nothing.
+    bucket and value (None: all 1) hold all rows' features, row i from begin[i] to begin[i + 1]. Rows without features teach nothing.
     """
     size = 1 << s.bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    l1 = np.full(size + 1, s.l1)
-    l1[size] = 0.0
-    full = [(i, np.append(b, np.int32(size)), np.append(x, np.float32(1))) for i, (b, x) in enumerate(rows) if len(b)]
+    rows = np.flatnonzero(np.diff(begin))
     order = np.random.default_rng(s.seed)
 
-    def weights(at: np.ndarray) -> np.ndarray:
-        big = np.abs(z[at]) - l1[at]
-        return np.where(big > 0, -np.sign(z[at]) * big / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2), 0.0)
+    def weights(z, n, l1):
+        big = np.abs(z) - l1
+        return np.where(big > 0, -np.sign(z) * big / ((s.beta + np.sqrt(n)) / s.alpha + s.l2), 0.0)
+
+    def update(at, w, g):
+        now = n[at] + g * g
+        z[at] += g - (np.sqrt(now) - np.sqrt(n[at])) / s.alpha * w
+        n[at] = now
 
     for _ in range(s.epochs):
-        for k in order.permutation(len(full)):
-            i, at, x = full[k]
-            w = weights(at)
-            p = 1 / (1 + np.exp(-np.clip(w @ x, -30, 30)))
-            g = (p - labels[i]) * x
-            now = n[at] + g * g
-            z[at] += g - (np.sqrt(now) - np.sqrt(n[at])) / s.alpha * w
-            n[at] = now
+        for i in order.permutation(rows).tolist():
+            at = bucket[begin[i] : begin[i + 1]]
+            x = 1.0 if value is None else value[begin[i] : begin[i + 1]]
+            w, bias = weights(z[at], n[at], s.l1), weights(z[size], n[size], 0.0)
+            p = 1 / (1 + np.exp(-np.clip((w * x).sum() + bias, -30, 30)))
+            update(at, w, (p - labels[i]) * x)
+            update(size, bias, p - labels[i])
     at = np.flatnonzero(n)
-    return at, weights(at), n[at]
+    return at, weights(z[at], n[at], np.where(at == size, 0.0, s.l1)), n[at]
 
 
 def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> DataFrame:
@@ -89,7 +92,7 @@ def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> D
 def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str, text: str) -> DataFrame:
     """shard, at, label, buckets and values (little-endian numbers) of the sampled rows: what training needs of their texts."""
     chosen = F.broadcast(sample(labels, label, s, key))
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(chosen, F.col("_id") == F.col("_key"))
+    rows = bounded(docs).select(F.col(key).alias("_id"), F.col(text).alias("text")).join(chosen, F.col("_id") == F.col("_key"))
     rows = rows.select("text", F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64(F.lit(s.seed + 1), "_id"), F.lit(s.shards)).cast("int").alias("shard"), F.xxhash64("_id", "text").alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,18 +106,30 @@ def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str
     return rows.mapInArrow(run, "shard int, at long, label double, buckets binary, values binary")
 
 
+def _flat(column: pa.ChunkedArray, kind: type, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all cells of a binary column, in the order of place, and where each cell's begin."""
+    column = column.combine_chunks()
+    size = pc.binary_length(column).to_numpy(zero_copy_only=False)[place] // 4
+    begin = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    out = np.empty(begin[-1], kind)
+    for i, k in enumerate(place.tolist()):
+        out[begin[i] : begin[i + 1]] = np.frombuffer(column[k].as_buffer(), kind)
+    return out, begin
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str = "doc_id", text: str = "text") -> np.ndarray:
     """Weights of all buckets and the bias. Without labelled rows all weights are 0, and each score is 0.5."""
 
     def learn(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("at", "ascending")])
-        rows = []
-        for b, x in zip(part.column("buckets").to_pylist(), part.column("values").to_pylist(), strict=True):
-            bucket = np.frombuffer(b, "<i4")
-            rows.append((bucket, np.ones(len(bucket), np.float32) if x is None else np.frombuffer(x, "<f4")))
-        at, w, n = learned(rows, part.column("label").to_numpy(), s)
+        steady()
+        place = np.argsort(part.column("at").to_numpy(), kind="stable")
+        labels = part.column("label").to_numpy()[place]
+        bucket, begin = _flat(part.column("buckets"), np.int32, place)
+        value = None if s.binary else _flat(part.column("values"), np.float32, place)[0]
+        del part
+        at, w, n = learned(bucket, value, begin, labels, s)
         out = pa.table({"bucket": at, "weight": w, "seen": n})
-        del rows, part
+        del bucket, value
         give_back()
         return out
 
@@ -149,12 +164,12 @@ def scored(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float,
             p = score_texts(texts_of(batch), held.value, s)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= threshold).astype(np.int32))], [key, "held_out", "score", "predicted"])
 
-    return docs.select(key, F.col(text).alias("text"), (crc32_mod(key, 4) == 2).alias("held_out")).mapInArrow(score, f"`{key}` {kind}, held_out boolean, score double, predicted int")
+    return bounded(docs).select(key, F.col(text).alias("text"), (crc32_mod(key, 4) == 2).alias("held_out")).mapInArrow(score, f"`{key}` {kind}, held_out boolean, score double, predicted int")
 
 
-def predicted(spark: SparkSession, text: Column, weights: np.ndarray, s: Settings, threshold: float) -> Column:
-    """Whether a text's score reaches the threshold: only the text goes to Python, and one bit comes back."""
-    held = spark.sparkContext.broadcast(weights.astype(np.float32))
+def reaching(docs: DataFrame, weights: np.ndarray, s: Settings, threshold: float, text: str = "text") -> Column:
+    """Whether a text's score reaches the threshold, to filter docs: only the text goes to Python, and one bit comes back."""
+    held = bounded(docs).sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     @F.arrow_udf("boolean")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -163,4 +178,4 @@ def predicted(spark: SparkSession, text: Column, weights: np.ndarray, s: Setting
             found = [score_texts(texts_of(part), held.value, s) >= threshold for part in parts]
             yield pa.array(np.concatenate(found) if found else np.zeros(0, bool))
 
-    return run(text)
+    return run(F.col(text))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.tables import bounded, slices
+
 # Names of HTML elements by their role.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,12 +66,14 @@ class Page:
         self.sections: list[tuple[int, int]] = []  #: first and last token of each article
         at = 0
         open_: list[tuple[str, bool, int]] = []
+        n_open: Counter = Counter()  #: open elements by name, so that a stray end tag isn't searched for
         in_article, around = 0, -1
 
         def close(depth: int) -> None:
             nonlocal in_article, around
             while len(open_) > depth:
                 name, drop, begin = open_.pop()
+                n_open[name] -= 1
                 if drop:
                     self.drops[around][1] = len(self.text)
                     closed.append(around)
@@ -83,7 +88,9 @@ class Page:
             self.closes.append(closes)
             self.held.append(around)
 
-        for m in TOKEN.finditer(source):
+        # Behind the last ">" no tag can end, and only comments hide text.
+        limit, m = source.rfind(">") + 1, None
+        for m in TOKEN.finditer(source, 0, limit):
             if m.start() > at:
                 add(source[at : m.start()], open_[-1][0] if open_ else "")
             at = m.end()
@@ -91,10 +98,9 @@ class Page:
             if not name:
                 continue
             if m["end"] or m["end2"]:
-                depth = next((d for d in range(len(open_) - 1, -1, -1) if open_[d][0] == name), None)
-                if depth is not None:
+                if n_open[name]:
                     add(None, name, True)
-                    close(depth)
+                    close(next(d for d in range(len(open_) - 1, -1, -1) if open_[d][0] == name))
                 elif name not in INLINE:
                     add(None, name, True)
                 continue
@@ -105,7 +111,7 @@ class Page:
             if name in IMPLIED and open_ and open_[-1][0] in IMPLIED[name]:
                 close(len(open_) - 1)
             elif name not in INLINE and any(o[0] == "p" for o in open_[-4:]):  # a block ends an open paragraph
-                depth = max(d for d, o in enumerate(open_) if o[0] == "p")
+                depth = next(d for d in range(len(open_) - 1, -1, -1) if open_[d][0] == "p")
                 if all(o[0] in INLINE or o[0] == "p" for o in open_[depth:]):
                     close(depth)
             hidden = name not in ("html", "body", *ARTICLES) and len(rest) > 3 and bool(HIDDEN.search(rest))
@@ -118,12 +124,23 @@ class Page:
                 around = len(self.drops) - 1
             in_article += name in ARTICLES
             open_.append((name, drop, len(self.text)))
+            n_open[name] += 1
             add(None, name)
-        if at < len(source):
-            add(source[at:], open_[-1][0] if open_ else "")
+        hidden = m is not None and m.end() == limit and self._unclosed(m)
+        rest = "" if hidden else source[at:]
+        comment = rest.find("<!--")
+        if rest := rest[:comment] if comment >= 0 else rest:
+            add(rest, open_[-1][0] if open_ else "")
         close(0)
         self._drop(closed)
 
+    @staticmethod
+    def _unclosed(m: re.Match[str]) -> bool:
+        """Whether a comment or raw element goes on to the end of the page."""
+        if m["raw"]:
+            return re.search(rf"</{m['raw']}\s*>\Z", m[0], re.I) is None
+        return m[0].startswith("<!--") and not m[0].endswith("-->")
+
     def _drop(self, closed: list[int]) -> None:
         """Decides on the droppable elements, those with most words first, of equal ones inner ones: one is kept if it holds the largest article or more words than are left outside it."""
         gone = [True] * len(self.drops)
@@ -134,14 +151,14 @@ class Page:
                     own[k] += len(text.split())
             article = max(self.sections, key=lambda s: s[1] - s[0], default=None)
             heads = [i for i, name in enumerate(self.name) if name == "h1" and not self.closes[i]]
+            around = [0] * len(self.drops)  # words in the droppable elements around each; outer ones come first
+            for k, d in enumerate(self.drops):
+                around[k] = around[d[2]] + own[d[2]] if d[2] >= 0 else 0
             for k in sorted(closed, key=lambda k: -own[k]):
                 first, last, outer, can = self.drops[k]
-                if not can or not own[k] or heads and not any(first < i < last for i in heads):
+                if not can or not own[k] or heads and bisect_right(heads, first) == bisect_left(heads, last):
                     continue
-                left, up = own[-1], outer
-                while up >= 0:
-                    left, up = left + own[up], self.drops[up][2]
-                if own[k] > left or article and first < article[0] and article[1] <= last:
+                if own[k] > own[-1] + around[k] or article and first < article[0] and article[1] <= last:
                     gone[k] = False
                     own[outer] += own[k]
         for k, d in enumerate(self.drops):  # outer ones come first
@@ -197,13 +214,13 @@ def learn_weights(pages: DataFrame, column: str = "html") -> dict[tuple[str, str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches, column):
             for source in batch.column(0).to_pylist():
                 total.update(counted(Page(source or "")))
         rows = [(*k, n) for k, n in total.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.bool_(), pa.int64()))], ["what", "kind", "inside", "n"])
 
-    counts = pages.select(column).mapInArrow(count, "what string, kind string, inside boolean, n long").groupBy("what", "kind", "inside").agg(F.sum("n").alias("n")).collect()
+    counts = bounded(pages).select(column).mapInArrow(count, "what string, kind string, inside boolean, n long").groupBy("what", "kind", "inside").agg(F.sum("n").alias("n")).collect()
     n = {(r.what, r.kind, r.inside): r.n for r in counts}
     weights = {}
     for what in ("word", "tag"):
@@ -214,27 +231,27 @@ def learn_weights(pages: DataFrame, column: str = "html") -> dict[tuple[str, str
     return weights
 
 
-def best_region(page: Page, weights: dict[tuple[str, str], float]) -> tuple[int, int]:
-    """First token and end of the region with the highest sum of scores; of equal ones the first. Empty without words."""
+def scores(page: Page, weights: dict[tuple[str, str], float]) -> list[float]:
+    """The score of each token: of its words, or of a tag; what is dropped scores nothing."""
+    return [0.0 if gone else weights["tag", kind(name)] if text is None else len(text.split()) * weights["word", kind(name)] for text, name, gone in zip(page.text, page.name, page.dropped, strict=True)]
+
+
+def best_region(score: list[float]) -> tuple[int, int]:
+    """First token and end of the contiguous region with the highest sum of scores; empty if none is above 0. One linear scan."""
     best = running = 0.0
     region, begin = (0, 0), 0
-    for i, (text, name) in enumerate(zip(page.text, page.name, strict=True)):
-        if page.dropped[i]:
-            continue
-        score = weights["tag", kind(name)] if text is None else len(text.split()) * weights["word", kind(name)]
+    for i, x in enumerate(score):
         if running <= 0:
             running, begin = 0.0, i
-        running += score
+        running += x
         if running > best:
             best, region = running, (begin, i + 1)
-    # A region inside a labelled article is a part of it.
-    around = [s for s in page.sections if s[0] <= region[0] and region[1] <= s[1]]
-    return min(around, key=lambda s: s[1] - s[0]) if around and best > 0 else region
+    return region
 
 
 def main_text(source: str | None, weights: dict[tuple[str, str], float]) -> str:
     page = Page(source or "")
-    return page.region_text(*best_region(page, weights))
+    return page.region_text(*best_region(scores(page, weights)))
 
 
 def extract(pages: DataFrame, weights: dict[tuple[str, str], float] | None = None, keys: tuple[str, ...] = ("page_id", "url"), column: str = "html") -> DataFrame:
@@ -247,8 +264,8 @@ def extract(pages: DataFrame, weights: dict[tuple[str, str], float] | None = Non
     types = dict(pages.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, column):
             texts = [main_text(source, scores) for source in batch.column(len(keys)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*keys, "text", "n_chars"])
 
-    return pages.select(*keys, column).mapInArrow(run, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", text string, n_chars long")
+    return bounded(pages).select(*keys, column).mapInArrow(run, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", text string, n_chars long")

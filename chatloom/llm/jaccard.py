@@ -25,16 +25,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from chatloom.llm.components import components
-from chatloom.llm.tables import slices, written
+from chatloom.llm.tables import bounded, slices, written
 from chatloom.llm.textbytes import mix, seeded, texts_of, windows, words
 
 ORDERS = 5
 #: Of these, so many more than the first have their prefixes intersected before texts are fetched.
 FILTERS = 2
-#: Shingles with so many documents in a slice of so many bytes may be frequent; each slice names at most so many.
-LOCAL_COUNT, LOCAL_NAMED, COUNTED_BYTES = 3, 50_000, 1 << 25
+#: Shingles that so many of a task's sets have, among so many shingles in turn, may be frequent; each time at most so many are named.
+LOCAL_COUNT, LOCAL_NAMED, COUNTED = 3, 50_000, 1 << 22
 #: Frequent shingles that orders put last, at most; any choice gives the same links.
 FREQUENT = 4_000_000
 #: Similarity from which sets share a group, in percent; any value gives the same links.
@@ -120,11 +121,22 @@ def least_difference(x: bytes, y: bytes) -> int:
 def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """For each document (named: false) its key, text_hash, n, node (a hash of its set, null if empty), first shingles, parity bits and standing; and shingles that are frequent in a slice (named: true) as node, short, with n.
 
-    A set's standing is the share of its shingles that the slice holds twice: central sets of a group have most.
+    A set's standing is the share of its shingles that its slice holds twice: central sets of a group have most.
     """
+    names = [key, "text_hash", "named", "n", "node", "firsts", "bits", "standing"]
+    kind = docs.schema[key].dataType
+
+    def named(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        values, count = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        many = np.flatnonzero(count >= LOCAL_COUNT)
+        many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
+        m = len(many)
+        columns = [pa.nulls(m, to_arrow_type(kind)), pa.nulls(m, pa.int64()), pa.array(np.ones(m, bool)), pa.array(count[many]), pa.array(values[many].astype(np.int64)), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=COUNTED_BYTES):
+        seen: list[np.ndarray] = []
+        for batch in slices(batches):
             sizes, nodes, firsts, held, bits = [], [], [], [], []
             for _, _, value, at in shingle_sets(texts_of(batch), width):
                 n = np.diff(at)
@@ -143,25 +155,19 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                 bits += [parity_bits(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             n, node, first = np.concatenate(sizes), np.concatenate(nodes).view(np.int64), np.concatenate(firsts).view(np.int64)
             values = np.sort(np.concatenate(held))
-            edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
-            count = np.diff(np.append(edge, len(values)))
-            twice = values[edge[count > 1]]
+            again = np.zeros(len(values), bool)
+            again[1:] = values[1:] == values[:-1]
+            twice = values[again]
             total = [np.concatenate([[0], np.cumsum(_among(x, twice))]) for x in held]
             common = np.concatenate([np.diff(t[np.concatenate([[0], np.cumsum(k)])]) for t, k in zip(total, sizes, strict=True)]) / np.maximum(n, 1)
-            many = np.flatnonzero(count >= LOCAL_COUNT)
-            many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
-            every = np.concatenate([node, values[edge[many]].astype(np.int64)])
-            columns = [
-                pa.concat_arrays([batch.column(0), pa.nulls(len(many), batch.column(0).type)]),
-                pa.concat_arrays([batch.column(2), pa.nulls(len(many), pa.int64())]),
-                pa.array(np.repeat([False, True], [len(n), len(many)])),
-                pa.array(np.concatenate([n, count[many]])),
-                pa.array(every, mask=np.concatenate([n == 0, np.zeros(len(many), bool)])),
-                pa.array([*first.tolist(), *[None] * len(many)], pa.list_(pa.int64())),
-                pa.array([*bits, *[None] * len(many)], pa.binary()),
-                pa.array(np.concatenate([common, np.zeros(len(many))])),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, [key, "text_hash", "named", "n", "node", "firsts", "bits", "standing"])
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(first.ravel()), ORDERS).cast(pa.list_(pa.int64()))
+            columns = [batch.column(0), batch.column(2), pa.array(np.zeros(len(n), bool)), pa.array(n), pa.array(node, mask=n == 0), lists, pa.array(bits, pa.binary()), pa.array(common)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            seen.append(values)
+            if sum(map(len, seen)) >= COUNTED:
+                yield from named(seen)
+                seen = []
+        yield from named(seen)
 
     schema = f"`{key}` {dict(docs.dtypes)[key]}, text_hash long, named boolean, n long, node long, firsts array<long>, bits binary, standing double"
     return docs.select(key, F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(run, schema)
@@ -409,7 +415,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     a null component and link nothing; repeated rows each give a row; an empty table gives none. Other columns are not read.
     Shingles and sets are told apart by 64-bit hashes.
     """
-    known = written(profile(docs, width, key, text))
+    known = written(profile(bounded(docs), width, key, text))
     rows = known.where(~F.col("named"))
     usable = rows.where(F.col("node").isNotNull() & F.col(key).isNotNull())
     kept = [F.min(F.struct(F.col(key).alias("doc"), "text_hash")).alias("_d"), *(F.first(c).alias(c) for c in ("n", "firsts", "bits")), F.max("standing").alias("standing")]

@@ -6,9 +6,9 @@ weights each choice has the share of its words' counts; weights of contexts move
 are too many to send to all machines: they are dealt by hash to the leaves of a tree of their own, and in its leaf a word
 has its smoothed share of the leaf's counts. The features of what is before
 are the last word, the last two (an n-gram) and the one before the last (a skip), hashed into buckets whose number grows with
-the corpus, with one weight for each class, and with the class or branching for each of its words. Training is distributed: each
-shard of the corpus makes AdaGrad updates in mini-batches over all its texts, and the shards' weights are averaged, each bucket by
-those that saw it.
+the corpus, with one weight for each class, and with the class or branching for each of its words. Training is distributed and goes in
+synchronous rounds, each over another part of the texts: every shard of the corpus makes AdaGrad updates in mini-batches from the weights
+that the round before left, and the shards' weights are averaged, each bucket by those that saw it.
 """
 
 from __future__ import annotations
@@ -17,13 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.tables import crc32_mod, written
+from chatloom.llm.tables import bounded, crc32_mod, slices, written
 from chatloom.llm.textbytes import Words, mix, seeded, texts_of, words
 
 _U = np.uint64
@@ -37,6 +36,8 @@ REST_DEPTH = 4
 #: Tokens from which buckets grow, and how many times their number doubles at most.
 GROWS_FROM, DOUBLINGS = 1 << 24, 4
 _NONE = np.float32(-1e9)
+#: Of AdaGrad's sums before any update.
+FIRST_SUM = np.float32(1e-4)
 
 
 @dataclass(frozen=True)
@@ -50,13 +51,15 @@ class Shape:
     word_bits: int = 14  #: buckets of the word features
     rate: float = 0.3
     batch: int = 65536
-    shards: int = 64  #: the corpus is trained in at most so many shards
+    shards: int = 16  #: of a small corpus at most; they grow with the corpus as the buckets do
+    rounds: int = 2  #: averages, each after a part of the texts
     block: int = 1024  #: buckets whose weights are averaged together
 
     def grown(self, tokens: int) -> Shape:
-        """With buckets by the square root of the tokens: each shard sends its weights, and shards grow with the corpus too."""
-        more = min(DOUBLINGS, max(0, round(np.log2(max(tokens, 1) / GROWS_FROM) / 2)))
-        return replace(self, bits=self.bits + more, word_bits=self.word_bits + more)
+        """With buckets and shards by the square root of the tokens: each shard sends its weights, so what is sent stays a share of the corpus."""
+        times = max(1.0, tokens / GROWS_FROM) ** 0.5
+        more = min(DOUBLINGS, round(np.log2(times)))
+        return replace(self, bits=self.bits + more, word_bits=self.word_bits + more, shards=round(self.shards * times))
 
 
 def tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -74,13 +77,13 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (a hash), n: of all tokens of all rows, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [tokens(w)[0] for w in words(texts_of(batch, text))]
+        for batch in slices(batches):
+            found = [tokens(w)[0] for w in words(texts_of(batch))]
             if found:
                 word, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def log_shares(counts: np.ndarray) -> np.ndarray:
@@ -199,9 +202,12 @@ def contexts(token: np.ndarray, begin: np.ndarray) -> np.ndarray:
 class Model:
     """Weights: class_w[bucket, class], word_w[bucket, place in its class] and tree_w[bucket, branch]."""
 
-    def __init__(self, v: Vocabulary):
+    def __init__(self, v: Vocabulary, learned: Model | None = None):
         s = v.shape
         self.v, self.s = v, s
+        if learned:
+            self.class_w, self.word_w, self.tree_w = learned.class_w, learned.word_w, learned.tree_w
+            return
         # Each bank of features has buckets of its own; the last row of class_w is the bias.
         self.class_w = np.zeros((3 * (1 << s.bits) + 1, len(v.classes)), np.float32)
         self.word_w = np.zeros((3 * (1 << s.word_bits) + s.classes, s.words), np.float32)
@@ -254,11 +260,13 @@ class Model:
 
 
 class Trainer(Model):
-    """A model with AdaGrad sums; each update is one mini-batch."""
+    """A model with AdaGrad sums; each update is one mini-batch. start: where an earlier round ended."""
 
-    def __init__(self, v: Vocabulary):
+    def __init__(self, v: Vocabulary, start: Trainer | None = None):
         super().__init__(v)
-        self.class_g, self.word_g, self.tree_g = (np.full(len(w), 1e-4, np.float32) for w in (self.class_w, self.word_w, self.tree_w))
+        self.class_g, self.word_g, self.tree_g = (np.full(len(w), FIRST_SUM, np.float32) for w in (self.class_w, self.word_w, self.tree_w))
+        for name in [f"{which}_{x}" for which in ("class", "word", "tree") for x in "wg"] if start else ():
+            setattr(self, name, getattr(start, name).copy())
 
     def _step(self, weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, base: np.ndarray, target: np.ndarray) -> None:
         error, total = self._odds(weights, rows, base)
@@ -283,40 +291,55 @@ class Trainer(Model):
 
 
 def train(docs: DataFrame, v: Vocabulary, text: str = "text") -> Model:
-    """Weights learned from all texts of docs: shards in parallel, then averages of blocks of buckets. What reaches the driver has the model's size."""
-    s = v.shape
-    held = docs.sparkSession.sparkContext.broadcast(v)
+    """Weights learned from all texts of docs, each in one of the rounds: shards in parallel, then averages of blocks of buckets. What reaches the driver has the model's size."""
+    model = Trainer(v)
+    for turn in range(v.shape.rounds):
+        part = docs.where(F.pmod(F.xxhash64(text), F.lit(v.shape.rounds)) == turn).select(F.col(text).alias("text"))
+        model = _averaged(part, model)
+    return model
+
+
+def _averaged(docs: DataFrame, start: Trainer) -> Trainer:
+    """The mean of what shards of docs make of a model: a bucket's weights and sums by how much each shard saw it."""
+    v, s = start.v, start.s
+    held = docs.sparkSession.sparkContext.broadcast(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, some = Trainer(held.value), False
-        for batch in batches:
-            for w in words(texts_of(batch, text)):
+        model, some = Trainer(held.value.v, held.value), False
+        for batch in slices(batches):
+            for w in words(texts_of(batch)):
                 model.learn(*tokens(w))
                 some = True
         for which in ("class", "word", "tree") if some else ():
-            weights, sums = getattr(model, f"{which}_w").astype(np.float16), getattr(model, f"{which}_g")
+            weights, sums, before = getattr(model, f"{which}_w").astype(np.float16), getattr(model, f"{which}_g"), getattr(held.value, f"{which}_g")
             for i in range(0, len(weights), s.block):
-                yield pa.RecordBatch.from_arrays([pa.array([which]), pa.array([i // s.block]), pa.array([weights[i : i + s.block].tobytes()], pa.binary()), pa.array([(sums[i : i + s.block] - np.float32(1e-4)).tobytes()], pa.binary())], ["which", "block", "weights", "sums"])
-
-    def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-        total, weight = 0.0, 0.0
-        for w, g in zip(pdf["weights"], pdf["sums"], strict=True):
-            seen = np.sqrt(np.maximum(np.frombuffer(g, np.float32), 0)).astype(np.float64)
+                seen = sums[i : i + s.block] - before[i : i + s.block]
+                if seen.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([which]), pa.array([i // s.block]), pa.array([weights[i : i + s.block].tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], ["which", "block", "weights", "sums"])
+
+    def mean(parts: pa.Table) -> pa.Table:
+        total, weight, sums = 0.0, 0.0, 0.0
+        for w, g in zip(parts.column("weights").to_pylist(), parts.column("sums").to_pylist(), strict=True):
+            g = np.maximum(np.frombuffer(g, np.float32), 0).astype(np.float64)
+            seen = np.sqrt(g)
             total = total + np.frombuffer(w, np.float16).astype(np.float32).reshape(len(seen), -1) * seen[:, None]
-            weight = weight + seen
-        out = (total / np.maximum(weight, 1e-12)[:, None]).astype(np.float32)
-        return pd.DataFrame({"which": [pdf["which"].iloc[0]], "block": [pdf["block"].iloc[0]], "weights": [out.tobytes()]})
-
-    shards = docs.select(text)
-    if shards.rdd.getNumPartitions() > s.shards:
-        shards = shards.coalesce(s.shards)
-    learned = shards.mapInArrow(run, "which string, block long, weights binary, sums binary").groupBy("which", "block").applyInPandas(mean, "which string, block long, weights binary").collect()
-    model = Model(v)
+            weight, sums = weight + seen, sums + g * seen
+        some = np.maximum(weight, 1e-12)
+        out = (total / some[:, None]).astype(np.float32)
+        columns = [[parts.column("which")[0].as_py()], [parts.column("block")[0].as_py()], [out.tobytes()], [np.where(weight > 0, sums / some, -1).astype(np.float32).tobytes()]]
+        return pa.table(dict(zip(("which", "block", "weights", "sums"), columns, strict=True)))
+
+    shards = docs.coalesce(s.shards) if docs.rdd.getNumPartitions() > s.shards else docs
+    schema = "which string, block long, weights binary, sums binary"
+    learned = shards.mapInArrow(run, schema).groupBy("which", "block").applyInArrow(mean, schema).collect()
+    model = Trainer(v, start)
     for row in learned:
-        table = getattr(model, f"{row.which}_w")
-        at = row.block * s.block
-        part = np.frombuffer(row.weights, np.float32).reshape(-1, table.shape[1])
-        table[at : at + len(part)] = part
+        weights, sums = (getattr(model, f"{row.which}_{x}") for x in "wg")
+        seen = np.frombuffer(row.sums, np.float32)
+        at = row.block * s.block + np.flatnonzero(seen >= 0)
+        weights[at] = np.frombuffer(row.weights, np.float32).reshape(len(seen), -1)[seen >= 0]
+        sums[at] += seen[seen >= 0]
+    held.destroy()
     return model
 
 
@@ -328,7 +351,7 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
     rows N and V are 0 and both scores are finite or null as the formula gives. Other columns are not read.
     """
     spark = docs.sparkSession
-    known = docs.select(F.col(key), F.col(text).alias("text"), (F.col(key).isNotNull() & (crc32_mod(key, 10) == 0)).alias("held_out"))
+    known = bounded(docs).select(F.col(key), F.col(text).alias("text"), (F.col(key).isNotNull() & (crc32_mod(key, 10) == 0)).alias("held_out"))
     training = known.where(~F.col("held_out"))
     counts = written(word_counts(training))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -337,13 +360,13 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
     leaves = rest_leaves(rare, total.v - len(common), shape)
     v = Vocabulary(common["word"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64), total.n, total.v, shape.grown(total.n), leaves)
     model = train(training, v)
-    held = spark.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(Model(v, model))
     denominator = np.log10(max(total.n + SMOOTHING * (total.v + 1), 1e-300))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         row = TaskContext.get().partitionId() << 34
-        for batch in batches:
+        for batch in slices(batches):
             for w in words(texts_of(batch)):
                 token, begin = tokens(w)
                 n = w.last - w.first
@@ -380,7 +403,7 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
                     ["row", "word", "times", key, "held_out", "n_tokens", "common", "base", "model"],
                 )
 
-    schema = f"row long, word long, times long, {key} {dict(docs.dtypes)[key]}, held_out boolean, n_tokens long, common long, base double, model double"
+    schema = f"row long, word long, times long, `{key}` {dict(docs.dtypes)[key]}, held_out boolean, n_tokens long, common long, base double, model double"
     rows = known.mapInArrow(run, schema)
     looked = rows.join(rare.select(F.col("word").alias("_w"), F.col("n").alias("_n")), F.col("word") == F.col("_w"), "left")
     log_rare = F.col("times") * F.log10(F.coalesce("_n", F.lit(0)) + SMOOTHING)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.bpe_counts import MergeTable
-from chatloom.llm.tables import slices, written
+from chatloom.llm.tables import bounded, slices, written
 from chatloom.llm.textbytes import SPACE, blocks, span_hashes, texts_of
 
 #: Bytes of known units and their ids with which a worker forgets them; until then it keeps them, between tasks too.
@@ -202,7 +202,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, key: str
                     crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(v, pa.int64()) for v in (start, length, crc))], [key, "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(key, F.col(text).alias("text")).mapInArrow(cut, schema)
+    return bounded(docs).select(key, F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.features import shaped
+from chatloom.llm.tables import bounded, slices
 from chatloom.llm.textbytes import Words, texts_of, windows, words
 
 BITS = 16
@@ -32,13 +33,13 @@ def bucket_counts(docs: DataFrame, text: str = "text", bits: int = BITS) -> np.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
-        for batch in batches:
-            for _, _, _, bucket in shaped(texts_of(batch, text), bits):
+        for batch in slices(batches):
+            for _, _, _, bucket in shaped(texts_of(batch), bits):
                 total += np.bincount(bucket, minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
-    found = docs.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = bounded(docs).select(F.col(text).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << bits)
     counts[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy()
     return counts
@@ -86,8 +87,8 @@ def rules(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, key:
     bits = int(len(ratio) - 1).bit_length()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch, text)
+        for batch in slices(batches):
+            texts = texts_of(batch)
             n = len(texts)
             n_words, chars, symbols, repeats = (np.zeros(n, np.int64) for _ in range(4))
             for w in words(texts, lower=False):
@@ -109,8 +110,8 @@ def rules(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, key:
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (n_words, chars, symbols, lines, repeats, failed, mean, ~failed & (mean >= threshold)))], names)
 
     names = [key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_ratio", "kept"]
-    schema = f"{key} {dict(docs.dtypes)[key]}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ratio double, kept boolean"
-    return docs.select(key, text).mapInArrow(judge, schema)
+    schema = f"`{key}` {dict(docs.dtypes)[key]}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ratio double, kept boolean"
+    return bounded(docs).select(key, F.col(text).alias("text")).mapInArrow(judge, schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -21,43 +21,53 @@ from chatloom.llm.toxicity import toxicity_scores
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page; null html gives an empty one. Columns: page_id, url, text, n_chars."""
     return extract(read(spark, sf_dir, "pages"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document. Columns: doc_id, size, source_size, target, taken. Null texts have size 0, null sources are one source."""
     mix = mix_sources(read(spark, sf_dir, "documents"), max_epochs=3, cycle=(5, 2, 1))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document in sequences of 4096 tokens. Null texts are the end id alone."""
     return packed_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near copies of every document. Null texts link with nothing."""
     return link_components(read(spark, sf_dir, "documents"), width=5, percent=75)
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all vectors for each vector whose id is divisible by 20. Nulls and non-finite components take no part."""
     return top_k(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64.0)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, null texts too."""
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, null texts too."""
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document; null texts have none."""
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every document; null texts are one end token."""
     return language_scores(read(spark, sf_dir, "documents"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; null texts have no words and fail."""
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
@@ -74,7 +84,7 @@ with v as (
     and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: isnan(x) or isinf(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
-  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0
+  from (select distinct vec_id, e from v where vec_id % 20 = 0) q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
 ), r as (
   select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score from s
 )

@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch on its way to Python; a longer row comes alone.
+BATCH_BYTES = 1 << 22
 #: Bytes of texts that a task works on at once; a longer text comes alone.
 SLICE_BYTES = 1 << 22
 
@@ -45,8 +47,19 @@ def crc32_mod(column: str, by: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(by), F.lit(0))
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of at most BATCH_BYTES in its session. All operators that send texts to Python begin with this, so their memory doesn't depend on what ran before; a smaller bound of the session's own stays."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(name).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices, without copies, that hold about most bytes of a text column; empty batches are left out. At the end the worker gives memory back."""
+    steady()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -55,12 +68,22 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
         edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             yield batch.slice(a, b - a)
+        del batch
     give_back()
 
 
+def _libc():
+    return ctypes.CDLL(None)
+
+
+def steady() -> None:
+    """Arrays of a megabyte and more of this worker go back to the machine when they are freed, as other workers of the executor need the memory (glibc only)."""
+    if hasattr(_libc(), "mallopt"):
+        _libc().mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
 def give_back() -> None:
-    """Returns freed memory of this worker to the machine, as other workers of the executor may need it next."""
+    """Returns freed memory of this worker to the machine."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only with glibc
-    if trim:
-        trim(0)
+    if hasattr(_libc(), "malloc_trim"):
+        _libc().malloc_trim(0)

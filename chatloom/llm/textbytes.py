@@ -1,7 +1,7 @@
 """Words of many texts at once, as byte positions and 64-bit hashes in numpy arrays.
 
 A word is a run of bytes outside ``\\x20`` and ``\\x09-\\x0D``. Texts are joined into one
-buffer per block of about a megabyte, so each step is one numpy pass over the block. The hash of a word
+buffer per block of about half a megabyte, so each step is one numpy pass over the block. The hash of a word
 is a polynomial over a fixed table of byte values, modulo 2**64, then mixed; it is the same in
 every process.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 5
 _U = np.uint64
 

@@ -11,9 +11,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a shard and queries of a block, about.
+#: Vectors of a shard and queries of a block, about; and queries that are multiplied at once.
 SHARD_ROWS = 4096
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 4096
+PRODUCT_ROWS = 512
 #: So many shards' lists meet in the first merge.
 MERGE_SHARDS = 8
 #: Above this a float64 sum of products may round.
@@ -57,14 +58,14 @@ def integers(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFra
     """vec_id and floor(scale * x) of each component; without rows that are null or hold a null or non-finite component."""
     d = F.transform(vector, lambda x: x.cast("double"))
     fine = F.col(key).isNotNull() & F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
-    return vectors.where(fine).select(F.col(key).alias("vec_id"), F.transform(d, lambda x: F.floor(F.lit(scale) * x).cast("double")).alias("v")).dropDuplicates()
+    return vectors.where(fine).select(F.col(key).alias("vec_id"), F.transform(d, lambda x: F.floor(F.lit(scale) * x).cast("double")).alias("v"))
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k best of all rows for each row whose id is divisible by every: query_id, rank, vec_id, score.
 
     Score: integer product of floor(scale * x); ties go to the smaller vec_id. Rows with a null id or vector,
-    or a null or non-finite component, take no part; equal repeated rows count once, and a row with the query's
+    or a null or non-finite component, take no part; repeated rows are candidates each, but ask once, and a row with the query's
     id is the query's own. Only vectors of the query's length are candidates. With fewer than k candidates all
     are given; an empty table gives none.
     """
@@ -74,15 +75,17 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     number = F.xxhash64("vec_id")
     each_block, each_shard = F.sequence(F.lit(0), F.lit(query_blocks - 1)), F.sequence(F.lit(0), F.lit(shards - 1))
     shard = table.select("dim", F.explode(each_block).alias("block"), F.pmod(number, F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vec_id", "v")
-    asked = table.where(F.pmod("vec_id", F.lit(every)) == 0).select("dim", F.pmod(number, F.lit(query_blocks)).cast("int").alias("block"), F.explode(each_shard).alias("shard"), F.lit(True).alias("asks"), "vec_id", "v")
+    asked = table.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates().select("dim", F.pmod(number, F.lit(query_blocks)).cast("int").alias("block"), F.explode(each_shard).alias("shard"), F.lit(True).alias("asks"), "vec_id", "v")
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy()
         left, right = pdf[asks], pdf[~asks]
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "shard": []})
-        found = best_of_tile(left["vec_id"].to_numpy(), np.stack(left["v"].to_numpy()), right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy()), k)
-        return found.assign(shard=pdf["shard"].iloc[0])
+        ids, vectors = right["vec_id"].to_numpy(), np.stack(right["v"].to_numpy())
+        asking = (left.iloc[i : i + PRODUCT_ROWS] for i in range(0, len(left), PRODUCT_ROWS))
+        found = [best_of_tile(part["vec_id"].to_numpy(), np.stack(part["v"].to_numpy()), ids, vectors, k) for part in asking]
+        return pd.concat(found).assign(shard=pdf["shard"].iloc[0])
 
     lists = shard.unionByName(asked).groupBy("dim", "block", "shard").applyInPandas(tile, "query_id long, vec_id long, score long, shard long")
     groups = shards

@@ -217,7 +217,7 @@ def test_jaccard_components_equal_brute_force(spark, odd, docs, monkeypatch):
     few = [*made[:6], *made[25:33], *made[85:91], *made[-4:]]
     twice = spark.createDataFrame([*few, *((i, t + " and more words at the end") for i, t in few[::3]), (0, "another text of its own in a few words")], "doc_id long, text string")
     rows = [(r.doc_id, r.text) for r in twice.collect()]
-    for name in ("SENT_IDS", "LONG_LIST", "AGAIN", "LOCAL_NAMED", "FREQUENT", "PIVOT_PAIRS", "COUNTED_BYTES"):
+    for name in ("SENT_IDS", "LONG_LIST", "AGAIN", "LOCAL_NAMED", "FREQUENT", "PIVOT_PAIRS", "COUNTED"):
         monkeypatch.setattr(jaccard, name, 1)
     monkeypatch.setattr(jaccard, "LIST_BLOCK", 8)
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 500)
@@ -242,10 +242,11 @@ def test_top_k_is_exact(spark):
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)] + [(300 + i, [0.5] * 6) for i in range(60)]
     rows += [(400, None), (420, [None] * 6), (440, [float("nan")] * 6), (None, [1.0] * 6), (460, [1.0, 2.0]), (20, rows[20][1])]
     df = spark.createDataFrame([(*r, 7, 7) for r in rows], "vec_id long, embedding array<float>, label int, rank int")
+    # The repeated row is a candidate twice, and asks once.
     good = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v in rows if i is not None and v and v[0] is not None and not math.isnan(v[0])}
     want = []
     for q in (i for i in good if i % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(good[q], v, strict=True)), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:20]
+        best = sorted((-sum(a * b for a, b in zip(good[q], v, strict=True)), i) for i, v in [*good.items(), (20, good[20])] if i != q and len(v) == len(good[q]))[:20]
         want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     assert sorted(tuple(r) for r in top_k(df).collect()) == sorted(want)
     assert top_k(df.limit(0)).count() == 0
@@ -269,7 +270,8 @@ def test_toxicity_finds_one_bad_word_in_a_long_text():
     rng = np.random.default_rng(2)
     text = lambda bad: " ".join([*(f"w{i}" for i in rng.integers(0, 500, 300)), *(["Awful,"] if bad else [])]).encode()
     labels = np.array([float(i % 5 == 0) for i in range(600)])
-    at, w, _ = ftrl.learned(list(toxicity.SETTINGS.rows([text(x) for x in labels])), labels, toxicity.SETTINGS)
+    rows = [b for b, _ in toxicity.SETTINGS.rows([text(x) for x in labels])]
+    at, w, _ = ftrl.learned(np.concatenate(rows), None, np.concatenate([[0], np.cumsum([len(b) for b in rows])]), labels, toxicity.SETTINGS)
     at, w = at[w != 0], w[w != 0]
     weights = np.zeros((1 << toxicity.SETTINGS.bits) + 1)
     weights[at] = w
@@ -277,6 +279,30 @@ def test_toxicity_finds_one_bad_word_in_a_long_text():
     assert all((p >= 0.3) == (np.arange(100) % 2 == 1)) and len(at) < 500
 
 
+def test_ftrl_equals_its_formulas():
+    # Update by update, with dictionaries.
+    s = ftrl.Settings(kind="plain", bits=6, binary=False, alpha=0.5, l1=0.05, l2=0.1, epochs=2)
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(64, rng.integers(0, 9), replace=False)).astype(np.int32), rng.random(9).astype(np.float32)) for _ in range(40)]
+    rows = [(b, x[: len(b)]) for b, x in rows]
+    labels = rng.integers(0, 2, 40).astype(float)
+    z, n = Counter(), Counter()
+    weight = lambda k: 0.0 if abs(z[k]) <= (s.l1 if k < 64 else 0) else -math.copysign(abs(z[k]) - (s.l1 if k < 64 else 0), z[k]) / ((s.beta + math.sqrt(n[k])) / s.alpha + s.l2)
+    order = np.random.default_rng(s.seed)
+    full = np.array([i for i, (b, _) in enumerate(rows) if len(b)])
+    for _ in range(s.epochs):
+        for i in order.permutation(full):
+            x = dict(zip([*rows[i][0].tolist(), 64], [*rows[i][1].astype(float).tolist(), 1.0], strict=True))
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * x[k] for k in x)))
+            for k, v in x.items():
+                g = (p - labels[i]) * v
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / s.alpha * w[k]
+                n[k] += g * g
+    at, w, seen = ftrl.learned(np.concatenate([b for b, _ in rows]), np.concatenate([x for _, x in rows]), np.concatenate([[0], np.cumsum([len(b) for b, _ in rows])]), labels, s)
+    assert at.tolist() == sorted(k for k in n if n[k]) and np.allclose(w, [weight(k) for k in at.tolist()], atol=1e-5) and np.allclose(seen, [n[k] for k in at.tolist()], atol=1e-5)
+
+
 def test_language_scores(spark, odd, docs):
     for df in (odd, docs):
         got = rows_of(language_scores(df))
@@ -395,6 +421,25 @@ def test_marks_on_wrappers_do_not_drop_the_article():
     assert html_text.main_text(f"<div class='widget'><article>{words_}</article></div><nav>{words_}</nav>", weights) == words_
 
 
+def test_best_region_is_the_best_of_all():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        score = rng.integers(-4, 4, rng.integers(0, 12)).astype(float).tolist()
+        best = max((sum(score[a:b]) for a in range(len(score)) for b in range(a, len(score) + 1)), default=0)
+        first, last = html_text.best_region(score)
+        assert sum(score[first:last]) == best and (best > 0 or first == last)
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    weights = {(w, k): (1.0 if w == "word" else -0.5) for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
+    for piece in ("<a ", "<b>x</i>", "<p", "<div>", "<!--", "<script", "<div class=ad>x", '<a href="'):
+        began = time.perf_counter()
+        html_text.main_text(piece * (500_000 // len(piece)), weights)
+        assert time.perf_counter() - began < 8, piece
+
+
 def test_best_region_is_contiguous():
     weights = {(w, k): (1.0 if w == "word" else -2.0) for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
     assert html_text.main_text("<b>a</b><b>c</b><div>one two three four five six seven</div><b>z</b>", weights) == "one two three four five six seven"
