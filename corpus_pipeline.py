@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm import quality, toxicity
-from chatloom.llm.ftrl import predicted, train
+from chatloom.llm.ftrl import reaching, train
 from chatloom.llm.jaccard import link_components
 from chatloom.llm.mixing import mixed_documents
 from chatloom.llm.packing import packed_documents
@@ -21,13 +21,13 @@ from chatloom.llm.tables import read, written
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     weights = train(docs, read(spark, sf_dir, "labels"), "quality", quality.SETTINGS)
-    return docs.where(predicted(spark, F.col("text"), weights, quality.SETTINGS, quality.THRESHOLD))
+    return docs.where(reaching(docs, weights, quality.SETTINGS, quality.THRESHOLD))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity model rejects."""
     weights = train(docs, read(spark, sf_dir, "labels"), "toxic", toxicity.SETTINGS)
-    return docs.where(~predicted(spark, F.col("text"), weights, toxicity.SETTINGS, toxicity.THRESHOLD))
+    return docs.where(~reaching(docs, weights, toxicity.SETTINGS, toxicity.THRESHOLD))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
