@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 #: Joins fields that are searched together; no white space matches it, so no alias runs across.
 FIELD_BREAK = "\u0000"
 _SPACE = re.compile(r"\s+")
+_RUN = re.compile(r"[\w-]+")
 
 
 def alias_key(alias: str) -> str:
@@ -34,12 +36,24 @@ def aliases_found(text: Column, keys: list[str]) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def run(texts: pd.Series) -> pd.Series:
-        pattern = alias_pattern(known)
-        return pd.Series([sorted({alias_key(m) for m in pattern.findall(t.casefold())}) if pattern and t else [] for t in texts])
+        search = alias_search(known)
+        return pd.Series([search(t.casefold()) if t else [] for t in texts])
 
     return run(text)
 
 
+def alias_search(keys: list[str]) -> Callable[[str], list[str]]:
+    """A function of a case-folded text to the aliases that it names, sorted.
+
+    Where each alias is one run of word characters, a text names it if the alias is among the text's runs; else one alternation is searched for.
+    """
+    if all(_RUN.fullmatch(k) for k in keys):
+        wanted = frozenset(keys)
+        return lambda text: sorted(wanted.intersection(_RUN.findall(text)))
+    pattern = alias_pattern(keys)
+    return lambda text: sorted({alias_key(m) for m in set(pattern.findall(text))})
+
+
 @F.pandas_udf(T.StringType())
 def alias_keys(aliases: pd.Series) -> pd.Series:
     """alias_key of a column."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.redact import ANCHORS, redacted
+from chatloom.functions.redact import redacted_all
 
 
 def _all_texts(title: Column, messages: Column) -> Column:
@@ -19,27 +19,16 @@ def _all_texts(title: Column, messages: Column) -> Column:
     return F.concat(F.array(title), F.flatten(each))
 
 
-def sanitized(df: DataFrame, redact: Callable[[Column], Column] = redacted) -> DataFrame:
+def sanitized(df: DataFrame, redact: Callable[[Column], Column] = redacted_all) -> DataFrame:
     """Replaces credentials in title and messages, and adds redactions (map of category to number).
 
-    Texts are dealt out one by one (each text is one value for the redactor, so long ones don't gather), keyed by the row's
-    own place; ids, times, roles and kinds stay as they are.
+    All texts of a row are one array, which goes to the redactor and back in place: nothing is dealt out. Ids, times, roles and kinds stay as they are.
     """
-    keyed = df.withColumn("_texts", _all_texts(F.col("title"), F.col("messages")))
-    # Rows without an anchor anywhere skip the exchange altogether.
-    suspect = F.exists("_texts", lambda t: F.coalesce(t.rlike(ANCHORS), F.lit(False)))
-    clean = keyed.where(~suspect).drop("_texts").withColumn("redactions", F.create_map().cast("map<string,int>"))
-    dirty = keyed.where(suspect)
-    texts = dirty.select("source", "source_id", F.posexplode("_texts").alias("i", "t")).withColumn("r", redact(F.col("t")))
-    again = texts.groupBy("source", "source_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "r")), lambda a, b: a["i"] - b["i"]), lambda x: x["r"]).alias("_r"))
-    total = F.aggregate(
-        F.flatten(F.transform("_r", lambda r: F.map_entries(r["counts"]))),
-        F.create_map().cast("map<string,int>"),
-        lambda acc, e: F.map_zip_with(acc, F.map_from_arrays(F.array(e["key"]), F.array(e["value"])), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
-    )
-    joined = dirty.join(again, ["source", "source_id"]).withColumn("redactions", total).withColumn("_new", F.transform("_r", lambda r: r["text"]))
-    back = joined.withColumn("title", F.element_at("_new", 1)).withColumn("messages", _put_back(F.col("messages"), F.col("_new")))
-    return clean.unionByName(back.select(*clean.columns))
+    done = df.withColumn("_done", redact(_all_texts(F.col("title"), F.col("messages"))))
+    found = F.size("_done.counts") > 0
+    title = F.when(found, F.element_at("_done.texts", 1)).otherwise(F.col("title"))
+    messages = F.when(found, _put_back(F.col("messages"), F.col("_done.texts"))).otherwise(F.col("messages"))
+    return done.withColumn("title", title).withColumn("messages", messages).withColumn("redactions", F.col("_done.counts")).drop("_done")
 
 
 def _put_back(messages: Column, texts: Column) -> Column:

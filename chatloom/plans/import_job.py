@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from chatloom.operators.retain import retained
 from chatloom.operators.sanitize import sanitized
 from chatloom.operators.state import decided, run_report, upserted
 from chatloom.session import written
+from chatloom.sources.exports import read_exports
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,10 @@ class Places:
     def state(self, run: int) -> str:
         return f"{self.root}/state/run={run}"
 
+    def batches(self, checkpoint: str) -> str:
+        """Which batch of a stream became which run."""
+        return f"{self.root}/batches/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+
     def work(self, run: int) -> str:
         return f"{self.root}/work/run={run}"
 
@@ -102,6 +109,36 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     return outcomes
 
 
-def report(outcomes: DataFrame) -> DataFrame:
-    """One versioned row about a run."""
-    return run_report(outcomes).withColumn("format_version", F.lit(1))
+def import_exports(spark: SparkSession, paths: list[str], rules: DataFrame, places: Places, run: int, imported_at: Column, importer_version: str = "1", force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Outcomes and report of importing exports; where they can't be reached there are no outcomes, and the report has a terminal error."""
+    try:
+        records = read_exports(spark, *paths)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        none = spark.createDataFrame([], "source string, source_id string, document_id string, content_hash string, status string, error string, project string, recorded_at timestamp")
+        return none, report(none, "source")
+    outcomes = run_import(spark, records, rules, places, run, imported_at, importer_version, force)
+    return outcomes, report(outcomes)
+
+
+def report(outcomes: DataFrame, terminal_error: str | None = None) -> DataFrame:
+    """One versioned row about a run: its counts, status and terminal error."""
+    return run_report(outcomes, terminal_error).withColumn("format_version", F.lit(1)).withColumn("terminal_error", F.lit(terminal_error).cast("string"))
+
+
+def result_json(report: DataFrame) -> DataFrame:
+    """A report as one JSON text, with its version first: what a caller outside Spark reads."""
+    names = ("format_version", "run_status", "imported", "skipped", "failed", "terminal_error")
+    return report.select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("result"))
+
+
+def last_run(spark: SparkSession, places: Places) -> int:
+    """The number of the last run that left a state; -1 if there is none."""
+    try:
+        found = spark.read.parquet(f"{places.root}/state").agg(F.max("run")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return -1
+    return -1 if found is None else int(found)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import json
 import re
 import tomllib
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +21,9 @@ from chatloom.model import SLUG, UNKNOWN_PROJECT
 
 SINGLE, NUMBERED = r"(?:^|/)conversations\.json$", r"(?:^|/)conversations-(\d+)\.json$"
 RECORDS = "export string, file string, file_no bigint, pos bigint, raw string, error string"
+#: Bytes of a file that are decoded at once.
+PART_BYTES = 1 << 20
+ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06")
 _SPACE = re.compile(r"[ \t\r\n]*")
 
 
@@ -37,95 +43,175 @@ def conversation_files(listing: DataFrame, export: str = "export", path: str = "
     return numbered.join(forms.select(export, verdict.alias("verdict")), export).where(F.col("file_no").isNotNull() | (F.col("verdict") != "ok"))
 
 
-def scan_array(text: str) -> Iterator[tuple[str | None, str | None]]:
+def scan_array(text: str | Iterable[str]) -> Iterator[tuple[str | None, str | None]]:
     """The exact text of each element of a JSON array, then at most one error.
 
-    A byte order mark, white space and one trailing comma are taken; elements before a syntax error are given.
+    A byte order mark, white space and one trailing comma are taken; elements before a syntax error are given. The text may come in parts: what
+    is held is one element and the part in which it ends.
     """
+    parts = iter([text] if isinstance(text, str) else text)
     decode = json.JSONDecoder().raw_decode
-    skip = lambda at: _SPACE.match(text, at).end()
-    at = skip(1 if text[:1] == "﻿" else 0)
-    if text[at : at + 1] == "﻿":
-        at = skip(at + 1)
-    if text[at : at + 1] != "[":
+    held, at, ended = "", 0, False
+
+    def more() -> bool:
+        """Reads on, twice as much as is held, so that long elements aren't tried too often."""
+        nonlocal held, at, ended
+        got, size = [held[at:]], 0
+        while size <= len(got[0]) and not ended:
+            part = next(parts, None)
+            ended = part is None
+            got.append(part or "")
+            size += len(got[-1])
+        held, at = "".join(got), 0
+        return size > 0
+
+    def skip() -> str:
+        """The next character that isn't white space, or nothing at the end."""
+        nonlocal at
+        while True:
+            at = _SPACE.match(held, at).end()
+            if at < len(held):
+                return held[at]
+            if not more():
+                return ""
+
+    if skip() == "\ufeff":
+        at += 1
+    if skip() != "[":
         yield None, "not_an_array"
         return
-    at, more = skip(at + 1), True
+    at += 1
+    comma = True
     while True:
-        here = text[at : at + 1]
+        here = skip()
         if here == "]":
-            if skip(at + 1) < len(text):
+            at += 1
+            if skip():
                 yield None, "text_after_array"
             return
         if not here:
             yield None, "array_not_closed"
             return
-        if not more:
+        if not comma:
             yield None, "bad_json"
             return
-        try:
-            _, end = decode(text, at)
-        except (ValueError, RecursionError):
-            yield None, "bad_json"
-            return
-        yield text[at:end], None
-        at = skip(end)
-        more = text[at : at + 1] == ","
-        if more:
-            at = skip(at + 1)
+        while True:
+            try:
+                _, end = decode(held, at)
+            except RecursionError:
+                yield None, "bad_json"
+                return
+            except ValueError:
+                end = -1
+            # A number may go on where the part ends.
+            if 0 <= end < len(held) or end > 0 and ended:
+                break
+            if not more():
+                if end < 0:
+                    yield None, "bad_json"
+                    return
+                break
+        yield held[at:end], None
+        at = end
+        comma = skip() == ","
+        at += comma
+
 
+def _text_parts(stream: BinaryIO) -> Iterator[str]:
+    """A UTF-8 stream in parts; UnicodeDecodeError where it isn't."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    while data := stream.read(PART_BYTES):
+        yield decoder.decode(data)
+    yield decoder.decode(b"", final=True)
 
-def _members(path: str, content: bytes) -> Iterator[tuple[str, bytes]]:
-    """The conversation files of one read file: itself, or a zip's."""
-    if not path.endswith(".zip"):
-        yield path, content
+
+def _members(path: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
+    """The conversation files of one read file, as streams: itself, or those of a zip, told by its content."""
+    if content[:4] not in ZIP_MAGIC:
+        yield path, io.BytesIO(content)
         return
     with zipfile.ZipFile(io.BytesIO(content)) as packed:
         for name in packed.namelist():
             if re.search(SINGLE, name) or re.search(NUMBERED, name):
-                yield name, packed.read(name)
+                with packed.open(name) as stream:
+                    yield name, stream
+
+
+def _plain(path: Column) -> Column:
+    """A path without scheme and host."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*", "/")
 
 
 def read_exports(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw records of exports: export, file, file_no, pos, raw, error (a failure of the file, without raw).
+    """Raw records of exports: export, file, file_no, pos, raw, error (a failure of the file or of the export, without raw).
 
-    Paths are zips, JSON files or folders of such. Files are read whole, one row each, which Spark bounds at 2 GB; each file's records are
-    found by one task, so write the result out and repartition before heavy work.
+    A path is a JSON file of any name, a zip, or a folder of conversation files or zips. An export with both forms of conversation files, or
+    with none, gives one row with an error. A path that can't be read raises. Spark hands each file over as one value, at most 2 GB; its text is
+    read part by part, and its records are found by one task, so write the result out and repartition before heavy work.
     """
-    globs = [p if p.endswith((".zip", ".json")) else f"{p.rstrip('/')}/*" for p in paths]
-    files = spark.read.format("binaryFile").load(globs).where(F.col("path").rlike(r"\.zip$") | file_number(F.col("path")).isNotNull()).select("path", "content")
+    files = reduce(DataFrame.unionByName, [spark.read.format("binaryFile").load(p.rstrip("/")).withColumn("given", F.lit(p.rstrip("/"))) for p in paths])
+    alone = _plain(F.col("path")) == _plain(F.col("given"))
+    zipped = F.col("path").rlike(r"(?i)\.zip$")
+    export = F.when(alone | zipped, F.col("path")).otherwise(F.col("given"))
+    listed = files.select(export.alias("export"), "path", "content", (alone | zipped).alias("whole"))
+    wanted = listed.where(F.col("whole") | file_number(F.col("path")).isNotNull())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                export = path if path.endswith(".zip") else path.rsplit("/", 1)[0]
+            for path, content, export in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                some = False
                 try:
-                    members = list(_members(path, content))
+                    for name, stream in _members(path, content):
+                        some = True
+                        yield from _records(export, name, stream)
                 except zipfile.BadZipFile:
-                    members = []
                     yield _record_batch([(export, path, None, 0, None, "bad_zip")])
-                for name, data in members:
-                    number = re.search(NUMBERED, name)
-                    n = int(number[1]) if number else 0
-                    rows: list[tuple] = []
-                    try:
-                        text = data.decode("utf-8")
-                    except UnicodeDecodeError:
-                        yield _record_batch([(export, name, n, 0, None, "not_utf8")])
-                        continue
-                    for pos, (raw, error) in enumerate(scan_array(text)):
-                        rows.append((export, name, n, pos, raw, error))
-                        if len(rows) == 1000:
-                            yield _record_batch(rows)
-                            rows = []
-                    yield _record_batch(rows)
-
-    found = files.mapInArrow(scan, RECORDS)
-    # An export with both forms fails as a whole.
+                    continue
+                if not some:
+                    yield _record_batch([(export, None, None, 0, None, "no_conversations")])
+
+    found = wanted.select("path", "content", "export").mapInArrow(scan, RECORDS)
+    # Folders are judged by their names alone; zips by what was found in them.
+    folders = listed.where(~F.col("whole")).groupBy("export").agg(F.bool_and(file_number(F.col("path")).isNull()).alias("none"))
     forms = found.groupBy("export").agg((F.bool_or(F.col("file").rlike(SINGLE)) & F.bool_or(F.col("file").rlike(NUMBERED))).alias("both"))
-    joined = found.join(forms, "export")
-    rejected = forms.where("both").select("export", F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("file_no"), F.lit(0).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("raw"), F.lit("both_forms").alias("error"))
-    return joined.where(~F.coalesce("both", F.lit(False))).drop("both").unionByName(rejected)
+    sound = found.join(forms.where("both"), "export", "left_anti")
+    zips = listed.where("whole").select(F.regexp_replace("export", r"/[^/]*$", "").alias("_in")).distinct()
+    none = folders.where("none").join(zips, _plain(F.col("export")) == _plain(F.col("_in")), "left_anti")
+    return sound.unionByName(_rejected(forms.where("both"), "both_forms")).unionByName(_rejected(none, "no_conversations"))
+
+
+def _rejected(exports: DataFrame, error: str) -> DataFrame:
+    return exports.select("export", F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("file_no"), F.lit(0).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("raw"), F.lit(error).alias("error"))
+
+
+def _records(export: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
+    """The records of one file, and its failure."""
+    number = re.search(NUMBERED, name)
+    n, pos = int(number[1]) if number else 0, 0
+    rows: list[tuple] = []
+    try:
+        for raw, error in scan_array(_text_parts(stream)):
+            rows.append((export, name, n, pos, raw, error))
+            pos += 1
+            if len(rows) == 1000:
+                yield _record_batch(rows)
+                rows = []
+    except UnicodeDecodeError:
+        rows.append((export, name, n, pos, None, "not_utf8"))
+    yield _record_batch(rows)
+
+
+def records_of_texts(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """path, pos, raw, error of JSON arrays that lie in a column: what read_exports does to a file, for texts that Spark has already."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows = [(name, pos, raw, error) for pos, (raw, error) in enumerate(scan_array(whole or ""))]
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["path", "pos", "raw", "error"])
+
+    return files.select(F.col(path).cast("string"), text).mapInArrow(scan, "path string, pos bigint, raw string, error string")
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -147,10 +233,15 @@ def replayed_defect() -> Column:
     return F.coalesce(F.col("error"), F.col("reject_reason"), F.when(~F.concat(F.lit("chatgpt:"), F.col("source_id")).eqNullSafe(F.col("document_id")), "other_identity"))
 
 
+def rules_of_text(spark: SparkSession, text: str) -> DataFrame:
+    """Project rules from the text of a TOML file."""
+    return rules_frame(spark, [(p["project"], p["aliases"], p.get("priority", 0)) for p in tomllib.loads(text).get("project", [])])
+
+
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """Project rules from TOML ([[project]] with project, aliases, priority): project, alias, alias_key, priority. Read as a text file by Spark, so any store will do."""
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
-    return rules_frame(spark, [(p["project"], p["aliases"], p.get("priority", 0)) for p in tomllib.loads(text).get("project", [])])
+    return rules_of_text(spark, text)
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple[str, list[str], int]]) -> DataFrame:

@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatloom.operators.archive import latest
-from chatloom.plans.import_job import Places, run_import
+from chatloom.plans.import_job import Places, last_run, run_import
 
 STAGED = "file_no bigint, pos bigint, raw string, error string"
 
 
 def refresh(spark: SparkSession, staged: str, rules: DataFrame, places: Places, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
-    """Imports staged raw records batch by batch and ends when nothing is left; the batch number is the run number, so a retried batch repeats its own run."""
+    """Imports staged raw records batch by batch and ends when nothing is left. A batch becomes the run after the last one that left a state, and stays that run if it is retried."""
 
     def batch(df: DataFrame, number: int) -> None:
-        run_import(spark, df, rules, places, number, F.current_timestamp())
+        run_import(spark, df, rules, places, run_of_batch(spark, places, checkpoint, number), F.current_timestamp())
 
     stream = spark.readStream.schema(STAGED).option("maxFilesPerTrigger", files_per_batch).parquet(staged)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def run_of_batch(spark: SparkSession, places: Places, checkpoint: str, number: int) -> int:
+    """The run number of a batch: the one noted when it was first tried, else the next."""
+    path = f"{places.batches(checkpoint)}/batch={number}"
+    try:
+        noted = spark.read.schema("run bigint").parquet(path).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        noted = None
+    if noted is not None:
+        return noted.run
+    run = last_run(spark, places) + 1
+    spark.createDataFrame([(run,)], "run bigint").write.mode("overwrite").parquet(path)
+    return run
+
+
 def keep_latest(spark: SparkSession, stream: DataFrame, keys: tuple[str, ...], order: str, path: str, checkpoint: str) -> StreamingQuery:
     """Keeps one row per key, the one with the greatest order, as snapshots path/batch=n; a retried batch rewrites its own snapshot."""
 
