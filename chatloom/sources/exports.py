@@ -103,14 +103,14 @@ def scan_array(text: str | Iterable[str]) -> Iterator[tuple[str | None, str | No
                 return
             except ValueError:
                 end = -1
-            # A number may go on where the part ends.
-            if 0 <= end < len(held) or end > 0 and ended:
-                break
-            if not more():
-                if end < 0:
-                    yield None, "bad_json"
-                    return
+            # A number may go on where the part ends, behind a point or an exponent's sign too.
+            near = 3 if held[at] in "-0123456789" else 1
+            if 0 <= end <= len(held) - near or end > 0 and ended:
                 break
+            if ended:
+                yield None, "bad_json"
+                return
+            more()
         yield held[at:end], None
         at = end
         comma = skip() == ","

@@ -112,6 +112,56 @@ def test_scan_keeps_exact_text_and_what_stands_before_an_error():
     assert list(scan_array("[]")) == [] and list(scan_array("[1 2]")) == [("1", None), (None, "bad_json")]
 
 
+def test_scan_takes_parts_of_any_size():
+    whole = '\ufeff [ {"a": "x]y\\" é"} , 12345 ,[1, {"b": []}],true,"s" , -1.5e3 ,]\n'
+    want = list(scan_array(whole))
+    assert len(want) == 6
+    for text, found in ((whole, want), (whole[:30], list(scan_array(whole[:30]))), ("[1] x", [("1", None), (None, "text_after_array")])):
+        for size in (1, 2, 3, 7):
+            assert list(scan_array(text[i : i + size] for i in range(0, len(text), size))) == found
+
+
+def test_scan_holds_little():
+    import tracemalloc
+
+    def peak(n):
+        one = json.dumps({"text": "word " * 1000})
+        parts = ("[" if i == 0 else "]" if i == n + 1 else one + ("," if i < n else "") for i in range(n + 2))
+        tracemalloc.start()
+        assert sum(1 for raw, error in scan_array(parts) if raw) == n
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top
+
+    assert peak(2000) < 3 * peak(200)
+
+
+def test_exports_of_each_form(spark, tmp_path):
+    one = json.dumps([{"a": 1}])
+    for name, files in {"whole": {"conversations.json": one}, "split": {"conversations-10.json": one, "conversations-9.json": one}, "none": {"chat.html": "x"}, "both": {"conversations.json": one, "conversations-1.json": one}}.items():
+        (tmp_path / name).mkdir()
+        for f, text in files.items():
+            (tmp_path / name / f).write_text(text)
+    (tmp_path / "any name.json").write_text(one)
+    (tmp_path / "bad.json").write_bytes(b'[1, "\xff"]')
+    for name, member in (("packed", "conversations-3.json"), ("empty.zip", "chat.html")):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            z.writestr(member, one)
+    got = lambda *names: sorted((r.file_no, r.pos, r.raw, r.error) for r in read_exports(spark, *(str(tmp_path / n) for n in names)).fillna(-1).fillna("").collect())
+    assert got("whole") == got("any name.json") == [(0, 0, '{"a": 1}', "")]
+    assert got("split") == [(9, 0, '{"a": 1}', ""), (10, 0, '{"a": 1}', "")]
+    assert got("packed") == [(3, 0, '{"a": 1}', "")]
+    assert got("none") == got("empty.zip") == [(-1, 0, "", "no_conversations")] and got("both") == [(-1, 0, "", "both_forms")]
+    assert "not_utf8" in [e for *_, e in got("bad.json")]
+    assert len(got("whole", "split", "none")) == 4
+
+
+def test_a_list_item_does_not_close_its_manifest():
+    text = "kind: Secret\nmetadata:\n  finalizers:\n  - keep\ndata:\n  pw: abcdefgh\n"
+    assert Redactor()(text)[1] == {"kubernetes-secret": 1}
+    assert Redactor()(text.replace("Secret", "ConfigMap"))[1] == {}
+
+
 def _message(role, text, **more):
     return {"author": {"role": role, "name": more.get("name")}, "create_time": more.get("at"), "content": more.get("content", {"content_type": "text", "parts": [text]}), "metadata": more.get("metadata", {}), "recipient": more.get("to", "all")}
 

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from chatloom import import_queries  # noqa: F401
 from chatloom import queries as library
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", ["content_hashes", "import_decision", "run_report", "export_files", "message_text", "tool_fold", "redact_jwt", "redact_overlap", "project_of_document", "archive_audit", "tag_match_modes", "log_scrub"])
+@pytest.mark.parametrize("name", ["content_hashes", "import_decision", "run_report", "export_files", "message_text", "tool_fold", "redact_jwt", "redact_overlap", "project_of_document", "archive_audit", "tag_match_modes", "log_scrub", "scanned_arrays", "nested_aliases", "record_times", "graph_rules", "redact_planted_documents", "sanitized_own_table", "archive_store", "import_log"])
 def test_query_equals_its_sql(spark, db, name):
     got = library.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
