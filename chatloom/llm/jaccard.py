@@ -21,11 +21,9 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from chatloom.llm.components import components
 from chatloom.llm.tables import bounded, slices, written
@@ -41,7 +39,7 @@ FREQUENT = 4_000_000
 #: Similarity from which sets share a group, in percent; any value gives the same links.
 GROUP_PERCENT = 50
 #: Shingles of a block of a group's sets, about: what a task holds of each side.
-BLOCK_SHINGLES = 600_000
+BLOCK_SHINGLES = 150_000
 #: A shingle in the prefixes of more sets of different groups becomes frequent too, and prefixes are taken anew, at most so often.
 LONG_LIST, AGAIN = 100, 1
 #: Sets of a block of a list with more than LONG_LIST sets.
@@ -124,14 +122,16 @@ def profile(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
     A set's standing is the share of its shingles that its slice holds twice: central sets of a group have most.
     """
     names = [key, "text_hash", "named", "n", "node", "firsts", "bits", "standing"]
-    kind = docs.schema[key].dataType
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(docs.schema[key].dataType)
 
     def named(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         values, count = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         many = np.flatnonzero(count >= LOCAL_COUNT)
         many = many[np.argsort(-count[many], kind="stable")][:LOCAL_NAMED]
         m = len(many)
-        columns = [pa.nulls(m, to_arrow_type(kind)), pa.nulls(m, pa.int64()), pa.array(np.ones(m, bool)), pa.array(count[many]), pa.array(values[many].astype(np.int64)), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.float64())]
+        columns = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(np.ones(m, bool)), pa.array(count[many]), pa.array(values[many].astype(np.int64)), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,16 +361,17 @@ def group_links(labels: DataFrame, docs: DataFrame, width: int, percent: int, ke
     every = members.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("j", F.pmod(mine, F.col("many")).cast("int")).withColumn("left", F.lit(False))
     rows = outside.unionByName(every).select("grp", "i", "j", "left", "node", "component", "text")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [v[a:b] for _, _, v, at in shingle_sets([t.encode() for t in pdf["text"]], width) for a, b in zip(at[:-1], at[1:], strict=True)]
+    def run(part: pa.Table) -> pa.Table:
+        texts = part.column("text").cast(pa.large_binary()).to_pylist()
+        sets = [v[a:b] for _, _, v, at in shingle_sets(texts, width) for a, b in zip(at[:-1], at[1:], strict=True)]
         size = 1 << (4 * max(map(len, sets))).bit_length()
         bits = np.stack([np.frombuffer(parity_bits(v, size), np.uint64) for v in sets])
-        label = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1].copy()
-        left, node = pdf["left"].to_numpy(), pdf["node"].to_numpy()
+        label = np.unique(part.column("component").to_numpy(), return_inverse=True)[1].copy()
+        left, node = part.column("left").to_numpy(), part.column("node").to_numpy()
         links = _joins(label, sets, bits, np.flatnonzero(left), np.flatnonzero(~left), percent)
-        return pd.DataFrame({"a": node[[x for x, _ in links]], "b": node[[y for _, y in links]]}, dtype=np.int64)
+        return pa.table({"a": node[np.array([x for x, _ in links], np.int64)], "b": node[np.array([y for _, y in links], np.int64)]})
 
-    return written(rows.groupBy("grp", "i", "j").applyInPandas(run, "a long, b long"))
+    return written(rows.groupBy("grp", "i", "j").applyInArrow(run, "a long, b long"))
 
 
 def long_lists(lists: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.llm import textbytes
+
 #: Bytes of an Arrow batch on its way to Python; a longer row comes alone.
 BATCH_BYTES = 1 << 22
 #: Bytes of texts that a task works on at once; a longer text comes alone.
@@ -84,6 +86,7 @@ def steady() -> None:
 
 def give_back() -> None:
     """Returns freed memory of this worker to the machine."""
+    textbytes.forget_tables()
     pa.default_memory_pool().release_unused()
     if hasattr(_libc(), "malloc_trim"):
         _libc().malloc_trim(0)

@@ -54,6 +54,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def forget_tables() -> None:
+    """Gives the memory of the power tables back; they are made again when they are needed."""
+    _powers.clear()
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The hash of each span of bytes, which isn't empty."""
     if not len(start):
