@@ -36,6 +36,8 @@ REST_DEPTH = 4
 #: Tokens from which buckets grow, and how many times their number doubles at most.
 GROWS_FROM, DOUBLINGS = 1 << 24, 4
 _NONE = np.float32(-1e9)
+#: Bytes of texts that make mini-batches together.
+BLOCK_BYTES = 1 << 20
 #: Of AdaGrad's sums before any update.
 FIRST_SUM = np.float32(1e-4)
 
@@ -77,8 +79,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (a hash), n: of all tokens of all rows, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [tokens(w)[0] for w in words(texts_of(batch))]
+        for batch in slices(batches, small=False):
+            found = [tokens(w)[0] for w in words(texts_of(batch), most=BLOCK_BYTES)]
             if found:
                 word, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
@@ -306,8 +308,8 @@ def _averaged(docs: DataFrame, start: Trainer) -> Trainer:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, some = Trainer(held.value.v, held.value), False
-        for batch in slices(batches):
-            for w in words(texts_of(batch)):
+        for batch in slices(batches, small=False):
+            for w in words(texts_of(batch), most=BLOCK_BYTES):
                 model.learn(*tokens(w))
                 some = True
         for which in ("class", "word", "tree") if some else ():
@@ -366,8 +368,8 @@ def language_scores(docs: DataFrame, shape: Shape = Shape(), key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         row = TaskContext.get().partitionId() << 34
-        for batch in slices(batches):
-            for w in words(texts_of(batch)):
+        for batch in slices(batches, small=False):
+            for w in words(texts_of(batch), most=BLOCK_BYTES):
                 token, begin = tokens(w)
                 n = w.last - w.first
                 owner = np.repeat(np.arange(n), np.diff(begin))

@@ -59,9 +59,13 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in slices, without copies, that hold about most bytes of a text column; empty batches are left out. At the end the worker gives memory back."""
-    steady()
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, small: bool = True) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, without copies, that hold about most bytes of a text column; empty batches are left out. At the end the worker gives memory back.
+
+    small: freed arrays go back to the machine at once, which costs time where large ones are made again and again.
+    """
+    if small:
+        steady()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -97,11 +97,11 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_BYTES together; a longer text is a block of its own."""
+def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes together; a longer text is a block of its own."""
     first, size = 0, 0
     for i, text in enumerate(texts):
-        if i > first and size + len(text) >= BLOCK_BYTES:
+        if i > first and size + len(text) >= most:
             yield first, i
             first, size = i, 0
         size += len(text) + 1
@@ -109,9 +109,9 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def words(texts: list[bytes], lower: bool = True, hashes: bool = True, outside: np.ndarray = SPACE) -> Iterator[Words]:
+def words(texts: list[bytes], lower: bool = True, hashes: bool = True, outside: np.ndarray = SPACE, most: int = BLOCK_BYTES) -> Iterator[Words]:
     """The words of all texts, block by block. lower: A-Z become a-z first. outside: the bytes between words."""
-    for first, last in blocks(texts):
+    for first, last in blocks(texts, most):
         buffer = b"\n".join(texts[first:last]) + b"\n"
         data = np.frombuffer(buffer.lower() if lower else buffer, np.uint8)
         lengths = np.fromiter(map(len, texts[first:last]), np.int64, last - first) + 1
