@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.model import KINDS, ROLES, SLUG, SOURCES
 from chatloom.operators import content
-from chatloom.operators.graph import defect, field, kind, mapping_of, text_field, with_links, with_thread
+from chatloom.operators.graph import field, kind, mapping_of, text_field, with_links, with_thread
 
 #: Columns of the account, each a count of nodes; together they make up nodes.
 COUNTS = ("turns", "folded_tool_results", "structural", "hidden", "hidden_reasoning", "abandoned_branch")
@@ -31,10 +31,8 @@ def parsed(records: DataFrame, raw: str = "raw") -> DataFrame:
     One record never stops the others: a bad one has a reason and no messages. Reasons name the rule, not content.
     """
     df = records.withColumn("_v", F.try_parse_json(raw)).withColumn("source_id", native_id(F.col("_v"))).withColumn("mapping", mapping_of(F.col("_v"))).withColumn("current_node", text_field(F.col("_v"), "$.current_node"))
-    df = with_links(df).withColumn("_defect", defect())
-    sound = F.col("_defect").isNull() & F.col("source_id").isNotNull()
-    df = with_thread(df.withColumn("links", F.when(sound, F.col("links"))))
-    bodies = F.transform("path", lambda n: field(F.element_at("mapping", n), "$.message"))
+    df = with_thread(with_links(df))
+    bodies = F.transform("path", lambda i: field(F.col("entries")[i]["value"], "$.message"))
     given = F.filter("_bodies", lambda b: b.isNotNull() & (kind(b) != "VOID"))
     shown = F.filter("_given", lambda b: ~content.hidden(b))
     read = F.filter("_shown", lambda b: ~content.hidden_reasoning(b))
@@ -47,7 +45,7 @@ def parsed(records: DataFrame, raw: str = "raw") -> DataFrame:
         F.when(F.col("_v").isNull(), "not_json")
         .when(kind(F.col("_v")) != "OBJECT", "not_an_object")
         .when(F.col("source_id").isNull(), "no_identifier")
-        .when(F.col("_defect").isNotNull(), F.col("_defect"))
+        .when(F.col("defect").isNotNull(), F.col("defect"))
         .when(F.exists("_given", lambda b: kind(b) != "OBJECT"), "message_not_an_object")
         .when(F.exists("_given", lambda b: content.role(b).isNull()), "unknown_role")
         .when(content.any_of(content.bad_time(created), content.bad_time(updated), F.exists("_read", lambda b: content.bad_time(field(b, "$.create_time")))), "bad_time")

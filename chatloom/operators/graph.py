@@ -1,15 +1,20 @@
-"""The message graph of an export record: validation, and the thread that was on display. All inside the row.
+"""The message graph of an export record: validation, and the thread that was on display.
 
-A graph is a map of node id to VARIANT node {parent, children, message}. Links are checked through two maps (parents and
-children), reachability by a queue folded over an array, and the thread by a walk up the parents.
+A graph is a map of node id to VARIANT node {parent, children, message}. Its links are read in the JVM; what needs look-ups by name
+(Spark's maps are searched from end to end) goes through one Arrow function over a batch of graphs, in time that grows with the nodes.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAPPING = "map<string,variant>"
+VERDICT = T.StructType([T.StructField("defect", T.StringType()), T.StructField("path", T.ArrayType(T.IntegerType())), T.StructField("fallback", T.BooleanType())])
 
 
 def kind(v: Column) -> Column:
@@ -37,9 +42,9 @@ def _given(v: Column) -> Column:
 
 
 def with_links(df: DataFrame, mapping: str = "mapping") -> DataFrame:
-    """Adds links (node, is_node, has_parent, parent, kids, kids_ok), parents and children of each graph."""
+    """Adds entries (the graph's nodes in its order) and links (node, is_node, has_parent, parent, kids, kids_ok) of each graph."""
     entries = F.transform(
-        F.map_entries(F.col(mapping)),
+        "entries",
         lambda e: F.struct(
             e["key"].alias("node"),
             (kind(e["value"]) == "OBJECT").alias("is_node"),
@@ -60,60 +65,121 @@ def with_links(df: DataFrame, mapping: str = "mapping") -> DataFrame:
             (x["kids_ok"] & F.forall(x["kids"], lambda k: F.coalesce(kind(k) == "STRING", F.lit(False)))).alias("kids_ok"),
         ),
     )
-    return (
-        df.withColumn("links", entries)
-        .withColumn("links", typed)
-        .withColumn("parents", F.map_from_entries(F.transform("links", lambda x: F.struct(x["node"], x["parent"]))))
-        .withColumn("children", F.map_from_entries(F.transform("links", lambda x: F.struct(x["node"], x["kids"]))))
-    )
+    return df.withColumn("entries", F.map_entries(F.col(mapping))).withColumn("links", entries).withColumn("links", typed)
 
 
-def defect() -> Column:
-    """The first rule that a graph with links breaks, or null."""
-    links, parents, children = F.col("links"), F.col("parents"), F.col("children")
+def with_thread(df: DataFrame, current: str = "current_node") -> DataFrame:
+    """Adds defect (the first rule that the graph breaks, or null), path (places in entries, root to the node on display), fallback_branch and abandoned.
 
-    def some(rule) -> Column:
-        return F.exists(links, lambda x: F.coalesce(rule(x), F.lit(False)))
+    Without a valid current node the last child is followed from the root. Graphs with a defect have no path.
+    """
+    found = df.withColumn("_graph", graph_verdicts("links", current))
+    return found.withColumns({"defect": F.col("_graph.defect"), "path": F.col("_graph.path"), "fallback_branch": F.col("_graph.fallback"), "abandoned": F.size("links") - F.size("_graph.path")}).drop("_graph")
 
-    root = F.element_at(F.filter(links, lambda x: ~x["has_parent"]), 1)["node"]
-    # The queue grows by the children of its i-th node; it ends with all nodes that the root reaches.
-    reached = F.aggregate(
-        F.sequence(F.lit(1), F.size(links)),
-        F.array(root),
-        lambda queue, i: F.when(i > F.size(queue), queue).otherwise(F.concat(queue, F.coalesce(F.element_at(children, F.element_at(queue, i)), F.array().cast("array<string>")))),
-    )
-    return (
-        F.when(links.isNull() | (F.size(links) == 0), "no_mapping")
-        .when(some(lambda x: ~x["is_node"]), "not_a_node")
-        .when(some(lambda x: ~x["kids_ok"]), "children_not_a_list")
-        .when(some(lambda x: F.size(F.array_distinct(x["kids"])) != F.size(x["kids"])), "duplicate_child")
-        .when(some(lambda x: x["has_parent"] & (x["parent"].isNull() | ~F.map_contains_key(parents, F.coalesce(x["parent"], F.lit(""))))), "dangling_parent")
-        .when(some(lambda x: x["has_parent"] & ~F.array_contains(F.element_at(children, x["parent"]), x["node"])), "parent_does_not_list_child")
-        .when(some(lambda x: F.exists(x["kids"], lambda k: ~F.map_contains_key(parents, k))), "dangling_child")
-        .when(some(lambda x: F.exists(x["kids"], lambda k: ~F.element_at(parents, k).eqNullSafe(x["node"]))), "child_names_other_parent")
-        .when(F.size(F.filter(links, lambda x: ~x["has_parent"])) != 1, "not_one_root")
-        .when(F.size(reached) != F.size(links), "unreachable_node")
-    )
 
+@F.arrow_udf(VERDICT)
+def graph_verdicts(links: pa.Array, current: pa.Array) -> pa.Array:
+    return verdicts(links, current)
 
-def with_thread(df: DataFrame, current: str = "current_node") -> DataFrame:
-    """Adds path (root to the node on display), fallback_branch and abandoned to sound graphs.
 
-    Without a valid current node the last child is followed from the root.
+class _Found:
+    """Numbers of named nodes: a node is found by its graph and its name."""
+
+    def __init__(self, graph: np.ndarray, code: np.ndarray, names: int):
+        self.names = names
+        key = graph * names + code
+        self.order = np.argsort(key, kind="stable")
+        self.sorted = key[self.order]
+
+    def __call__(self, graph: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """-1 where a graph has no node of the name; -1 stands for an unknown name."""
+        if not len(self.sorted):
+            return np.full(len(graph), -1)
+        key = graph * self.names + code
+        at = np.minimum(np.searchsorted(self.sorted, key), len(self.sorted) - 1)
+        return np.where((self.sorted[at] == key) & (code >= 0), self.order[at], -1)
+
+
+def verdicts(links: pa.Array, current: pa.Array) -> pa.Array:
+    """defect, path and fallback of each graph of a batch. All nodes of the batch lie in flat arrays.
+
+    Roots, leaves and depths are found by pointer jumping: each round doubles the links that a node looks over, so a graph
+    takes log-many rounds whatever its shape, and a path is read off the kept rounds, all its nodes at once.
     """
-    steps = F.sequence(F.lit(1), F.size("links"))
-    nothing = F.array().cast("array<string>")
-    root = F.element_at(F.filter("links", lambda x: ~x["has_parent"]), 1)["node"]
-    leaf = F.aggregate(steps, root, lambda node, _: F.coalesce(F.try_element_at(F.coalesce(F.element_at(F.col("children"), node), nothing), F.lit(-1)), node))
-    fallback = F.col(current).isNull() | ~F.map_contains_key(F.col("parents"), F.coalesce(F.col(current), F.lit("")))
-    up = F.aggregate(steps, F.array("_leaf"), lambda path, _: F.concat(path, F.array_compact(F.array(F.element_at(F.col("parents"), F.element_at(path, -1))))))
-    return (
-        df.withColumn("fallback_branch", fallback)
-        .withColumn("_leaf", F.when(F.col("fallback_branch"), leaf).otherwise(F.col(current)))
-        .withColumn("path", F.reverse(up))
-        .withColumn("abandoned", F.size("links") - F.size("path"))
-        .drop("_leaf")
+    n = len(links)
+    sizes = pc.fill_null(pc.list_value_length(links), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    nodes = links.flatten()
+    name, parent, kids = (pc.struct_field(nodes, f) for f in ("node", "parent", "kids"))
+    is_node, has_parent, kids_ok = (pc.fill_null(pc.struct_field(nodes, f), False).to_numpy(zero_copy_only=False) for f in ("is_node", "has_parent", "kids_ok"))
+    kid_sizes = pc.fill_null(pc.list_value_length(kids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    kid_name = kids.flatten()
+    pool = pc.unique(pa.concat_arrays([name, kid_name]))
+
+    def code(names: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(names, value_set=pool), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    graph, own = np.repeat(np.arange(n), sizes), np.arange(len(name))
+    owner = np.repeat(own, kid_sizes)
+    codes, kid_code = code(name), code(kid_name)
+    find = _Found(graph, codes, len(pool) + 1)
+    up, kid = find(graph, code(parent)), find(graph[owner], kid_code)
+    listed = np.sort(owner * (len(pool) + 1) + kid_code)
+
+    def some(graphs: np.ndarray) -> np.ndarray:
+        return np.bincount(graphs, minlength=n) > 0
+
+    twice = np.flatnonzero(listed[1:] == listed[:-1])
+    linked = has_parent & (up >= 0)
+    unlisted = np.flatnonzero(linked)
+    unlisted = unlisted[~np.isin(up[unlisted] * (len(pool) + 1) + codes[unlisted], listed)]
+    known = kid >= 0
+    other = np.flatnonzero(known)
+    other = other[~has_parent[kid[other]] | (up[kid[other]] != owner[other])]
+    roots = np.bincount(graph[~has_parent], minlength=n)
+    root = np.zeros(n, np.int64)
+    root[graph[~has_parent]] = own[~has_parent]
+    up = np.where(linked, up, own)
+    jumps, depth = [up], (up != own).astype(np.int64)
+    for _ in range(int(sizes.max(initial=1)).bit_length()):
+        last = jumps[-1]
+        depth += depth[last]
+        jumps.append(last[last])
+    rules = (
+        ("no_mapping", sizes == 0),
+        ("not_a_node", some(graph[~is_node])),
+        ("children_not_a_list", some(graph[~kids_ok])),
+        ("duplicate_child", some(graph[listed[twice] // (len(pool) + 1)])),
+        ("dangling_parent", some(graph[has_parent & ~linked])),
+        ("parent_does_not_list_child", some(graph[unlisted])),
+        ("dangling_child", some(graph[owner[~known]])),
+        ("child_names_other_parent", some(graph[owner[other]])),
+        ("not_one_root", roots != 1),
+        ("unreachable_node", some(graph[jumps[-1] != root[graph]])),
     )
+    defect = np.select([broken for _, broken in rules], np.arange(len(rules)), -1)
+    sound = np.flatnonzero(defect < 0)
+
+    shown = find(np.arange(n), code(current.cast(pa.string())))
+    fallback = shown < 0
+    leaf = own.copy()
+    ends, some_kids = np.cumsum(kid_sizes) - 1, kid_sizes > 0
+    leaf[some_kids] = np.maximum(kid[ends[some_kids]], 0)
+    for _ in range(len(jumps) if fallback[sound].any() else 0):
+        leaf = leaf[leaf]
+    shown = np.where(fallback[sound], leaf[root[sound]], shown[sound]) if len(own) else np.zeros(0, np.int64)
+    length = np.zeros(n, np.int64)
+    length[sound] = depth[shown] + 1
+    stop = np.cumsum(length[sound])
+    # The place in the path says how many links lie between the node and the one on display.
+    above = np.repeat(stop, length[sound]) - 1 - np.arange(stop[-1] if len(stop) else 0)
+    at = np.repeat(shown, length[sound])
+    for bit, jump in enumerate(jumps):
+        at = np.where((above >> bit) & 1, jump[at], at)
+    place = at - (np.cumsum(sizes) - sizes)[graph[at]]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
+    paths = pa.ListArray.from_arrays(offsets, pa.array(place, pa.int32()), mask=pa.array(defect >= 0))
+    names = [r for r, _ in rules]
+    return pa.StructArray.from_arrays([pa.array([names[d] if d >= 0 else None for d in defect.tolist()], pa.string()), paths, pa.array(fallback)], ["defect", "path", "fallback"])
 
 
 def graph_nodes(df: DataFrame, key: str = "source_id") -> DataFrame:
