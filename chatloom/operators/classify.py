@@ -9,22 +9,41 @@ from chatloom.functions.aliases import alias_keys, aliases_found
 from chatloom.model import UNKNOWN_PROJECT
 
 
+#: Words of a text, and between them what is neither white space nor part of a word. Letters, digits, _ and - make words.
+TOKEN = r"[\p{L}\p{N}_-]+|[^\p{L}\p{N}_\s-]+"
+PLAIN = r"^[\p{L}\p{N}_-]+( [\p{L}\p{N}_-]+)*$"
+
+
 def project_hits(df: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
-    """key, project, priority: each project that a text names, once. The rule file is small and validated; its aliases make one pattern."""
+    """key, project, priority: each project that a text names, once. The rule file is small and validated; its aliases make one trie."""
     keys = [r.alias_key for r in rules.select("alias_key").distinct().collect()]
     found = df.select(key, F.explode(aliases_found(F.col(text), keys)).alias("alias_key"))
     return found.join(rules.select("alias_key", "project", "priority"), "alias_key").select(key, "project", "priority").distinct()
 
 
-def project_hits_by_join(df: DataFrame, rules: DataFrame, key: str, text: str, longest: int = 4) -> DataFrame:
-    """The same for rule files with many one-line aliases of plain words: runs of up to longest words equi-join the aliases.
+def project_hits_by_join(df: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
+    """The same for alias tables of any size whose aliases are plain words: runs of words equi-join the aliases.
 
-    Holds where no alias lies inside another; then consuming the longest first makes no difference.
+    Runs are as long as the longest alias. Where aliases lie inside one another the longest from the left counts and its words are spent, as in
+    project_hits: a text's matches are few against its words, and are taken in turn inside the row. An alias with other characters
+    than words and spaces raises. Each row is a text of its own, also where keys repeat.
     """
-    tokens = F.array_compact(F.transform(F.split(F.lower(text), r"(?U)[^\w-]+"), lambda w: F.nullif(w, F.lit(""))))
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_t") - n + 1, F.lit(0))), lambda i: F.array_join(F.slice("_t", i, n), " "))))
-    grams = df.withColumn("_t", tokens).where(F.size("_t") > 0).select(key, F.explode(F.array_distinct(runs)).alias("alias_key"))
-    return grams.join(rules.select("alias_key", "project", "priority"), "alias_key").select(key, "project", "priority").distinct()
+    plain = F.when(F.col("alias_key").rlike(PLAIN), F.col("alias_key")).otherwise(F.raise_error(F.concat(F.lit("not of plain words: "), "alias_key")))
+    known = rules.select(plain.alias("alias_key"), "project", "priority")
+    longest = known.agg(F.max(F.size(F.split("alias_key", " ")))).first()[0] or 0
+    words = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", key, F.regexp_extract_all(alias_keys(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
+    at = words.select("_row", key, "_t", F.posexplode("_t").alias("_at", "_first")).where(F.col("_first").rlike(PLAIN))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_t") - F.col("_at")))
+    runs = at.where(F.lit(longest > 0)).select("_row", key, "_at", F.explode(F.transform(lengths, lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_t", F.col("_at") + 1, n), " ").alias("alias_key")))).alias("r"))
+    named = runs.select("_row", key, "_at", "r.n", "r.alias_key").join(known.select("alias_key").distinct(), "alias_key", "left_semi")
+    in_turn = F.array_sort(F.collect_list(F.struct("_at", (-F.col("n")).alias("less"), "alias_key")))
+    spent = F.aggregate(
+        "m",
+        F.struct(F.lit(0).alias("upto"), F.array().cast("array<string>").alias("kept")),
+        lambda acc, x: F.when(x["_at"] < acc["upto"], acc).otherwise(F.struct((x["_at"] - x["less"]).alias("upto"), F.array_union(acc["kept"], F.array(x["alias_key"])).alias("kept"))),
+    )
+    found = named.groupBy("_row", key).agg(in_turn.alias("m")).select(key, F.explode(spent["kept"]).alias("alias_key"))
+    return found.join(known, "alias_key").select(key, "project", "priority").distinct()
 
 
 def resolved(df: DataFrame, hits: DataFrame, key: str) -> DataFrame:

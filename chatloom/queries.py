@@ -439,7 +439,7 @@ def project_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, project, priority from ({_HITS})")
 def project_hits_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.project_hits_by_join(fx.table(spark, sf_dir, "documents"), fx.rules(spark), "doc_id", "text", longest=1)
+    return classify.project_hits_by_join(fx.table(spark, sf_dir, "documents"), fx.rules(spark), "doc_id", "text")
 
 
 _RESOLVED = "select {key}, case when count(*) filter (priority = top) = 1 then max(project) filter (priority = top) else 'unknown' end as project from (select *, max(priority) over (partition by {key}) as top from ({hits})) group by {key}"
