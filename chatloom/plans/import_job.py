@@ -113,9 +113,7 @@ def import_exports(spark: SparkSession, paths: list[str], rules: DataFrame, plac
     """Outcomes and report of importing exports; where they can't be reached there are no outcomes, and the report has a terminal error."""
     try:
         records = read_exports(spark, *paths)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    except FileNotFoundError:
         none = spark.createDataFrame([], "source string, source_id string, document_id string, content_hash string, status string, error string, project string, recorded_at timestamp")
         return none, report(none, "source")
     outcomes = run_import(spark, records, rules, places, run, imported_at, importer_version, force)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import codecs
-import io
 import json
 import re
 import tomllib
-import zipfile
+import uuid
 from collections.abc import Iterable, Iterator
-from functools import reduce
-from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,12 +14,9 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.aliases import alias_key
 from chatloom.model import SLUG, UNKNOWN_PROJECT
+from chatloom.session import shared_folder, written
+from chatloom.sources.export_source import NUMBERED, RANGE_BYTES, SINGLE, listed, plan
 
-SINGLE, NUMBERED = r"(?:^|/)conversations\.json$", r"(?:^|/)conversations-(\d+)\.json$"
-RECORDS = "export string, file string, file_no bigint, pos bigint, raw string, error string"
-#: Bytes of a file that are decoded at once.
-PART_BYTES = 1 << 20
-ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06")
 _SPACE = re.compile(r"[ \t\r\n]*")
 
 
@@ -117,92 +110,23 @@ def scan_array(text: str | Iterable[str]) -> Iterator[tuple[str | None, str | No
         at += comma
 
 
-def _text_parts(stream: BinaryIO) -> Iterator[str]:
-    """A UTF-8 stream in parts; UnicodeDecodeError where it isn't."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    while data := stream.read(PART_BYTES):
-        yield decoder.decode(data)
-    yield decoder.decode(b"", final=True)
-
-
-def _members(path: str, content: bytes) -> Iterator[tuple[str, BinaryIO]]:
-    """The conversation files of one read file, as streams: itself, or those of a zip, told by its content."""
-    if content[:4] not in ZIP_MAGIC:
-        yield path, io.BytesIO(content)
-        return
-    with zipfile.ZipFile(io.BytesIO(content)) as packed:
-        for name in packed.namelist():
-            if re.search(SINGLE, name) or re.search(NUMBERED, name):
-                with packed.open(name) as stream:
-                    yield name, stream
-
-
-def _plain(path: Column) -> Column:
-    """A path without scheme and host."""
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*", "/")
-
-
-def read_exports(spark: SparkSession, *paths: str) -> DataFrame:
+def read_exports(spark: SparkSession, *paths: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Raw records of exports: export, file, file_no, pos, raw, error (a failure of the file or of the export, without raw).
 
     A path is a JSON file of any name, a zip, or a folder of conversation files or zips. An export with both forms of conversation files, or
-    with none, gives one row with an error. A path that can't be read raises. Spark hands each file over as one value, at most 2 GB; its text is
-    read part by part, and its records are found by one task, so write the result out and repartition before heavy work.
+    with none, gives one row with an error. A path that isn't there raises FileNotFoundError. A file of more than range_bytes is read by many tasks; a file's records before its first error are
+    given. The records are written to the shared folder once.
     """
-    files = reduce(DataFrame.unionByName, [spark.read.format("binaryFile").load(p.rstrip("/")).withColumn("given", F.lit(p.rstrip("/"))) for p in paths])
-    alone = _plain(F.col("path")) == _plain(F.col("given"))
-    zipped = F.col("path").rlike(r"(?i)\.zip$")
-    export = F.when(alone | zipped, F.col("path")).otherwise(F.col("given"))
-    listed = files.select(export.alias("export"), "path", "content", (alone | zipped).alias("whole"))
-    wanted = listed.where(F.col("whole") | file_number(F.col("path")).isNotNull())
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content, export in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                some = False
-                try:
-                    for name, stream in _members(path, content):
-                        some = True
-                        yield from _records(export, name, stream)
-                except zipfile.BadZipFile:
-                    yield _record_batch([(export, path, None, 0, None, "bad_zip")])
-                    continue
-                if not some:
-                    yield _record_batch([(export, None, None, 0, None, "no_conversations")])
-
-    found = wanted.select("path", "content", "export").mapInArrow(scan, RECORDS)
-    # Folders are judged by their names alone; zips by what was found in them.
-    folders = listed.where(~F.col("whole")).groupBy("export").agg(F.bool_and(file_number(F.col("path")).isNull()).alias("none"))
-    forms = found.groupBy("export").agg((F.bool_or(F.col("file").rlike(SINGLE)) & F.bool_or(F.col("file").rlike(NUMBERED))).alias("both"))
-    sound = found.join(forms.where("both"), "export", "left_anti")
-    zips = listed.where("whole").select(F.regexp_replace("export", r"/[^/]*$", "").alias("_in")).distinct()
-    none = folders.where("none").join(zips, _plain(F.col("export")) == _plain(F.col("_in")), "left_anti")
-    return sound.unionByName(_rejected(forms.where("both"), "both_forms")).unionByName(_rejected(none, "no_conversations"))
-
-
-def _rejected(exports: DataFrame, error: str) -> DataFrame:
-    return exports.select("export", F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("file_no"), F.lit(0).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("raw"), F.lit(error).alias("error"))
-
-
-def _records(export: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
-    """The records of one file, and its failure."""
-    number = re.search(NUMBERED, name)
-    n, pos = int(number[1]) if number else 0, 0
-    rows: list[tuple] = []
-    try:
-        for raw, error in scan_array(_text_parts(stream)):
-            rows.append((export, name, n, pos, raw, error))
-            pos += 1
-            if len(rows) == 1000:
-                yield _record_batch(rows)
-                rows = []
-    except UnicodeDecodeError:
-        rows.append((export, name, n, pos, None, "not_utf8"))
-    yield _record_batch(rows)
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    plan(spark, listed(list(paths), range_bytes), folder)
+    found = written(spark.read.format("chat_export").option("plan", folder).load())
+    first = found.where(F.col("error").isNotNull()).groupBy("export", "file").agg(F.min("at").alias("_first"))
+    sound = found.join(first, ["export", "file"], "left").where(F.col("_first").isNull() | (F.col("at") < F.col("_first")) | F.col("error").isNotNull() & (F.col("at") == F.col("_first")))
+    return sound.select("export", "file", "file_no", "pos", "raw", "error")
 
 
 def records_of_texts(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """path, pos, raw, error of JSON arrays that lie in a column: what read_exports does to a file, for texts that Spark has already."""
+    """path, pos, raw, error of JSON arrays that lie in a column: what read_exports does to a file, for texts that lie in rows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,11 +138,6 @@ def records_of_texts(files: DataFrame, path: str = "path", text: str = "text") -
     return files.select(F.col(path).cast("string"), text).mapInArrow(scan, "path string, pos bigint, raw string, error string")
 
 
-def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["export", "file", "file_no", "pos", "raw", "error"])
-
-
 def replay_records(archive: DataFrame) -> DataFrame:
     """Archived originals as raw records again: document_id, file_no, pos, raw, error (a media type that isn't JSON).
 

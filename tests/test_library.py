@@ -6,7 +6,6 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.functions.aliases import alias_key, alias_pattern
 from chatloom.functions.canonical import canonical_json, content_hash
 from chatloom.functions.redact import ANCHORS, RULES, Redactor, is_code, is_stand_in, secret_blocks
 from chatloom.model import MESSAGE
@@ -71,15 +70,6 @@ def test_kubernetes_blocks():
     assert Redactor()("data:\r\n  pw: abcdefgh\r\nkind: Secret\r\n")[1] == {"kubernetes-secret": 1}
 
 
-def test_aliases():
-    found = lambda keys, text: {alias_key(m) for m in alias_pattern([alias_key(k) for k in keys]).findall(text.casefold())}
-    assert found(["orchard"], "the orchard-pipeline") == set()
-    assert found(["nz", "nz/orchard"], "see nz/orchard now") == {"nz/orchard"}
-    assert found(["two words"], "Two\n  Words!") == {"two words"}
-    assert found(["straße"], "STRASSE") == {"strasse"}
-    assert found(["soft/"], "a soft/b") == {"soft/"}
-
-
 def test_rules_are_validated(spark):
     for bad in ([("a", ["x"], 0), ("b", ["X"], 0)], [("unknown", ["x"], 0)], [("a", [], 0)], [("a", ["--"], 0)], [("a", ["x"], 0), ("a", ["y"], 0)], [("A b", ["x"], 0)]):
         with pytest.raises(ValueError):
@@ -136,26 +126,6 @@ def test_scan_holds_little():
     assert peak(2000) < 3 * peak(200)
 
 
-def test_exports_of_each_form(spark, tmp_path):
-    one = json.dumps([{"a": 1}])
-    for name, files in {"whole": {"conversations.json": one}, "split": {"conversations-10.json": one, "conversations-9.json": one}, "none": {"chat.html": "x"}, "both": {"conversations.json": one, "conversations-1.json": one}}.items():
-        (tmp_path / name).mkdir()
-        for f, text in files.items():
-            (tmp_path / name / f).write_text(text)
-    (tmp_path / "any name.json").write_text(one)
-    (tmp_path / "bad.json").write_bytes(b'[1, "\xff"]')
-    for name, member in (("packed", "conversations-3.json"), ("empty.zip", "chat.html")):
-        with zipfile.ZipFile(tmp_path / name, "w") as z:
-            z.writestr(member, one)
-    got = lambda *names: sorted((r.file_no, r.pos, r.raw, r.error) for r in read_exports(spark, *(str(tmp_path / n) for n in names)).fillna(-1).fillna("").collect())
-    assert got("whole") == got("any name.json") == [(0, 0, '{"a": 1}', "")]
-    assert got("split") == [(9, 0, '{"a": 1}', ""), (10, 0, '{"a": 1}', "")]
-    assert got("packed") == [(3, 0, '{"a": 1}', "")]
-    assert got("none") == got("empty.zip") == [(-1, 0, "", "no_conversations")] and got("both") == [(-1, 0, "", "both_forms")]
-    assert "not_utf8" in [e for *_, e in got("bad.json")]
-    assert len(got("whole", "split", "none")) == 4
-
-
 def test_a_list_item_does_not_close_its_manifest():
     text = "kind: Secret\nmetadata:\n  finalizers:\n  - keep\ndata:\n  pw: abcdefgh\n"
     assert Redactor()(text)[1] == {"kubernetes-secret": 1}
