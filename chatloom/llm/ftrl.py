@@ -90,10 +90,13 @@ def sample(labels: DataFrame, label: str, s: Settings, key: str = "doc_id") -> D
 
 
 def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str, text: str) -> DataFrame:
-    """shard, at, label, buckets and values (little-endian numbers) of the sampled rows: what training needs of their texts."""
+    """shard, at, label, buckets and values (little-endian numbers) of the sampled ids: what training needs of their texts.
+
+    An id teaches once, by the row whose text has the least hash: repeated rows are left behind where they lie, so max_rows bounds rows too.
+    """
     chosen = F.broadcast(sample(labels, label, s, key))
     rows = bounded(docs).select(F.col(key).alias("_id"), F.col(text).alias("text")).join(chosen, F.col("_id") == F.col("_key"))
-    rows = rows.select("text", F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64(F.lit(s.seed + 1), "_id"), F.lit(s.shards)).cast("int").alias("shard"), F.xxhash64("_id", "text").alias("at"))
+    rows = rows.select("_id", "text", F.col("_label").cast("double").alias("label"), F.pmod(F.xxhash64(F.lit(s.seed + 1), "_id"), F.lit(s.shards)).cast("int").alias("shard"), F.xxhash64("_id", "text").alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -101,9 +104,10 @@ def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str
             buckets = pa.array([b.astype("<i4").tobytes() for b, _ in found], pa.binary())
             # All values of a binary model are 1.
             values = pa.nulls(len(found), pa.binary()) if s.binary else pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), batch.column(1), buckets, values], ["shard", "at", "label", "buckets", "values"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "shard", "at", "label")), buckets, values], ["_id", "shard", "at", "label", "buckets", "values"])
 
-    return rows.mapInArrow(run, "shard int, at long, label double, buckets binary, values binary")
+    found = rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, shard int, at long, label double, buckets binary, values binary")
+    return found.groupBy("_id").agg(F.min_by(F.struct("shard", "at", "label", "buckets", "values"), "at").alias("row")).select("row.*")
 
 
 def _flat(column: pa.ChunkedArray, kind: type, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from chatloom.llm.ftrl import Settings, scored, train
 
-SETTINGS = Settings(kind="plain", bits=20, binary=True, alpha=1.0, l1=6.0, l2=0.1, epochs=6, max_rows=32_000)
+SETTINGS = Settings(kind="plain", bits=20, binary=True, alpha=1.0, l1=8.0, l2=0.1, epochs=6, max_rows=16_000, shards=1)
 THRESHOLD = 0.3
 
 

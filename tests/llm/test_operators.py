@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chatloom.llm import ftrl, html_text, jaccard, mixing, packing, quality_rules, toxicity
+from chatloom.llm import ftrl, html_text, jaccard, mixing, packing, quality, quality_rules, toxicity
 from chatloom.llm.bpe_counts import token_counts
 from chatloom.llm.components import components
 from chatloom.llm.html_text import extract
@@ -266,6 +267,19 @@ def test_classifiers_learn_and_take_odd_rows(odd, docs, labels):
         assert {r["score"] for r in rows_of(f(odd, labels.limit(0)))} == {0.5}
 
 
+def test_training_rows_are_bounded_however_often_an_id_stands(spark):
+    """One labelled id makes up nearly all rows: it teaches once, and all others that were chosen teach too."""
+    often = spark.range(50_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("copy "), (F.col("id") % 3).cast("string")).alias("text"))
+    docs = often.union(spark.range(10, 40).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))).repartition(4)
+    labels = docs.select("doc_id").distinct().withColumn("quality", (F.col("doc_id") % 2).cast("int"))
+    for most in (10, 100):
+        s = replace(quality.SETTINGS, max_rows=most)
+        rows = ftrl.hashed(docs, labels, "quality", s, "doc_id", "text")
+        chosen = ftrl.sample(labels, "quality", s).count()
+        assert rows.count() == chosen <= 2 * most
+        assert ftrl.train(docs, labels, "quality", s).any() or chosen < 2
+
+
 def test_toxicity_finds_one_bad_word_in_a_long_text():
     rng = np.random.default_rng(2)
     text = lambda bad: " ".join([*(f"w{i}" for i in rng.integers(0, 500, 300)), *(["Awful,"] if bad else [])]).encode()
