@@ -30,9 +30,11 @@ def local_session(name: str = "chatloom", cores: int | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all machines share; a temporary folder only where it is unset (tests)."""
+    """spark.checkpoint.dir, which all machines share; a temporary folder only where it is unset and all work is on one machine (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
