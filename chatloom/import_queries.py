@@ -10,41 +10,87 @@ from pyspark.sql import functions as F
 from chatloom.functions.aliases import aliases_found
 from chatloom.functions.redact import Rule, array_redactor, redacted
 from chatloom.operators import archive as archives
-from chatloom.operators import graph, sanitize
+from chatloom.operators import graph, sanitize, snapshots
 from chatloom.operators.conversation import parsed
 from chatloom.plans import fixtures as fx
-from chatloom.plans.import_job import Places, import_exports, report, result_json, run_import
+from chatloom.plans.import_job import Places, import_exports, last_run, report, result_json, run_import
 from chatloom.queries import ARCHIVE, TURNS, WHOLE, query
 from chatloom.session import shared_folder, written
-from chatloom.sources.exports import records_of_texts, rules_of_text
+from chatloom.sources.export_source import ChatExports, children, moved
+from chatloom.sources.exports import read_exports, records_of_texts, rules_of_text
 from chatloom.streaming.refresh import refresh
 
 IMPORTED_AT = "2025-01-01"
 
 
 def _places(spark: SparkSession) -> Places:
-    return Places(f"{shared_folder(spark)}/{uuid.uuid4().hex}")
+    return Places(f"{shared_folder(spark)}/{uuid.uuid4().hex}", buckets=8)
 
 
 # Exports.
 
 
 @query(f"""
-with r as (select source_id, conv_id, conv_id % 10 as f, row_number() over (partition by conv_id % 10 order by conv_id) - 1 as pos from ({WHOLE}))
+with r as (select source_id, conv_id, conv_id // 5 as f, row_number() over (partition by conv_id // 5 order by conv_id) - 1 as pos from ({WHOLE}))
 select f::varchar as path, pos, source_id, null as error, true as exact from r
 union all select f::varchar, max(pos) + 1, null, case f % 5 when 3 then 'text_after_array' else 'bad_json' end, null from r where f % 5 in (3, 4) group by f
 """)
 def scanned_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each tenth conversation shares an array: some begin with a mark, some end with a comma, one kind is followed by text, one breaks off with a syntax error."""
-    rows = written(fx.records(spark, sf_dir)).withColumn("f", F.col("conv_id") % 10)
+    """Five conversations share an array at most: some begin with a mark, some end with a comma, one kind is followed by text, one breaks off with a syntax error."""
+    rows = written(fx.records(spark, sf_dir)).withColumn("f", F.floor(F.col("conv_id") / 5))
     arrays = rows.groupBy("f").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "raw"))), lambda x: x["raw"]), " ,\n").alias("body"))
     k = F.col("f") % 5
-    begin = F.when(k == 0, "﻿ [").otherwise("[")
+    begin = F.when(k == 0, "\ufeff [").otherwise("[")
     end = F.when(k == 1, ",] \n").when(k == 3, "] more").when(k == 4, ', {"a": }]').otherwise("]")
     found = records_of_texts(arrays.select(F.col("f").alias("path"), F.concat(begin, "body", end).alias("text")))
+    return _named(found, rows).select("path", "pos", "source_id", "error", "exact")
+
+
+def _named(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Records that were read, with source_id and whether each has the exact text of its row."""
     known = rows.select(F.col("conv_id").cast("string").alias("source_id"), F.sha2("raw", 256).alias("_hash"))
-    named = found.withColumn("source_id", F.get_json_object("raw", "$.conversation_id")).join(known, "source_id", "left")
-    return named.select("path", "pos", "source_id", "error", (F.sha2("raw", 256) == F.col("_hash")).alias("exact"))
+    return found.withColumn("source_id", F.get_json_object("raw", "$.conversation_id")).join(known, "source_id", "left").withColumn("exact", F.sha2("raw", 256) == F.col("_hash"))
+
+
+LAYOUTS = ("split", "single", "file", "zip")
+
+
+def _written_exports(spark: SparkSession, rows: DataFrame, layout: str, folder: str, files: int = 3) -> list[str]:
+    """Writes raw records as exports of a layout, and gives their paths: numbered files make one export, others are one each."""
+    spark.dataSource.register(ChatExports)
+    rows.select("raw").repartition(files).write.format("chat_export").option("layout", layout).mode("append").save(folder)
+    return [folder] if layout == "split" else children(folder)
+
+
+@query(f"select source_id, case conv_id % 4 when 0 then 'split' when 1 then 'single' when 2 then 'file' else 'zip' end as layout, true as exact from ({WHOLE})")
+def export_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of four forms, written and read again; each is arrays that several tasks read in ranges, but for zips' members."""
+    rows, places = written(fx.records(spark, sf_dir)), _places(spark)
+    found = None
+    for k, layout in enumerate(LAYOUTS):
+        paths = _written_exports(spark, rows.where(F.col("conv_id") % 4 == k), layout, f"{places.root}/{layout}")
+        part = read_exports(spark, *paths, range_bytes=1 << 17).withColumn("layout", F.lit(layout))
+        found = part if found is None else found.unionByName(part)
+    return _named(found, rows).select("source_id", "layout", "exact")
+
+
+@query(f"""
+with r as (select conv_id, conv_id // 10 as file, conv_id % 10 as k, bool_or(conv_id % 10 = 4 and conv_id // 10 % 2 = 1) over (partition by conv_id // 10) as broken from ({WHOLE})),
+kept as (select file, broken, count(*) as n from r where not broken or k <= 4 group by file, broken)
+select file, n as records, broken::integer as errors, n as exact, (n * (n - 1) / 2)::bigint + case when broken then n else 0 end as places from kept
+""")
+def export_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one array each, with ten conversations in order, that several tasks read; each second one has a syntax error behind its fifth, and nothing behind that counts."""
+    rows, places = written(fx.records(spark, sf_dir)), _places(spark)
+    file, k = F.floor(F.col("conv_id") / 10), F.col("conv_id") % 10
+    raw = F.when((file % 2 == 1) & (k == 4), F.concat("raw", F.lit(', {"a": }'))).otherwise(F.col("raw"))
+    files = int(rows.agg(F.max(file)).first()[0] or 0) + 1
+    spark.dataSource.register(ChatExports)
+    each = rows.select("conv_id", raw.alias("raw")).repartitionById(files, file.cast("int")).sortWithinPartitions("conv_id").select("raw")
+    each.write.format("chat_export").option("layout", "file").mode("append").save(f"{places.root}/files")
+    found = _named(read_exports(spark, *children(f"{places.root}/files"), range_bytes=1 << 14), rows)
+    number = F.regexp_extract("file", r"export-(\d+)\.json$", 1).cast("bigint")
+    return found.groupBy(number.alias("file")).agg(F.count("raw").alias("records"), F.count("error").cast("int").alias("errors"), F.count_if("exact").alias("exact"), F.sum("pos").alias("places"))
 
 
 @query("select replace(lower(n_name), ' ', '-') as project, n_name as alias, lower(n_name) as alias_key, n_regionkey::integer as priority from nation")
@@ -143,10 +189,10 @@ select distinct conv_id::varchar as source_id, case conv_id % 8 when 3 then 'par
 from conversations where conv_id % 8 in (3, 6, 7)
 """)
 def graph_link_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links that one side doesn't know, as joins: a root without its children, one that another node lists too, and one that lists a node that isn't there."""
+    """Links that one side doesn't know, as joins over all graphs: a root without its children, one that another node lists too, and one that lists a node that isn't there."""
     k = F.col("conv_id") % 8
     lost = F.regexp_replace("raw", r'"root":\{"parent":null,"children":\[', '"root":{"parent":null,"children":["lost",')
-    rows = fx.records(spark, sf_dir).where(k.isin(3, 6, 7)).withColumn("raw", F.when(k == 7, lost).otherwise(_broken(F.col("raw"), k)))
+    rows = fx.records(spark, sf_dir).withColumn("raw", F.when(k == 7, lost).when(k.isin(3, 6), _broken(F.col("raw"), k)).otherwise(F.col("raw")))
     linked = graph.with_links(written(rows).withColumn("mapping", graph.mapping_of(F.try_parse_json("raw"))).withColumn("source_id", F.col("conv_id").cast("string")))
     return graph.link_defects(graph.graph_nodes(linked)).select("source_id", "defect").distinct()
 
@@ -178,14 +224,31 @@ def sanitized_own_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The import job.
 
 
-@query(f"select document_id, case when conv_id % 3 = 0 then 'gamma' else project end as project from ({ARCHIVE})")
+@query(f"select document_id, case when conv_id % 3 = 0 then 'gamma' else project end as project, case when conv_id % 3 = 0 then 'second' else 'first' end as note from ({ARCHIVE})")
 def archive_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything is stored, then a third of it again: the second store wins, and each document stands once."""
-    rows = archives.archive_rows(fx.archive(fx.conversations(spark, sf_dir)))
-    path = _places(spark).archive
-    archives.store(spark, rows, path)
-    archives.store(spark, rows.where("conv_id % 3 = 0").withColumn("project", F.lit("gamma")), path)
-    return spark.read.parquet(path).select("document_id", "project")
+    """Everything is stored with a note for each, then a third of it again: the second store wins in both tables, and each document stands once."""
+    rows = written(archives.archive_rows(fx.archive(fx.conversations(spark, sf_dir))))
+    store, third = _places(spark).store, rows.where("conv_id % 3 = 0")
+    for part, note in ((rows, "first"), (third.withColumn("project", F.lit("gamma")), "second")):
+        snapshots.store(spark, store, {"archive": part, "notes": part.select("document_id", "shelf", F.lit(note).alias("note"))})
+    snapshots.expire(store, keep=1)
+    return snapshots.read(spark, store, "archive").select("document_id", "project").join(snapshots.read(spark, store, "notes").select("document_id", "note"), "document_id")
+
+
+@query(f"select document_id, project, 'first' as note from ({ARCHIVE})")
+def archive_store_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second store breaks off when its first table is written and its second isn't: readers still see the first store, whole."""
+    rows = written(archives.archive_rows(fx.archive(fx.conversations(spark, sf_dir))))
+    store = _places(spark).store
+    notes = rows.select("document_id", "shelf", F.lit("first").alias("note"))
+    snapshots.store(spark, store, {"archive": rows, "notes": notes})
+    broken = notes.withColumn("note", F.raise_error(F.lit("breaks off")).cast("string"))
+    try:
+        snapshots.store(spark, store, {"archive": rows.withColumn("project", F.lit("gamma")), "notes": broken})
+    except Exception as failure:
+        if "breaks off" not in str(failure):
+            raise
+    return snapshots.read(spark, store, "archive").select("document_id", "project").join(snapshots.read(spark, store, "notes").select("document_id", "note"), "document_id")
 
 
 @query(f"select document_id from ({ARCHIVE})")
@@ -227,18 +290,24 @@ def import_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_json(report(_imported_twice(spark, sf_dir)[1]))
 
 
-@query("select '{\"format_version\":1,\"run_status\":\"failure\",\"imported\":0,\"skipped\":0,\"failed\":0,\"terminal_error\":\"source\"}' as result from (select min(conv_id) from conversations)")
+@query(f"select '{{\"format_version\":1,\"run_status\":\"failure\",\"imported\":0,\"skipped\":0,\"failed\":0,\"terminal_error\":\"source\"}}' as result, count(*) filter (conv_id % 2 = 0) as states from ({WHOLE})")
 def import_unreachable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An export that isn't there fails as a whole."""
-    _, made = import_exports(spark, [f"{sf_dir}/no-such-export"], fx.rules(spark), _places(spark), 0, F.lit(IMPORTED_AT).cast("timestamp"))
-    return result_json(made)
+    """Even conversations are imported; then an import of them and of an export that isn't there fails as a whole, and the state stays."""
+    rows, places, at = written(fx.records(spark, sf_dir)), _places(spark), F.lit(IMPORTED_AT).cast("timestamp")
+    there = _written_exports(spark, rows.where("conv_id % 2 = 0"), "split", f"{places.root}/export")
+    import_exports(spark, there, fx.rules(spark), places, 0, at)
+    _, made = import_exports(spark, [*there, f"{places.root}/no-such-export"], fx.rules(spark), places, 1, at)
+    states = spark.read.parquet(places.state(last_run(spark, places))).agg(F.count(F.lit(1)).alias("states"))
+    return result_json(made).crossJoin(states)  # one row each
 
 
 @query(f"select source_id, document_id, status from ({IMPORTED})")
 def refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of staged records: even conversations come first, then all."""
+    """Exports come one after another into a folder that a stream follows, with a restart between: even conversations first, then all."""
     records, places, rules = written(fx.records(spark, sf_dir)), _places(spark), fx.rules(spark)
-    for rows in (records.where("conv_id % 2 = 0"), records):
-        rows.drop("conv_id").coalesce(1).write.mode("append").parquet(f"{places.root}/staged")
-        refresh(spark, f"{places.root}/staged", rules, places, f"{places.root}/checkpoint").awaitTermination()
+    come = f"{places.root}/exports"
+    for name, rows in (("even", records.where("conv_id % 2 = 0")), ("all", records)):
+        _written_exports(spark, rows, "split", f"{places.root}/made/{name}")
+        moved(f"{places.root}/made/{name}", f"{come}/{name}")
+        refresh(spark, come, rules, places, f"{places.root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{places.log}/run=1").select("source_id", "document_id", "status")

@@ -1,9 +1,8 @@
-"""The archive: original and sanitized form of each document, latest kept, as Parquet split by key prefix."""
+"""The archive: original and sanitized form of each document, in shelves by key prefix."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.canonical import archive_key
@@ -27,24 +26,6 @@ def archive_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("format_version", F.lit(FORMAT_VERSION)).withColumn("key", archive_key(F.col("document_id"))).withColumn("sha256", F.sha2("content", 256)).withColumn("shelf", shelf(F.col("key")))
 
 
-def store(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Upserts rows by document_id: only the shelves that they touch are read and written again.
-
-    New contents of a shelf are staged before they replace it, so a failed run leaves the old ones.
-    """
-    touched = [r.shelf for r in rows.select("shelf").distinct().collect()]  # at most 256
-    new = rows.withColumn("_new", F.lit(1))
-    try:
-        old = spark.read.schema(rows.schema).parquet(path).where(F.col("shelf").isin(touched))
-        new = new.unionByName(old.withColumn("_new", F.lit(0)).select(*new.columns))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    staged = f"{path.rstrip('/')}__staged"
-    latest(new, ("document_id",), "_new").drop("_new").write.mode("overwrite").partitionBy("shelf").parquet(staged)
-    spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shelf").parquet(path)
-
-
 def load(archive: DataFrame, document_id: str) -> DataFrame:
     """One document, by its key: Parquet filters on shelf and key leave little to read."""
     key = archive_key(F.lit(document_id))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.functions.canonical import document_id
 from chatloom.model import STAGES
 from chatloom.operators.archive import latest
 
@@ -14,11 +15,12 @@ KEYS = ("source", "source_id")
 def decided(incoming: DataFrame, state: DataFrame, force: bool = False) -> DataFrame:
     """Adds decision (skip or process) to incoming rows with a content_hash.
 
-    A row is skipped if its key was imported with the same hash, unless force. Only keys, hash and status of the state are joined.
+    A row is skipped if its key was imported with the same hash, unless force. Only ids, hash and status of the state are joined.
     """
-    known = state.select(*KEYS, F.col("content_hash").alias("_hash"), F.col("status").alias("_status"))
+    known = state.select(F.col("document_id").alias("_id"), F.col("content_hash").alias("_hash"), F.col("status").alias("_status"))
     same = F.lit(not force) & (F.col("_status") == "imported") & (F.col("_hash") == F.col("content_hash"))
-    return incoming.join(known, list(KEYS), "left").withColumn("decision", F.when(same, "skip").otherwise("process")).drop("_hash", "_status")
+    keyed = incoming.withColumn("_id", document_id(F.col("source"), F.col("source_id")))
+    return keyed.join(known, "_id", "left").withColumn("decision", F.when(same, "skip").otherwise("process")).drop("_id", "_hash", "_status")
 
 
 def upserted(state: DataFrame, records: DataFrame, order: Column) -> DataFrame:

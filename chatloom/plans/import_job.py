@@ -13,12 +13,13 @@ from chatloom.functions.aliases import swept_text
 from chatloom.functions.canonical import content_hash, document_id
 from chatloom.model import STATE
 from chatloom.operators import archive as archives
+from chatloom.operators import snapshots, state_table
 from chatloom.operators.classify import project_hits, resolved
 from chatloom.operators.conversation import field_defect, parsed, split_duplicates
 from chatloom.operators.enrich import enriched
 from chatloom.operators.retain import retained
 from chatloom.operators.sanitize import sanitized
-from chatloom.operators.state import decided, run_report, upserted
+from chatloom.operators.state import decided, run_report
 from chatloom.session import written
 from chatloom.sources.exports import read_exports
 
@@ -28,14 +29,13 @@ class Places:
     """Folders of one import's tables, in any store that Spark writes to."""
 
     root: str
+    #: Buckets of the state: at least as many as spark.sql.shuffle.partitions, or joins move it.
+    buckets: int = state_table.BUCKETS
 
     @property
-    def archive(self) -> str:
-        return f"{self.root}/archive"
-
-    @property
-    def documents(self) -> str:
-        return f"{self.root}/documents"
+    def store(self) -> str:
+        """The archive and the retained documents, which change together."""
+        return f"{self.root}/store"
 
     @property
     def log(self) -> str:
@@ -54,7 +54,15 @@ class Places:
 
 def read_state(spark: SparkSession, places: Places, run: int) -> DataFrame:
     """The state that the run before left; empty at first."""
-    return spark.read.schema(STATE).parquet(places.state(run)) if run >= 0 else spark.createDataFrame([], STATE)
+    return state_table.read(spark, places.state(run), places.buckets) if run >= 0 else spark.createDataFrame([], STATE)
+
+
+def archived(spark: SparkSession, places: Places) -> DataFrame:
+    return snapshots.read(spark, places.store, "archive")
+
+
+def documents(spark: SparkSession, places: Places) -> DataFrame:
+    return snapshots.read(spark, places.store, "documents")
 
 
 def conversations(records: DataFrame) -> DataFrame:
@@ -71,7 +79,7 @@ def conversations(records: DataFrame) -> DataFrame:
 def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places: Places, run: int, imported_at: Column, importer_version: str = "1", force: bool = False) -> DataFrame:
     """Imports raw records (file_no, pos, raw, error) as run number run, and returns the outcomes.
 
-    Writes in this order, each keyed so that a rerun after a crash repeats it safely: archive, documents, log, state. A conversation
+    Writes in this order, each keyed so that a rerun after a crash repeats it safely: archive and documents as one change, log, state. A conversation
     that fails is recorded as failed and doesn't stop others; source failures are reported only; skips aren't recorded.
     """
     state = read_state(spark, places, run - 1)
@@ -90,12 +98,11 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     full = spark.read.parquet(f"{places.work(run)}/enriched")
 
     kept = full.select("document_id", "source", "source_id", "title", "started_at", "last_activity_at", "messages", "project", "provenance", "tags", content_hash(F.col("messages")).alias("content_hash"), F.lit("application/json").alias("media_type"), F.encode("raw", "utf-8").alias("content"))
-    archives.store(spark, archives.archive_rows(kept), places.archive)
-    documents = retained(full)
-    fine = documents.where(F.col("error").isNull()).drop("error").withColumn("shelf", archives.shelf(F.sha2("document_id", 256)))
-    archives.store(spark, fine, places.documents)
+    made = retained(full)
+    fine = made.where(F.col("error").isNull()).drop("error").withColumn("shelf", archives.shelf(F.sha2("document_id", 256)))
+    snapshots.store(spark, places.store, {"archive": archives.archive_rows(kept), "documents": fine})
 
-    done = full.select("source", "source_id", "document_id", "content_hash", "project").join(documents.select("document_id", F.col("error").alias("error")), "document_id")
+    done = full.select("source", "source_id", "document_id", "content_hash", "project").join(made.select("document_id", F.col("error").alias("error")), "document_id")
     status = F.when(F.col("error").isNull(), "imported").otherwise("failed")
     processed = done.select("source", "source_id", "document_id", "content_hash", status.alias("status"), "error", "project")
     skipped = choice.where("decision = 'skip'").select("source", "source_id", document_id(F.col("source"), F.col("source_id")).alias("document_id"), "content_hash", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("project"))
@@ -105,7 +112,7 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     outcomes.write.mode("overwrite").parquet(f"{places.log}/run={run}")
     outcomes = spark.read.parquet(f"{places.log}/run={run}")
     recorded = outcomes.where(F.col("source_id").isNotNull() & ~F.col("error").eqNullSafe(F.lit("source"))).select(*state.columns)
-    upserted(state, recorded, F.lit(run)).write.mode("overwrite").parquet(places.state(run))
+    state_table.write(state_table.upserted(state, recorded, F.lit(run)), places.state(run), places.buckets)
     return outcomes
 
 

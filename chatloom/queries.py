@@ -14,13 +14,13 @@ from chatloom.functions.canonical import content_hash, timestamp_text
 from chatloom.functions.redact import Rule, redacted, redactor
 from chatloom.model import CATEGORIES
 from chatloom.operators import archive as archives
-from chatloom.operators import classify, content, graph, retain, retrieve, sanitize, state
+from chatloom.operators import classify, content, graph, retain, retrieve, sanitize, state, state_table
 from chatloom.operators.conversation import assembled, balanced, field_defect, parsed, split_duplicates
 from chatloom.operators.enrich import enriched, tag_defect
 from chatloom.plans import fixtures as fx
 from chatloom.sources.exports import conversation_files, replay_records, replayed_defect
 from chatloom.session import shared_folder, written
-from chatloom.streaming.refresh import keep_latest, last_snapshot
+from chatloom.streaming.refresh import keep_latest, latest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +127,28 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upserted(fx.state(whole), new, F.lit(1)).select("source", "source_id", "status")
 
 
+def _bucketed_state(spark: SparkSession, whole: DataFrame) -> DataFrame:
+    """The state of fixtures, written in buckets and read again."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    state_table.write(fx.state(whole), path, buckets=8)
+    return state_table.read(spark, path, buckets=8)
+
+
+@query(SQL["import_decision"])
+def import_decision_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision against a state in buckets, which stays where it lies."""
+    whole = fx.conversations(spark, sf_dir)
+    return state.decided(whole.select("source", "source_id", "content_hash"), _bucketed_state(spark, whole))
+
+
+@query(SQL["state_upsert"])
+def state_upsert_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = fx.conversations(spark, sf_dir)
+    odd = F.col("conv_id") % 2 == 1
+    new = whole.select("source", "source_id", "content_hash", F.concat_ws(":", "source", "source_id").alias("document_id"), F.lit("2025-01-01").cast("timestamp").alias("recorded_at"), F.when(odd, "imported").otherwise("skipped").alias("status"), F.lit(None).cast("string").alias("error"))
+    return state_table.upserted(_bucketed_state(spark, whole), new, F.lit(1)).select("source", "source_id", "status")
+
+
 @query("select user_id, event_id, event_type, case when event_type = 'error' then 'failed' else 'imported' end as status from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r = 1")
 def latest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest of a stream of keyed updates, in one batch."""
@@ -137,14 +159,14 @@ def latest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SQL["latest_outcome"])
 def latest_outcome_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from a file stream, snapshot by snapshot."""
-    source = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(source).schema
+    """The same from a stream of files that come in three lots, with a restart before each. The state alone goes from one to the next."""
+    events = fx.table(spark, sf_dir, "events")
     work = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).parquet(f"{source}*").withColumn("at", F.struct("ts", "event_id"))
-    job = keep_latest(spark, stream, ("user_id",), "at", f"{work}/latest", f"{work}/checkpoint")
-    job.awaitTermination()
-    last = last_snapshot(spark, job, f"{work}/latest")
+    for lot in range(3):
+        events.where(F.pmod("event_id", F.lit(3)) == lot).write.mode("append").parquet(f"{work}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/events").withColumn("at", F.struct("ts", "event_id"))
+        keep_latest(stream, ("user_id",), "at", f"{work}/checkpoint").awaitTermination()
+    last = latest_rows(spark, f"{work}/checkpoint")
     return last.select("user_id", "event_id", "event_type", F.when(F.col("event_type") == "error", "failed").otherwise("imported").alias("status"))
 
 
@@ -437,9 +459,15 @@ def project_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.project_hits(fx.table(spark, sf_dir, "documents"), fx.rules(spark), "doc_id", "text")
 
 
-@query(f"select doc_id, project, priority from ({_HITS})")
+@query(f"""
+with t as (select doc_id, text from documents union all select -1 - doc_id, split_part(text, ' ', 1) from documents)
+select distinct t.doc_id, project, priority from t join {_RULES_SQL} on regexp_matches(lower(t.text), {_WORD})
+""")
 def project_hits_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.project_hits_by_join(fx.table(spark, sf_dir, "documents"), fx.rules(spark), "doc_id", "text")
+    """Documents, and the first word of each as a text of its own."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    first = docs.select((-1 - F.col("doc_id")).alias("doc_id"), F.split_part("text", F.lit(" "), F.lit(1)).alias("text"))
+    return classify.project_hits_by_join(docs.unionByName(first), fx.rules(spark), "doc_id", "text")
 
 
 _RESOLVED = "select {key}, case when count(*) filter (priority = top) = 1 then max(project) filter (priority = top) else 'unknown' end as project from (select *, max(priority) over (partition by {key}) as top from ({hits})) group by {key}"

@@ -28,8 +28,8 @@ from chatloom.sources.json_ranges import Entry, Read, Summary, body_start, eleme
 
 SINGLE, NUMBERED = r"(?:^|/)conversations\.json$", r"(?:^|/)conversations-(\d+)\.json$"
 RECORDS = "export string, file string, file_no bigint, pos bigint, raw string, error string"
-#: With the byte of the file at which the record begins, or its error stands.
-PLACED = f"{RECORDS}, at bigint"
+#: With the byte of the file at which the record begins or its error stands, and for streams when the export came.
+PLACED = f"{RECORDS}, at bigint, come bigint"
 SUMMARIES = "file string, begin bigint, state array<int>, depth array<bigint>, low array<bigint>, commas array<map<bigint, bigint>>"
 #: Bytes of a range, and rows of a batch.
 RANGE_BYTES, BATCH_ROWS = 1 << 26, 1000
@@ -53,6 +53,7 @@ class Part(InputPartition):
     depth: int = 1
     number: int = 0
     error: str | None = None
+    come: int = 0  #: when a stream saw the export, by its time
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -60,6 +61,19 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", path) else (pafs.LocalFileSystem(), path)
 
 
+def children(folder: str) -> list[str]:
+    """Paths of what lies in a folder, in the order of names."""
+    fs, path = opened(folder)
+    return sorted(f"{folder}/{i.base_name}" for i in fs.get_file_info(pafs.FileSelector(path)) if not i.base_name.startswith((".", "_")))
+
+
+def moved(source: str, target: str) -> None:
+    """Moves a file or folder inside a store, so that it appears whole."""
+    (fs, path), (_, to) = opened(source), opened(target)
+    fs.create_dir(to.rsplit("/", 1)[0])
+    fs.move(path, to)
+
+
 def reader_of(stream) -> Read:
     """Reads a place of a seekable stream."""
 
@@ -142,7 +156,7 @@ def summarized(part: Part) -> dict:
 
 
 def records(part: Part) -> Iterator[tuple]:
-    """Rows of PLACED of one part. Behind a file's first error there may be more; read_exports leaves them out."""
+    """Rows of PLACED of one part, without come. Behind a file's first error there may be more; read_exports leaves them out."""
     name = part.member or part.file
     numbered = re.search(NUMBERED, name or "")
     file_no = int(numbered[1]) if numbered else 0
@@ -222,7 +236,7 @@ class _Reader(DataSourceReader):
 def batches(part: Part, columns: list[str]) -> Iterator[pa.RecordBatch]:
     """The records of a part up to its first error, with these columns of PLACED."""
     names = [c.split()[0] for c in PLACED.split(", ")]
-    kinds = dict(zip(names, (pa.string(), pa.string(), *[pa.int64()] * 2, pa.string(), pa.string(), pa.int64()), strict=True))
+    kinds = dict(zip(names, (pa.string(), pa.string(), *[pa.int64()] * 2, pa.string(), pa.string(), *[pa.int64()] * 2), strict=True))
     wanted = [names.index(c) for c in columns]
     rows: list[tuple] = []
 
@@ -231,7 +245,7 @@ def batches(part: Part, columns: list[str]) -> Iterator[pa.RecordBatch]:
 
     size = 0
     for row in records(part):
-        rows.append(row)
+        rows.append((*row, part.come))
         size += len(row[4] or "")
         if len(rows) == BATCH_ROWS or size > 1 << 22:
             yield batch()
@@ -259,8 +273,8 @@ class _Stream(DataSourceStreamReader):
         return dict(zip(("time", "name"), come[-1], strict=True)) if come else self.initialOffset()
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
-        between = [n for t, n in self._come() if (start["time"], start["name"]) < (t, n) <= (end["time"], end["name"])]
-        return listed([f"{self.folder}/{n}" for n in between], 1 << 62)
+        between = [(t, n) for t, n in self._come() if (start["time"], start["name"]) < (t, n) <= (end["time"], end["name"])]
+        return [replace(p, come=t) for t, n in between for p in listed([f"{self.folder}/{n}"], 1 << 62)]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
         return batches(part, self.columns)
@@ -304,10 +318,7 @@ class _Writer(DataSourceWriter):
         name = {"split": "conversations-{:03}.json", "single": "export-{:03}/conversations.json", "file": "export-{:03}.json", "zip": "export-{:03}.zip"}[self.layout]
         for m in messages:
             if m is not None and m.path is not None:
-                fs, path = opened(m.path)
-                to = opened(f"{self.folder}/{name.format(m.task)}")[1]
-                fs.create_dir(to.rsplit("/", 1)[0])
-                fs.move(path, to)
+                moved(m.path, f"{self.folder}/{name.format(m.task)}")
 
     def abort(self, messages: list[_Staged | None]) -> None:
         for m in messages:

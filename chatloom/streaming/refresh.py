@@ -7,19 +7,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chatloom.operators.archive import latest
 from chatloom.plans.import_job import Places, last_run, run_import
+from chatloom.session import written
+from chatloom.sources.export_source import RECORDS, ChatExports
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-STAGED = "file_no bigint, pos bigint, raw string, error string"
 
+def refresh(spark: SparkSession, exports: str, rules: DataFrame, places: Places, checkpoint: str) -> StreamingQuery:
+    """Imports the exports that came into a folder since the last time, oldest first and each as a run of its own, and ends when nothing is left.
 
-def refresh(spark: SparkSession, staged: str, rules: DataFrame, places: Places, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
-    """Imports staged raw records batch by batch and ends when nothing is left. A batch becomes the run after the last one that left a state, and stays that run if it is retried."""
+    A batch's runs follow the last one that left a state, and stay the same runs if the batch is retried. What a batch reads is written before it is imported.
+    """
+    spark.dataSource.register(ChatExports)
 
     def batch(df: DataFrame, number: int) -> None:
-        run_import(spark, df, rules, places, run_of_batch(spark, places, checkpoint, number), F.current_timestamp())
+        come = written(df)
+        first = run_of_batch(spark, places, checkpoint, number)
+        order = [r.export for r in come.groupBy("export").agg(F.min("come").alias("come")).orderBy("come", "export").collect()]  # a row per export
+        for i, export in enumerate(order):
+            run_import(spark, come.where(F.col("export") == export).select("file_no", "pos", "raw", "error"), rules, places, first + i, F.current_timestamp())
 
-    stream = spark.readStream.schema(STAGED).option("maxFilesPerTrigger", files_per_batch).parquet(staged)
+    stream = spark.readStream.format("chat_export").schema(f"{RECORDS}, come bigint").load(exports)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -39,19 +48,24 @@ def run_of_batch(spark: SparkSession, places: Places, checkpoint: str, number: i
     return run
 
 
-def keep_latest(spark: SparkSession, stream: DataFrame, keys: tuple[str, ...], order: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps one row per key, the one with the greatest order, as snapshots path/batch=n; a retried batch rewrites its own snapshot."""
+def keep_latest(stream: DataFrame, keys: tuple[str, ...], order: str, checkpoint: str) -> StreamingQuery:
+    """Keeps one row per key, the one with the greatest order, in the query's own state: a batch costs its own rows and keys, not all that were ever seen.
 
-    def batch(df: DataFrame, number: int) -> None:
-        rows = df if number == 0 else df.unionByName(spark.read.parquet(f"{path}/batch={number - 1}"))
-        latest(rows, keys, order).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    Partial aggregates leave one row per key and task before the shuffle, so hot keys don't gather. Ends when nothing is left; the
+    state is in the checkpoint, by versions of a batch, so a batch that is tried again starts from the one before. Read it with latest_rows.
+    """
+    last = stream.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), order).alias("row"))
+    conf = stream.sparkSession.conf
+    before = conf.get(PROVIDER)
+    conf.set(PROVIDER, ROCKSDB)  # a started query keeps the session's settings of its start
+    try:
+        return last.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(PROVIDER, before)
 
 
-def last_snapshot(spark: SparkSession, query: StreamingQuery, path: str) -> DataFrame:
-    """The snapshot of a finished keep_latest."""
-    progress = query.lastProgress
-    if progress is None:
-        raise ValueError("the stream had no batch")
-    return spark.read.parquet(f"{path}/batch={progress['batchId']}")
+def latest_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What keep_latest holds as of its last whole batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    row = state.schema["value"].dataType.fields[0].name
+    return state.select(F.col("value")[row].alias("row")).select("row.*")

@@ -12,9 +12,10 @@ from chatloom.model import MESSAGE
 from chatloom.operators.classify import resolved
 from chatloom.operators.conversation import balanced, parsed
 from chatloom.operators.retrieve import tags_match
-from chatloom.plans.import_job import Places, run_import
+from chatloom.plans.import_job import Places, archived, documents, run_import
 from chatloom.plans.replay import replay
-from chatloom.session import written
+from chatloom.session import shared_folder, written
+from chatloom.sources.export_source import moved
 from chatloom.sources.exports import read_exports, rules_frame, scan_array
 from chatloom.streaming.refresh import refresh
 
@@ -70,6 +71,28 @@ def test_kubernetes_blocks():
     assert Redactor()("data:\r\n  pw: abcdefgh\r\nkind: Secret\r\n")[1] == {"kubernetes-secret": 1}
 
 
+def test_separators_end_a_manifest_at_any_column():
+    text = "  kind: Secret\n  ---\n  data:\n    a: abcdefgh"
+    assert Redactor()(text) == (text, {}) and Redactor()(text.replace("---", "name: x"))[1] == {"kubernetes-secret": 1}
+    assert Redactor()("kind: Secret\n- --- \ndata:\n  a: abcdefgh")[1] == {}
+    for end in ("\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\u2028"):
+        text = end.join(["kind: Secret", "data:", "  pw: abcdefgh", "other: abcdefgh"])
+        assert [text[a:b].strip() for a, b in secret_blocks(text)] == ["pw: abcdefgh"], repr(end)
+    assert len(secret_blocks("-\n  kind: Secret\n  data:\n    a: abcdefgh\n-\r\n  kind: Secret\r\n  data:\r\n    b: abcdefgh")) == 2
+
+
+def test_clusters_need_a_shared_folder():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+
+
 def test_rules_are_validated(spark):
     for bad in ([("a", ["x"], 0), ("b", ["X"], 0)], [("unknown", ["x"], 0)], [("a", [], 0)], [("a", ["--"], 0)], [("a", ["x"], 0), ("a", ["y"], 0)], [("A b", ["x"], 0)]):
         with pytest.raises(ValueError):
@@ -188,7 +211,7 @@ def _conversation(i, text):
 
 def test_import_twice_then_grow_then_replay(spark, tmp_path):
     rules = rules_frame(spark, [("alpha", ["apple"], 0)])
-    places = Places(str(tmp_path / "out"))
+    places = Places(str(tmp_path / "out"), buckets=4)
     at = F.lit("2026-01-01").cast("timestamp")
     one = [_conversation("1", f"an apple password={HEX}"), _conversation("2", "nothing"), _conversation("3", " "), _conversation("2", "again"), 7]
     (tmp_path / "e1").mkdir()
@@ -196,10 +219,10 @@ def test_import_twice_then_grow_then_replay(spark, tmp_path):
     status = lambda df: sorted((r.source_id or "", r.status, r.error) for r in df.collect())
     got = run_import(spark, read_exports(spark, str(tmp_path / "e1")), rules, places, 0, at)
     assert status(got) == [("", "failed", "source"), ("1", "imported", None), ("2", "failed", "source"), ("2", "imported", None), ("3", "failed", "retain")]
-    archive = spark.read.parquet(places.archive)
+    archive = archived(spark, places)
     kept = {r.source_id: r for r in archive.collect()}
     assert kept["1"].project == "alpha" and kept["2"].project == "unknown" and "[REDACTED]" in kept["1"].messages[0].text and HEX in kept["1"].content.decode()
-    assert spark.read.parquet(places.documents).count() == 2
+    assert documents(spark, places).count() == 2
     got = run_import(spark, read_exports(spark, str(tmp_path / "e1")), rules, places, 1, at)
     assert status(got) == [("", "failed", "source"), ("1", "skipped", None), ("2", "failed", "source"), ("2", "skipped", None), ("3", "failed", "retain")]
     with zipfile.ZipFile(tmp_path / "e2.zip", "w") as z:
@@ -207,20 +230,21 @@ def test_import_twice_then_grow_then_replay(spark, tmp_path):
         z.writestr("chat.html", "x")
     got = run_import(spark, read_exports(spark, str(tmp_path / "e2.zip")), rules, places, 2, at)
     assert status(got) == [("1", "imported", None)]
-    assert spark.read.parquet(places.archive).count() == 3
+    assert archived(spark, places).count() == 3
     got, bad = replay(spark, places, rules_frame(spark, [("beta", ["nothing"], 0)]), 3, at)
     assert [s for _, s, _ in status(got)] == ["imported", "imported", "failed"] and bad.count() == 0
-    assert {r.source_id: r.project for r in spark.read.parquet(places.archive).collect()} == {"1": "unknown", "2": "beta", "3": "unknown"}
+    assert {r.source_id: r.project for r in archived(spark, places).collect()} == {"1": "unknown", "2": "beta", "3": "unknown"}
 
 
 def test_refresh_from_a_stream(spark, tmp_path):
     rules = rules_frame(spark, [("alpha", ["apple"], 0)])
-    places = Places(str(tmp_path / "out"))
-    raw = lambda rows: spark.createDataFrame([(0, i, json.dumps(r), None) for i, r in enumerate(rows)], "file_no bigint, pos bigint, raw string, error string")
-    staged = str(tmp_path / "staged")
+    places = Places(str(tmp_path / "out"), buckets=4)
+    come = tmp_path / "exports"
     for run, rows in enumerate(([_conversation("1", "a")], [_conversation("1", "a"), _conversation("2", "b")])):
-        raw(rows).coalesce(1).write.mode("append").parquet(staged)
-        refresh(spark, staged, rules, places, str(tmp_path / "check")).awaitTermination()
+        (tmp_path / "made").mkdir()
+        (tmp_path / "made" / "conversations.json").write_text(json.dumps(rows))
+        moved(str(tmp_path / "made"), str(come / f"export {run}"))
+        refresh(spark, str(come), rules, places, str(tmp_path / "check")).awaitTermination()
         assert spark.read.parquet(places.state(run)).count() == run + 1
     assert {r.source_id: r.status for r in spark.read.parquet(f"{places.log}/run=1").collect()} == {"1": "skipped", "2": "imported"}
 
