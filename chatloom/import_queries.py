@@ -13,7 +13,7 @@ from chatloom.operators import archive as archives
 from chatloom.operators import graph, sanitize, snapshots
 from chatloom.operators.conversation import parsed
 from chatloom.plans import fixtures as fx
-from chatloom.plans.import_job import Places, import_exports, last_run, report, result_json, run_import
+from chatloom.plans.import_job import Places, counted_import, counted_report, import_exports, last_run, report, result_json, run_import
 from chatloom.queries import ARCHIVE, TURNS, WHOLE, query
 from chatloom.session import shared_folder, written
 from chatloom.sources.export_source import ChatExports, children, moved
@@ -290,6 +290,19 @@ def import_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_json(report(_imported_twice(spark, sf_dir)[1]))
 
 
+@query(f"select count(*) filter (conv_id % 10 <> 7 and conv_id % 2 = 1) as imported, count(*) filter (conv_id % 10 <> 7 and conv_id % 2 = 0) as skipped, count(*) filter (conv_id % 10 = 7) as failed, case when count(*) filter (conv_id % 10 = 7) = 0 then 'success' else 'partial_success' end as run_status, true as as_logged from ({WHOLE})")
+def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second import with all three statuses: its counts, taken while the log is written, and whether the log has the same."""
+    records, places, rules = written(fx.records(spark, sf_dir)), _places(spark), fx.rules(spark)
+    at = F.lit(IMPORTED_AT).cast("timestamp")
+    run_import(spark, records.where("conv_id % 2 = 0").drop("conv_id"), rules, places, 0, at)
+    broken = records.withColumn("raw", F.when(F.col("conv_id") % 10 == 7, F.lit("{")).otherwise(F.col("raw"))).drop("conv_id")
+    outcomes, counts = counted_import(spark, broken, rules, places, 1, at)
+    made, logged = counted_report(spark, counts).drop("format_version", "terminal_error"), report(outcomes)
+    same = logged.select(*(F.col(c).alias(f"_{c}") for c in made.columns))
+    return made.crossJoin(same).select(*made.columns, sum(((F.col(c) == F.col(f"_{c}")).cast("int") for c in made.columns), F.lit(0)).eqNullSafe(len(made.columns)).alias("as_logged"))  # one row each
+
+
 @query(f"select '{{\"format_version\":1,\"run_status\":\"failure\",\"imported\":0,\"skipped\":0,\"failed\":0,\"terminal_error\":\"source\"}}' as result, count(*) filter (conv_id % 2 = 0) as states from ({WHOLE})")
 def import_unreachable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even conversations are imported; then an import of them and of an export that isn't there fails as a whole, and the state stays."""

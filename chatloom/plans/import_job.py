@@ -6,7 +6,7 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.aliases import swept_text
@@ -24,6 +24,9 @@ from chatloom.session import written
 from chatloom.sources.exports import read_exports
 
 
+STATUSES = ("imported", "skipped", "failed")
+
+
 @dataclass(frozen=True)
 class Places:
     """Folders of one import's tables, in any store that Spark writes to."""
@@ -82,6 +85,11 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     Writes in this order, each keyed so that a rerun after a crash repeats it safely: archive and documents as one change, log, state. A conversation
     that fails is recorded as failed and doesn't stop others; source failures are reported only; skips aren't recorded.
     """
+    return counted_import(spark, records, rules, places, run, imported_at, importer_version, force)[0]
+
+
+def counted_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places: Places, run: int, imported_at: Column, importer_version: str = "1", force: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """run_import, and how many outcomes have each status: counted as the log is written, without reading it again."""
     state = read_state(spark, places, run - 1)
     read = conversations(records)
     read.write.mode("overwrite").parquet(f"{places.work(run)}/read")
@@ -109,11 +117,12 @@ def run_import(spark: SparkSession, records: DataFrame, rules: DataFrame, places
     bad = read.where(F.col("error").isNotNull()).select(F.lit("chatgpt").alias("source"), "source_id", "document_id", F.lit(None).cast("string").alias("content_hash"), F.lit("failed").alias("status"), "error", F.lit(None).cast("string").alias("project"))
     files = records.where(F.col("error").isNotNull()).select(F.lit("chatgpt").alias("source"), *(F.lit(None).cast("string").alias(c) for c in ("source_id", "document_id", "content_hash")), F.lit("failed").alias("status"), F.lit("source").alias("error"), F.lit(None).cast("string").alias("project"))
     outcomes = processed.unionByName(skipped).unionByName(bad).unionByName(files).withColumn("recorded_at", imported_at.cast("timestamp"))
-    outcomes.write.mode("overwrite").parquet(f"{places.log}/run={run}")
+    seen = Observation()
+    outcomes.observe(seen, *(F.count_if(F.col("status") == s).alias(s) for s in STATUSES)).write.mode("overwrite").parquet(f"{places.log}/run={run}")
     outcomes = spark.read.parquet(f"{places.log}/run={run}")
     recorded = outcomes.where(F.col("source_id").isNotNull() & ~F.col("error").eqNullSafe(F.lit("source"))).select(*state.columns)
     state_table.write(state_table.upserted(state, recorded, F.lit(run)), places.state(run), places.buckets)
-    return outcomes
+    return outcomes, {s: int(seen.get[s]) for s in STATUSES}
 
 
 def import_exports(spark: SparkSession, paths: list[str], rules: DataFrame, places: Places, run: int, imported_at: Column, importer_version: str = "1", force: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -123,8 +132,15 @@ def import_exports(spark: SparkSession, paths: list[str], rules: DataFrame, plac
     except FileNotFoundError:
         none = spark.createDataFrame([], "source string, source_id string, document_id string, content_hash string, status string, error string, project string, recorded_at timestamp")
         return none, report(none, "source")
-    outcomes = run_import(spark, records, rules, places, run, imported_at, importer_version, force)
-    return outcomes, report(outcomes)
+    outcomes, counts = counted_import(spark, records, rules, places, run, imported_at, importer_version, force)
+    return outcomes, counted_report(spark, counts)
+
+
+def counted_report(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The report of a run whose outcomes were counted as they were written."""
+    good, bad = counts["imported"] + counts["skipped"], counts["failed"]
+    status = "success" if not bad else "partial_success" if good else "failure"
+    return spark.createDataFrame([(counts["imported"], counts["skipped"], bad, status, 1, None)], "imported bigint, skipped bigint, failed bigint, run_status string, format_version int, terminal_error string")
 
 
 def report(outcomes: DataFrame, terminal_error: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from chatloom.functions.canonical import content_hash, timestamp_text
 from chatloom.functions.redact import Rule, redacted, redactor
 from chatloom.model import CATEGORIES
 from chatloom.operators import archive as archives
-from chatloom.operators import classify, content, graph, retain, retrieve, sanitize, state, state_table
+from chatloom.operators import classify, content, graph, retain, retrieve, sanitize, state, state_table, text_index
 from chatloom.operators.conversation import assembled, balanced, field_defect, parsed, split_duplicates
 from chatloom.operators.enrich import enriched, tag_defect
 from chatloom.plans import fixtures as fx
@@ -608,6 +608,22 @@ def recall_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve.recalled(full, "The", ["project:beta"], 10, "texts").select("document_id")
 
 
+NEEDLES = ("the", "The ", "e", "qu", "Tion", "er the th", "no such words at all", ". A", "ß", "zz")
+
+
+@query(" union all ".join(f"select {i} as needle, doc_id from (select doc_id from documents where contains(lower(text), lower('{n}')) order by doc_id limit 10)" for i, n in enumerate(NEEDLES)))
+def recall_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten documents that hold each of some queries, long, short and absent ones, by an index of three characters."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", F.array().cast("array<string>").alias("tags"))
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    text_index.build(docs, path, "text", "doc_id")
+    found = None
+    for i, needle in enumerate(NEEDLES):
+        part = text_index.recalled(spark, path, docs, needle, [], 10, "text", "doc_id").select(F.lit(i).alias("needle"), "doc_id")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query(f"select r.document_id, a.title, a.started_at from (select document_id from ({ARCHIVE}) where project = 'beta') r join ({ARCHIVE}) a using (document_id)")
 def recall_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recalled documents with their archived conversations."""

@@ -18,7 +18,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", ["content_hashes", "import_decision", "run_report", "export_files", "message_text", "tool_fold", "redact_jwt", "redact_overlap", "project_of_document", "archive_audit", "tag_match_modes", "log_scrub", "scanned_arrays", "nested_aliases", "record_times", "graph_rules", "redact_planted_documents", "sanitized_own_table", "archive_store", "import_log", "export_forms", "export_ranges", "import_unreachable", "refresh_stream", "graph_link_rules", "project_hits_by_join", "thread_account", "archive_store_fails", "import_decision_by_bucket", "state_upsert_by_bucket", "latest_outcome_stream"])
+@pytest.mark.parametrize("name", ["content_hashes", "import_decision", "run_report", "export_files", "message_text", "tool_fold", "redact_jwt", "redact_overlap", "project_of_document", "archive_audit", "tag_match_modes", "log_scrub", "scanned_arrays", "nested_aliases", "record_times", "graph_rules", "redact_planted_documents", "sanitized_own_table", "archive_store", "import_log", "export_forms", "export_ranges", "import_unreachable", "refresh_stream", "graph_link_rules", "project_hits_by_join", "thread_account", "archive_store_fails", "import_decision_by_bucket", "state_upsert_by_bucket", "latest_outcome_stream", "recall_indexed", "import_counts"])
 def test_query_equals_its_sql(spark, db, name):
     got = library.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
