@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,32 +109,43 @@ def hashed(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str
     return found.groupBy("_id").agg(F.min_by(F.struct("shard", "at", "label", "buckets", "values"), "at").alias("row")).select("row.*")
 
 
-def _flat(column: pa.ChunkedArray, kind: type, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all cells of a binary column, in the order of place, and where each cell's begin."""
-    column = column.combine_chunks()
-    size = pc.binary_length(column).to_numpy(zero_copy_only=False)[place] // 4
-    begin = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+def _numbers(column: pa.BinaryArray, kind: type) -> list[np.ndarray]:
+    """The numbers of each cell of a binary column, apart from the batch that it came in."""
+    return [np.frombuffer(cell.as_buffer(), kind).copy() for cell in column]
+
+
+def _flat(rows: list[np.ndarray], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All rows one after another, and where each begins; rows is used up."""
+    begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))])
     out = np.empty(begin[-1], kind)
-    for i, k in enumerate(place.tolist()):
-        out[begin[i] : begin[i + 1]] = np.frombuffer(column[k].as_buffer(), kind)
+    for i in range(len(rows)):
+        out[begin[i] : begin[i + 1]] = rows[i]
+        rows[i] = None
     return out, begin
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, s: Settings, key: str = "doc_id", text: str = "text") -> np.ndarray:
     """Weights of all buckets and the bias. Without labelled rows all weights are 0, and each score is 0.5."""
 
-    def learn(part: pa.Table) -> pa.Table:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steady()
-        place = np.argsort(part.column("at").to_numpy(), kind="stable")
-        labels = part.column("label").to_numpy()[place]
-        bucket, begin = _flat(part.column("buckets"), np.int32, place)
-        value = None if s.binary else _flat(part.column("values"), np.float32, place)[0]
-        del part
-        at, w, n = learned(bucket, value, begin, labels, s)
-        out = pa.table({"bucket": at, "weight": w, "seen": n})
+        at, label_, buckets, values = [], [], [], []
+        for batch in batches:
+            at += batch.column("at").to_pylist()
+            label_ += batch.column("label").to_pylist()
+            buckets += _numbers(batch.column("buckets"), np.int32)
+            values += [] if s.binary else _numbers(batch.column("values"), np.float32)
+            del batch
+        place = np.argsort(np.array(at, np.int64), kind="stable").tolist()
+        shares, numbers = [values[i] for i in place] if values else [], [buckets[i] for i in place]
+        values.clear()
+        buckets.clear()
+        value = None if s.binary else _flat(shares, np.float32)[0]
+        bucket, begin = _flat(numbers, np.int32)
+        found, w, n = learned(bucket, value, begin, np.array([label_[i] for i in place], np.float64), s)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, w, n)], ["bucket", "weight", "seen"])
         del bucket, value
         give_back()
-        return out
 
     each = hashed(docs, labels, label, s, key, text).groupBy("shard").applyInArrow(learn, "bucket long, weight double, seen double")
     mean = each.groupBy("bucket").agg((F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).alias("weight")).where("weight <> 0").toPandas()
