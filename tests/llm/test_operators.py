@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chatloom.llm import ftrl, html_text, jaccard, mixing, packing, quality, quality_rules, toxicity
+from chatloom.llm import ftrl, html_text, jaccard, mixing, packing, quality, quality_rules, topk, toxicity
 from chatloom.llm.bpe_counts import token_counts
 from chatloom.llm.components import components
 from chatloom.llm.html_text import extract
@@ -238,21 +238,52 @@ def test_components_of_a_long_path(spark):
     assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
+def best_of_all(rows, k=20, every=20):
+    """Each row that asks against each other row."""
+    good = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for n, (q, mine) in enumerate(good):
+        if q % every == 0:
+            best = sorted((-sum(a * b for a, b in zip(mine, v, strict=True)), i) for m, (i, v) in enumerate(good) if m != n and len(v) == len(mine))[:k]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(want)
+
+
 def test_top_k_is_exact(spark):
+    """Repeated ids with equal and with other vectors each ask for themselves, and are candidates of one another."""
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)] + [(300 + i, [0.5] * 6) for i in range(60)]
-    rows += [(400, None), (420, [None] * 6), (440, [float("nan")] * 6), (None, [1.0] * 6), (460, [1.0, 2.0]), (20, rows[20][1])]
-    df = spark.createDataFrame([(*r, 7, 7) for r in rows], "vec_id long, embedding array<float>, label int, rank int")
-    # The repeated row is a candidate twice, and asks once.
-    good = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v in rows if i is not None and v and v[0] is not None and not math.isnan(v[0])}
-    want = []
-    for q in (i for i in good if i % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(good[q], v, strict=True)), i) for i, v in [*good.items(), (20, good[20])] if i != q and len(v) == len(good[q]))[:20]
-        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    assert sorted(tuple(r) for r in top_k(df).collect()) == sorted(want)
+    rows += [(400, None), (420, [None] * 6), (440, [float("nan")] * 6), (None, [1.0] * 6), (460, [1.0, 2.0]), (20, rows[20][1]), (20, [2.0] * 6), (40, rows[41][1]), (-20, [0.25] * 6)]
+    df = spark.createDataFrame([(*r, 7, 7, 7) for r in rows], "vec_id long, embedding array<float>, label int, rank int, row int").repartition(5)
+    assert sorted(tuple(r) for r in top_k(df).collect()) == best_of_all(rows)
     assert top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_in_small_blocks_and_tiles(monkeypatch):
+    """Running lists over shards, in this process."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(topk, "PRODUCT_ROWS", 7)
+    for n, q, k in ((50, 12, 3), (400, 30, 5), (8, 8, 20)):
+        v = rng.integers(-3, 4, (n, 4)).astype(float)
+        ids, rows = rng.integers(0, n // 2 + 1, n), np.arange(n)
+        asks = np.sort(rng.choice(n, q, replace=False))
+        lists = topk.Lists(rows[asks], ids[asks], v[asks], k)
+        for at in range(0, n, 37):
+            lists.add(rows[at : at + 37], ids[at : at + 37], v[at : at + 37])
+        for i, a in enumerate(asks):
+            want = sorted((-int(v[a] @ v[b]), int(ids[b])) for b in range(n) if b != a)[:k]
+            mine = lists.query == i
+            assert list(zip((-lists.score[mine]).tolist(), lists.vec_id[mine].tolist(), strict=True)) == want
+
+
+def test_top_k_of_several_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i // 2, [float(x) for x in rng.normal(size=3)]) for i in range(200)]
+    monkeypatch.setattr(topk, "BLOCK_COMPONENTS", 10)
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=4, every=5)
+    assert sorted(tuple(r) for r in got.collect()) == best_of_all(rows, 4, 5)
+
+
 def test_classifiers_learn_and_take_odd_rows(odd, docs, labels):
     known = {r.doc_id: r for r in labels.collect()}
     for f, label, threshold in ((quality_scores, "quality", 0.7),):
