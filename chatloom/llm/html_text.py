@@ -27,11 +27,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 KNOWN = INLINE | VOID | frozenset("address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset("nav aside footer form head menu dialog button select option optgroup datalist fieldset svg math canvas audio video object map search".split())
 ARTICLES = ("article", "main")
-#: Words in class, id or role that mark what isn't the article: as a whole name, or first in one of such words and those of LAYOUT.
-MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promoted promotion banner cookie cookies consent gdpr popup modal overlay newsletter subscribe signup paywall sidebar rail aside widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc skip footer contentinfo complementary search login comment comments commentlist disqus respond reply replies discussion related recommended recommendations share sharing social tags dialog".split())
+#: Words in class, id or role that mark what isn't the article: as a whole name, first in one of such words and those of LAYOUT, or last behind words of WHERE.
+MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promoted promotion banner cookie cookies consent gdpr popup modal overlay newsletter subscribe signup paywall sidebar rail aside widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc skip footer contentinfo complementary search login comment comments commentlist disqus respond reply replies discussion related recommended recommendations share sharing social tags dialog outbrain taboola".split())
+#: Those of them that say that readers write: what they mark is no wrapper of an article, however long it is.
+READERS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
 #: These mark it only outside the article itself.
 OUTER_MARKS = frozenset("header masthead topbar toolbar alert notice notices".split())
 LAYOUT = frozenset("area bar block box button buttons center container content form group inner item items left link links list main outer panel posts primary right row secondary section slot top bottom unit wrap wrapper".split())
+WHERE = frozenset("article bottom cc global google left main page post primary reader right secondary site top user wp".split())
 #: A new element of the first kind ends an open one of the second.
 IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -61,7 +64,7 @@ class Page:
         self.closes: list[bool] = []
         self.dropped: list[bool] = []
         self.held: list[int] = []  #: the innermost droppable element around each token, or -1
-        self.drops: list[list[int]] = []  #: of each droppable element: first and last token, the one around it, whether it can be kept
+        self.drops: list[list[int]] = []  #: of each droppable element: first and last token, the one around it, and whether it can be kept: never (0), if it holds the article (1), or also by its words (2)
         closed: list[int] = []  #: droppable elements, inner ones first
         self.sections: list[tuple[int, int]] = []  #: first and last token of each article
         at = 0
@@ -116,11 +119,12 @@ class Page:
                     close(depth)
             hidden = name not in ("html", "body", *ARTICLES) and len(rest) > 3 and bool(HIDDEN.search(rest))
             fixed = hidden or name in DROPPED and name != "form" or name == "header" and not in_article
-            drop = fixed or name == "form" or (len(rest) > 3 and name not in ("html", "body", *ARTICLES) and self._marked(rest, in_article > 0 or name == "p"))
+            mark = self._marked(rest, in_article > 0 or name == "p") if len(rest) > 3 and name not in ("html", "body", *ARTICLES) else None
+            drop = fixed or name == "form" or mark is not None
             if rest.rstrip().endswith("/") and name not in KNOWN:
                 continue
             if drop:
-                self.drops.append([len(self.text), 0, around, not fixed])
+                self.drops.append([len(self.text), 0, around, 0 if fixed else 1 if mark in READERS else 2])
                 around = len(self.drops) - 1
             in_article += name in ARTICLES
             open_.append((name, drop, len(self.text)))
@@ -142,7 +146,7 @@ class Page:
         return m[0].startswith("<!--") and not m[0].endswith("-->")
 
     def _drop(self, closed: list[int]) -> None:
-        """Decides on the droppable elements, those with most words first, of equal ones inner ones: one is kept if it holds the largest article or more words than are left outside it."""
+        """Decides on the droppable elements, those with most words first, of equal ones inner ones: one is kept if it holds the largest article, or, where no article lies beside it and readers didn't write it, more words than are left outside it."""
         gone = [True] * len(self.drops)
         if any(d[3] for d in self.drops):
             own = [0] * (len(self.drops) + 1)  # words under no inner drop; the last is of those under none at all
@@ -158,7 +162,8 @@ class Page:
                 first, last, outer, can = self.drops[k]
                 if not can or not own[k] or heads and bisect_right(heads, first) == bisect_left(heads, last):
                     continue
-                if own[k] > own[-1] + around[k] or article and first < article[0] and article[1] <= last:
+                beside = article and (article[1] <= first or last <= article[0])
+                if can == 2 and not beside and own[k] > own[-1] + around[k] or article and first < article[0] and article[1] <= last:
                     gone[k] = False
                     own[outer] += own[k]
         for k, d in enumerate(self.drops):  # outer ones come first
@@ -166,14 +171,17 @@ class Page:
         self.dropped = [k >= 0 and gone[k] for k in self.held]
 
     @staticmethod
-    def _marked(rest: str, inside: bool) -> bool:
+    def _marked(rest: str, inside: bool) -> str | None:
+        """The word in an element's class, id or role that says that it isn't the article."""
         for m in ATTRIBUTE.finditer(rest):
             for token in (m[1] or m[2] or m[3] or "").split():
-                parts = [x.lower() for x in WORD_PARTS.findall(token)]
+                parts = [x.lower() for x in WORD_PARTS.findall(token) if len(x) > 1]  # sizes such as 300x250 say nothing
                 marks = MARKS if inside else MARKS | OUTER_MARKS
                 if parts and parts[0] in marks and all(x in MARKS or x in OUTER_MARKS or x in LAYOUT for x in parts):
-                    return True
-        return False
+                    return parts[0]
+                if len(parts) > 1 and parts[-1] in MARKS and all(x in WHERE for x in parts[:-1]):
+                    return parts[-1]
+        return None
 
     def region_text(self, first: int, last: int) -> str:
         """Text of tokens first to before last: references decoded, one space for white space and between blocks."""

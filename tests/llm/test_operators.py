@@ -488,3 +488,25 @@ def test_long_pages_take_linear_time():
 def test_best_region_is_contiguous():
     weights = {(w, k): (1.0 if w == "word" else -2.0) for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
     assert html_text.main_text("<b>a</b><b>c</b><div>one two three four five six seven</div><b>z</b>", weights) == "one two three four five six seven"
+
+
+@pytest.mark.parametrize("n", [1, 5, 80])
+def test_comments_stay_out_however_many_there_are(n):
+    """With and without an article element, and without any heading."""
+    weights = {(w, k): 0.9 if w == "word" else -0.3 for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
+    body = "".join(f"<p>Sentence number {i} of the text itself, which goes on for a while.</p>" for i in range(6))
+    said = "".join(f'<div class="comment"><p>I think so too, said reader {i} at length and more.</p></div>' for i in range(n))
+    want = " ".join(f"Sentence number {i} of the text itself, which goes on for a while." for i in range(6))
+    for page in (f"<article>{body}</article><div class='comments'>{said}</div>", f"<div class='text'>{body}</div><div class='comments'>{said}</div>", f"<main><div>{body}</div><section id='comments'>{said}</section></main>"):
+        assert html_text.main_text(f"<html><body>{page}</body></html>", weights) == want
+    for wrapper in ("banner", "ad wrapper", "sidebar"):
+        assert html_text.main_text(f"<html><body><div>Menu</div><div class='{wrapper}'>{body}</div></body></html>", weights).endswith(want)
+    beside = f"<article>{body}</article><div class='promo'>{'<p>Buy this and that now.</p>' * 9 * n}</div>"
+    assert html_text.main_text(f"<html><body>{beside}</body></html>", weights) == want
+
+
+@pytest.mark.parametrize("name", ["left-sidebar", "article-comments", "user-comments", "post-comments", "wp-comments", "site-footer", "page-footer", "main-nav", "google-ad", "ad-300x250", "cc-banner", "outbrain"])
+def test_marks_behind_words_of_place(name):
+    weights = {(w, k): 0.9 if w == "word" else -0.3 for w in ("word", "tag") for k in [*html_text.KNOWN, "other", ""]}
+    page = f"<article><p>The text begins here and goes on.</p><div class='{name}'><p>Not of the text.</p></div><p>It ends here after some words.</p></article>"
+    assert html_text.main_text(page, weights) == "The text begins here and goes on. It ends here after some words."
