@@ -27,6 +27,11 @@ def recalled(documents: DataFrame, query: str, tags: list[str], limit: int, cont
     return documents.where(tags_match(F.col("tags"), tags) & hit).orderBy("document_id").limit(limit)
 
 
+def with_sources(hits: DataFrame, archive: DataFrame, fields: tuple[str, ...] = ("title", "started_at")) -> DataFrame:
+    """document_id of recalled documents, with these fields of the conversations that they came from. Documents without an archived one are left out."""
+    return hits.select("document_id").join(archive.select("document_id", *fields), "document_id")
+
+
 def listed(archive: DataFrame, project: str | None = None, source: str | None = None, since: Column | None = None, until: Column | None = None) -> DataFrame:
     """document_id, title, project, source, started_at of archived conversations in a scope; filters reach the scan."""
     for column, value in (("project", project), ("source", source)):

@@ -626,10 +626,10 @@ def recall_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select r.document_id, a.title, a.started_at from (select document_id from ({ARCHIVE}) where project = 'beta') r join ({ARCHIVE}) a using (document_id)")
 def recall_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recalled documents with their archived conversations."""
+    """Documents of a project, recalled by their tags, with their archived conversations."""
     whole = fx.archive(fx.conversations(spark, sf_dir))
-    hits = whole.where("project = 'beta'").select("document_id")
-    return hits.join(whole.select("document_id", "title", "started_at"), "document_id")
+    documents = _documents(spark, sf_dir)
+    return retrieve.with_sources(documents.where(retrieve.tags_match(F.col("tags"), ["project:beta"])), whole)
 
 
 _MODES = ("any", "all", "any_strict", "all_strict", "exact")
