@@ -31,11 +31,19 @@ def project_hits_by_join(df: DataFrame, rules: DataFrame, key: str, text: str) -
     plain = F.when(F.col("alias_key").rlike(PLAIN), F.col("alias_key")).otherwise(F.raise_error(F.concat(F.lit("not of plain words: "), "alias_key")))
     known = rules.select(plain.alias("alias_key"), "project", "priority")
     longest = known.agg(F.max(F.size(F.split("alias_key", " ")))).first()[0] or 0
-    words = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", key, F.regexp_extract_all(alias_keys(text), F.lit(TOKEN), F.lit(0)).alias("_t"))
-    at = words.select("_row", key, "_t", F.posexplode("_t").alias("_at", "_first")).where(F.col("_first").rlike(PLAIN))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_t") - F.col("_at")))
-    runs = at.where(F.lit(longest > 0)).select("_row", key, "_at", F.explode(F.transform(lengths, lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_t", F.col("_at") + 1, n), " ").alias("alias_key")))).alias("r"))
-    named = runs.select("_row", key, "_at", "r.n", "r.alias_key").join(known.select("alias_key").distinct(), "alias_key", "left_semi")
+    tokens = F.regexp_extract_all(alias_keys(text), F.lit(TOKEN), F.lit(0))
+
+    def runs_from(t: Column, at: Column) -> Column:
+        """The runs of up to longest words that begin at a place."""
+        lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.size(t) - at))
+        return F.transform(lengths, lambda n: F.struct(at.alias("_at"), n.alias("n"), F.array_join(F.slice(t, at + 1, n), " ").alias("alias_key")))
+
+    places = lambda t: F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda at: F.get(t, at).rlike(PLAIN))
+    # The tokens are bound to a name in a lambda: they are taken apart once, and don't go along with each run.
+    of_text = F.transform(F.array(tokens), lambda t: F.when(F.size(t) > 0, F.flatten(F.transform(places(t), lambda at: runs_from(t, at)))))[0]
+    numbered = df.withColumn("_row", F.monotonically_increasing_id()).where(F.lit(longest > 0))
+    runs = numbered.select("_row", key, F.explode(of_text).alias("r")).select("_row", key, "r.*")
+    named = runs.join(known.select("alias_key").distinct(), "alias_key", "left_semi")
     in_turn = F.array_sort(F.collect_list(F.struct("_at", (-F.col("n")).alias("less"), "alias_key")))
     spent = F.aggregate(
         "m",

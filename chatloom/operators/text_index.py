@@ -22,9 +22,10 @@ LISTED = 1000
 
 
 def grams(text: Column) -> Column:
-    """The distinct runs of a text in small letters. Characters are taken apart once, so the time is linear in the text."""
+    """The distinct runs of a text in small letters. Characters are taken apart once (a name in a lambda is bound, not repeated), so the time is linear in the text."""
     letters = F.split(F.concat(F.lower(text), F.lit(END * (WIDTH - 1))), "")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(letters) - (WIDTH - 1)), lambda i: F.array_join(F.slice(letters, i, F.lit(WIDTH)), "")))
+    runs = F.transform(F.array(letters), lambda x: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(x) - (WIDTH - 1)), lambda i: F.array_join(F.slice(x, i, F.lit(WIDTH)), ""))))
+    return runs[0]
 
 
 def build(documents: DataFrame, path: str, content: str = "content", key: str = "document_id") -> None:
