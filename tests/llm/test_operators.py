@@ -413,6 +413,53 @@ def test_language_model_chooses_rare_words_by_context():
     assert Shape().grown(1 << 30).bits > Shape().grown(1 << 20).bits == Shape().bits
 
 
+def test_language_model_sends_a_share_of_the_corpus():
+    from chatloom.llm.maxent import Trainer, Vocabulary
+
+    # Weights and sums that all shards send in all rounds, against about 6 bytes of input a token; half a GB took 11 bytes a token.
+    sent = {}
+    for tokens_ in (1 << 24, 85_000_000, 1 << 30, 5_000_000_000):
+        shape = Shape().grown(tokens_)
+        word = np.arange(2000, dtype=np.uint64) << np.uint64(50)
+        model = Trainer(Vocabulary(word, np.full(2000, tokens_ // 2000), tokens_, 2000, shape))
+        # Two bytes for a weight and two for a bucket's sum.
+        sent[tokens_] = shape.rounds * shape.shards * sum(2 * getattr(model, f"{x}_w").size + 2 * len(getattr(model, f"{x}_g")) for x in ("class", "word", "tree"))
+    # A tree's choice takes one weight of a context, not one for each branch.
+    assert model.tree_w.ndim == 1
+    assert all(n < 8 * k for k, n in sent.items() if k > 1 << 24)
+
+
+def test_language_model_steps_equal_brute_force():
+    from chatloom.llm.maxent import FIRST_SUM, Trainer, Vocabulary
+
+    rng = np.random.default_rng(9)
+    word = np.sort(rng.integers(0, 1 << 63, 700, dtype=np.uint64) * np.uint64(2))
+    n = rng.integers(1, 90, 700)
+    v = Vocabulary(word, n, int(n.sum()), 700, Shape(classes=3, words=4, width=4))
+    # Words are found by slots as by a search, and others aren't.
+    others = word + np.uint64(1)
+    assert v.find(word).tolist() == list(range(700)) and (v.find(others) == -1).all() and v.find(word[:0]).size == 0
+    assert (Vocabulary(word[:0], n[:0], 0, 0, Shape()).find(others) == -1).all()
+    # Without weights a word's probability is its share of all counts and the smoothed rest.
+    model = Trainer(v)
+    p = np.exp(model.log_probability(word, np.array([0, 700])))
+    assert np.allclose(p, n / (n.sum() + v.leaves.sum()), rtol=1e-3)
+    # A step moves each bucket by its tokens' summed errors, over the root of their number and of the squares so far: few buckets of many, many of few, and one for all.
+    for buckets, width in ((5000, 1), (40, 1), (40, 3), (5000, 3)):
+        errors = rng.normal(size=(width, 300))
+        rows = [100 + rng.integers(0, buckets, 300), np.array([7])]
+        weights = rng.normal(size=(buckets + 100, width) if width > 1 else buckets + 100).astype(np.float32)
+        sums, want, squares = np.full(len(weights), FIRST_SUM), weights.astype(float).reshape(len(weights), width), np.full(len(weights), float(FIRST_SUM))
+        for r in rows:
+            r = np.broadcast_to(r, 300)
+            for b in set(r.tolist()):
+                g = errors[:, r == b].sum(axis=1) / math.sqrt((r == b).sum())
+                squares[b] += (g * g).mean()
+                want[b] -= model.s.rate * g / math.sqrt(squares[b])
+        model._step(weights, sums, rows, errors)
+        assert np.allclose(weights.reshape(len(weights), width), want, atol=1e-4) and np.allclose(sums, squares, rtol=1e-4)
+
+
 def test_quality_rules_equal_brute_force(odd, docs, labels):
     for df in (odd, docs):
         got = quality_rules.quality_rules(df, labels)
