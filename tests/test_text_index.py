@@ -39,3 +39,19 @@ def test_candidates_are_few(spark, kept):
     assert holding <= text_index.candidates(spark, path, "zebra then end").count() < df.count() / 2
     plan = spark.read.parquet(f"{path}/runs").where(F.col("gram").isin("the", "zeb"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(gram" in plan
+
+
+def test_runs_are_lists_and_first_documents_come_without_a_join(spark, tmp_path, monkeypatch):
+    texts = [f"the end of the {i}th night" if i % 3 else "ab" for i in range(400)]
+    # Two documents of one key: each holds half of the runs of "ab the".
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500, "ab th"), (500, "b the"), (501, "x ab the y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, content string").repartition(2).withColumn("tags", F.array().cast("array<string>"))
+    text_index.build(df, f"{tmp_path}/i", key="doc_id")
+    pairs = [(d, g) for d, (_, t) in enumerate(rows) for g in {f"{t}\0\0"[i : i + 3] for i in range(len(t))}]
+    runs = spark.read.parquet(f"{tmp_path}/i/runs")
+    assert runs.count() <= 2 * len({g for _, g in pairs}) and runs.agg(F.sum("n")).first()[0] == len(pairs)
+    assert [r.document for r in text_index.candidates(spark, f"{tmp_path}/i", "ab the").collect()] == [501]
+    monkeypatch.setattr(text_index, "LISTED", 50)
+    found = text_index.recalled(spark, f"{tmp_path}/i", df, "Th", [], 10, key="doc_id")
+    assert [r.doc_id for r in found.collect()] == [i for i in range(20) if i % 3][:10]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
