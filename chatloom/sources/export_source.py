@@ -1,6 +1,6 @@
 """Exports as a data source: ``spark.read.format("chat_export").load(path)``.
 
-A task reads a file, a zip's member or a byte range of a file. Files lie in any store that Arrow reaches (a plain path, or file:, hdfs:, s3: ...), and
+A task reads files, zips' members or byte ranges of files: one, or several small ones. Files lie in any store that Arrow reaches (a plain path, or file:, hdfs:, s3: ...), and
 nothing is held whole. ``read_exports`` plans first: large files are cut into ranges, one job lexes them, and their summaries in order say how each
 range begins; the source then reads the ranges by that plan. Only the columns of the schema that is asked for are made.
 """
@@ -13,8 +13,10 @@ import re
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
-from dataclasses import asdict, dataclass, replace
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.dataset as ds
@@ -33,6 +35,8 @@ PLACED = f"{RECORDS}, at bigint, come bigint"
 SUMMARIES = "file string, begin bigint, state array<int>, depth array<bigint>, low array<bigint>, commas array<map<bigint, bigint>>"
 #: Bytes of a range, and rows of a batch.
 RANGE_BYTES, BATCH_ROWS = 1 << 26, 1000
+#: Parts of fewer bytes share a task, but for so many tasks; files that the driver opens or moves at a time.
+TASK_BYTES, LEAST_TASKS, AT_ONCE = 1 << 24, 16, 16
 ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06")
 #: What a damaged, encrypted or unknown member raises when it is opened or read.
 BAD_MEMBER = (zipfile.BadZipFile, NotImplementedError, RuntimeError, EOFError, zlib.error, pa.ArrowInvalid)
@@ -56,6 +60,20 @@ class Part(InputPartition):
     come: int = 0  #: when a stream saw the export, by its time
 
 
+@dataclass(frozen=True)
+class Task(InputPartition):
+    """Parts that a task reads one after another."""
+
+    parts: tuple[Part, ...]
+
+
+def dealt(parts: list[Part], least: int = LEAST_TASKS) -> list[Task]:
+    """Parts dealt out in turn, so that the ranges of a file go to several tasks: about TASK_BYTES a task, and at least so many tasks. A zip's member counts as a task's bytes."""
+    size = sum(TASK_BYTES if p.member else p.end - p.begin for p in parts)
+    n = min(len(parts), max(least, -(-size // TASK_BYTES)))
+    return [Task(tuple(parts[i::n])) for i in range(n)]
+
+
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
     """The store of a path, and the path there."""
     return pafs.FileSystem.from_uri(path) if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", path) else (pafs.LocalFileSystem(), path)
@@ -100,27 +118,30 @@ def listed(paths: list[str], range_bytes: int = RANGE_BYTES) -> list[Part]:
 
     A path that isn't there raises FileNotFoundError. Reads each file's first bytes and each zip's directory, on the driver.
     """
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return [p for found in pool.map(lambda path: _listed(path, range_bytes), paths) for p in found]
+
+
+def _listed(given: str, range_bytes: int) -> list[Part]:
+    given = given.rstrip("/")
+    fs, path = opened(given)
+    info = fs.get_file_info(path)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(given)
+    if info.type == pafs.FileType.File:
+        return _file(fs, given, given, info.path, info.size, range_bytes)
     parts: list[Part] = []
-    for given in paths:
-        given = given.rstrip("/")
-        fs, path = opened(given)
-        info = fs.get_file_info(path)
-        if info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(given)
-        if info.type == pafs.FileType.File:
-            parts += _file(fs, given, given, info.path, info.size, range_bytes)
-            continue
-        inside = sorted((i for i in fs.get_file_info(pafs.FileSelector(path)) if i.type == pafs.FileType.File), key=lambda i: i.path)
-        uri = lambda i: f"{given}/{i.base_name}"  # noqa: B023, E731
-        zips = [i for i in inside if i.base_name.lower().endswith(".zip")]
-        plain = [i for i in inside if named(i.base_name)]
-        for i in zips:
-            parts += _file(fs, uri(i), uri(i), i.path, i.size, range_bytes)
-        error = forms([i.base_name for i in plain])
-        if error and not (error == "no_conversations" and zips):
-            parts.append(Part(given, error=error))
-        for i in plain if not error else ():
-            parts += _file(fs, given, uri(i), i.path, i.size, range_bytes)
+    inside = sorted((i for i in fs.get_file_info(pafs.FileSelector(path)) if i.type == pafs.FileType.File), key=lambda i: i.path)
+    uri = lambda i: f"{given}/{i.base_name}"
+    zips = [i for i in inside if i.base_name.lower().endswith(".zip")]
+    plain = [i for i in inside if named(i.base_name)]
+    for i in zips:
+        parts += _file(fs, uri(i), uri(i), i.path, i.size, range_bytes)
+    error = forms([i.base_name for i in plain])
+    if error and not (error == "no_conversations" and zips):
+        parts.append(Part(given, error=error))
+    for i in plain if not error else ():
+        parts += _file(fs, given, uri(i), i.path, i.size, range_bytes)
     return parts
 
 
@@ -188,8 +209,9 @@ class ChatExports(DataSource):
     """Reads exports, follows a folder of them as a stream, and writes them.
 
     Options: path or paths (a JSON list) to read, or the folder to follow; plan, a folder that read_exports wrote; view, "records" or "ranges" (their
-    summaries). To write (a column raw): path, and layout: "split" (numbered files in the folder), "single" (a folder with one file for each task), "file" (a
-    JSON file of another name each) or "zip" (a zip each).
+    summaries); tasks, how many there are at least, if there are as many parts. To write (a column raw): path, and layout: "split" (numbered files in the folder),
+    "single" (a folder with one file for each task), "file" (a JSON file of another name each) or "zip" (a zip each); by, a column with the number of a row's file,
+    by which the rows of a task are in order and which no two tasks share: else a task writes one file, with its own number.
     """
 
     @classmethod
@@ -208,7 +230,7 @@ class ChatExports(DataSource):
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
         if overwrite:
             raise ValueError("exports are only added")
-        return _Writer(self.options["path"].rstrip("/"), self.options.get("layout", "split"))
+        return _Writer(self.options["path"].rstrip("/"), self.options.get("layout", "split"), self.options.get("by"))
 
 
 class _Reader(DataSourceReader):
@@ -216,25 +238,26 @@ class _Reader(DataSourceReader):
         self.options, self.columns = options, [f.name for f in schema]
         self.ranges = options.get("view") == "ranges"
 
-    def partitions(self) -> list[Part]:
-        if self.ranges:
-            return [Part(**p) for p in json.loads(self.options["parts"])]
+    def partitions(self) -> list[Task]:
         if "plan" in self.options:
-            return planned(self.options["plan"])
-        paths = json.loads(self.options["paths"]) if "paths" in self.options else [self.options["path"]]
-        whole = listed(paths, 1 << 62)  # without a plan a file is one task's
-        return whole or [Part("", error="no_conversations")]
+            parts = planned(self.options["plan"])
+            if self.ranges:
+                parts = [p for p in parts if p.cut]
+        else:
+            paths = json.loads(self.options["paths"]) if "paths" in self.options else [self.options["path"]]
+            parts = listed(paths, 1 << 62) or [Part("", error="no_conversations")]  # without a plan a file is one task's
+        return dealt(parts, int(self.options.get("tasks", LEAST_TASKS)))
 
-    def read(self, part: Part) -> Iterator[tuple | pa.RecordBatch]:
+    def read(self, task: Task) -> Iterator[tuple | pa.RecordBatch]:
         if self.ranges:
-            row = summarized(part)
-            yield tuple(row[c] for c in self.columns)
+            for row in map(summarized, task.parts):
+                yield tuple(row[c] for c in self.columns)
         else:
-            yield from batches(part, self.columns)
+            yield from batches(task.parts, self.columns)
 
 
-def batches(part: Part, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """The records of a part up to its first error, with these columns of PLACED."""
+def batches(parts: Iterable[Part], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The records of each part up to its first error, with these columns of PLACED."""
     names = [c.split()[0] for c in PLACED.split(", ")]
     kinds = dict(zip(names, (pa.string(), pa.string(), *[pa.int64()] * 2, pa.string(), pa.string(), *[pa.int64()] * 2), strict=True))
     wanted = [names.index(c) for c in columns]
@@ -244,14 +267,15 @@ def batches(part: Part, columns: list[str]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[names[i]]) for i in wanted], columns)
 
     size = 0
-    for row in records(part):
-        rows.append((*row, part.come))
-        size += len(row[4] or "")
-        if len(rows) == BATCH_ROWS or size > 1 << 22:
-            yield batch()
-            rows, size = [], 0
-        if row[5]:
-            break  # nothing counts behind a part's first error
+    for part in parts:
+        for row in records(part):
+            rows.append((*row, part.come))
+            size += len(row[4] or "")
+            if len(rows) == BATCH_ROWS or size > 1 << 22:
+                yield batch()
+                rows, size = [], 0
+            if row[5]:
+                break  # nothing counts behind a part's first error
     yield batch()
 
 
@@ -277,7 +301,7 @@ class _Stream(DataSourceStreamReader):
         return [replace(p, come=t) for t, n in between for p in listed([f"{self.folder}/{n}"], 1 << 62)]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        return batches(part, self.columns)
+        return batches([part], self.columns)
 
     def commit(self, end: dict) -> None:
         """Nothing is removed: exports stay where they were put."""
@@ -285,45 +309,47 @@ class _Stream(DataSourceStreamReader):
 
 @dataclass
 class _Staged(WriterCommitMessage):
-    task: int
-    path: str | None
+    files: list[tuple[int, str]]  #: number and hidden path
 
 
 class _Writer(DataSourceWriter):
-    """A task writes its records as one array to a hidden file; all appear under their names when all tasks are done."""
+    """A task writes its records as an array to a hidden file, or to one for each number that it has; all appear under their names when all tasks are done."""
 
-    def __init__(self, folder: str, layout: str):
+    def __init__(self, folder: str, layout: str, by: str | None = None):
         if layout not in ("split", "single", "file", "zip"):
             raise ValueError(f"{layout!r} is no layout of exports")
-        self.folder, self.layout = folder, layout
+        self.folder, self.layout, self.by = folder, layout, by
 
     def write(self, rows: Iterator[Row]) -> _Staged:
         task = TaskContext.get().partitionId()
+        return _Staged([(number, self._staged(number, each)) for number, each in groupby(rows, lambda row: row[self.by] if self.by else task)])
+
+    def _staged(self, number: int, rows: Iterator[Row]) -> str:
         fs, path = opened(f"{self.folder}/_{uuid.uuid4().hex}")
-        first = next(rows, None)
-        if first is None:
-            return _Staged(task, None)
+        first = next(rows)
         fs.create_dir(path.rsplit("/", 1)[0])
         with fs.open_output_stream(path) as out:
             if self.layout == "zip":
                 with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
                     packed.writestr("chat.html", "<html></html>")
-                    with packed.open(f"conversations-{task:03}.json", "w", force_zip64=True) as member:
+                    with packed.open(f"conversations-{number:03}.json", "w", force_zip64=True) as member:
                         _write_array(member, first, rows)
             else:
                 _write_array(out, first, rows)
-        return _Staged(task, f"{self.folder}/{path.rsplit('/', 1)[1]}")
+        return f"{self.folder}/{path.rsplit('/', 1)[1]}"
 
     def commit(self, messages: list[_Staged | None]) -> None:
+        staged = [f for m in messages if m is not None for f in m.files]
+        if len({number for number, _ in staged}) < len(staged):
+            raise ValueError(f"rows of one file, by {self.by}, lie apart")
         name = {"split": "conversations-{:03}.json", "single": "export-{:03}/conversations.json", "file": "export-{:03}.json", "zip": "export-{:03}.zip"}[self.layout]
-        for m in messages:
-            if m is not None and m.path is not None:
-                moved(m.path, f"{self.folder}/{name.format(m.task)}")
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            list(pool.map(lambda f: moved(f[1], f"{self.folder}/{name.format(f[0])}"), staged))
 
     def abort(self, messages: list[_Staged | None]) -> None:
         for m in messages:
-            if m is not None and m.path is not None:
-                fs, path = opened(m.path)
+            for _, staged in m.files if m is not None else ():
+                fs, path = opened(staged)
                 fs.delete_file(path)
 
 
@@ -336,7 +362,7 @@ def _write_array(out: io.IOBase | pa.NativeFile, first: Row, rows: Iterator[Row]
 
 def entries(parts: list[Part], found: DataFrame) -> Iterator[Part]:
     """Parts with the state in which each range begins: summaries are taken in order, file by file."""
-    known = {(r.file, r.begin): [Summary(s, d, w, {**c}) for s, d, w, c in zip(r.state, r.depth, r.low, r.commas, strict=True)] for r in found.collect()}
+    known = {(r["file"], r["begin"]): [Summary(s, d, w, dict(c)) for s, d, w, c in zip(r["state"], r["depth"], r["low"], r["commas"], strict=True)] for r in found.toArrow().to_pylist()}
     entry = Entry()
     for part in parts:
         if not part.cut:
@@ -347,12 +373,17 @@ def entries(parts: list[Part], found: DataFrame) -> Iterator[Part]:
         entry = entry.after(known[part.file, part.begin])
 
 
-def plan(spark: SparkSession, parts: list[Part], folder: str) -> None:
-    """Writes the plan of parts: a job lexes the ranges of files that have several, a task each. The driver holds a short row a range."""
+def plan(spark: SparkSession, parts: list[Part], folder: str, tasks: int = LEAST_TASKS) -> None:
+    """Writes the plan of parts: a job lexes the ranges of files that have several. The driver holds a short row a range."""
     spark.dataSource.register(ChatExports)
-    cut = [p for p in parts if p.cut]
-    if cut:
-        found = spark.read.format("chat_export").option("view", "ranges").option("parts", json.dumps([asdict(p) for p in cut])).load()
+    if any(p.cut for p in parts):
+        _write_plan(spark, parts, f"{folder}-ranges")
+        found = spark.read.format("chat_export").option("view", "ranges").option("plan", f"{folder}-ranges").option("tasks", tasks).load()
         parts = list(entries(parts, found))
-    fields = T.StructType([T.StructField(n, {"str": T.StringType(), "int": T.LongType(), "bool": T.BooleanType()}[k.split(" ")[0]]) for n, k in Part.__annotations__.items()])
-    spark.createDataFrame([tuple(asdict(p).values()) for p in parts], fields).coalesce(1).write.parquet(folder)
+    _write_plan(spark, parts, folder)
+
+
+def _write_plan(spark: SparkSession, parts: list[Part], folder: str) -> None:
+    kinds = {"str": pa.string(), "int": pa.int64(), "bool": pa.bool_()}
+    schema = pa.schema([(n, kinds[k.split(" ")[0]]) for n, k in Part.__annotations__.items()])
+    spark.createDataFrame(pa.Table.from_pylist([vars(p) for p in parts], schema)).coalesce(1).write.parquet(folder)

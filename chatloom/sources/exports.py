@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.aliases import alias_key
 from chatloom.model import SLUG, UNKNOWN_PROJECT
 from chatloom.session import shared_folder, written
-from chatloom.sources.export_source import NUMBERED, RANGE_BYTES, SINGLE, listed, plan
+from chatloom.sources.export_source import LEAST_TASKS, NUMBERED, RANGE_BYTES, SINGLE, listed, plan
 
 _SPACE = re.compile(r"[ \t\r\n]*")
 
@@ -118,8 +118,9 @@ def read_exports(spark: SparkSession, *paths: str, range_bytes: int = RANGE_BYTE
     given. The records are written to the shared folder once.
     """
     folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    plan(spark, listed(list(paths), range_bytes), folder)
-    found = written(spark.read.format("chat_export").option("plan", folder).load())
+    tasks = max(LEAST_TASKS, 2 * spark.sparkContext.defaultParallelism)
+    plan(spark, listed(list(paths), range_bytes), folder, tasks)
+    found = written(spark.read.format("chat_export").option("plan", folder).option("tasks", tasks).load())
     first = found.where(F.col("error").isNotNull()).groupBy("export", "file").agg(F.min("at").alias("_first"))
     sound = found.join(first, ["export", "file"], "left").where(F.col("_first").isNull() | (F.col("at") < F.col("_first")) | F.col("error").isNotNull() & (F.col("at") == F.col("_first")))
     return sound.select("export", "file", "file_no", "pos", "raw", "error")

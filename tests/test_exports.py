@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.sources import json_ranges
+from chatloom.sources import export_source, json_ranges
 from chatloom.sources.export_source import ChatExports, listed
 from chatloom.sources.exports import read_exports, scan_array
 
@@ -141,3 +141,20 @@ def test_a_stream_follows_a_folder(spark, tmp_path):
     (tmp_path / "in" / "b" / "conversations-0.json").write_text("[3]")
     assert go() == ["1", "2", "3"]
     assert go() == ["1", "2", "3"]
+
+
+def test_small_files_share_tasks_that_write_and_read_them(spark, tmp_path):
+    folder = f"{tmp_path}/out"
+    spark.dataSource.register(export_source.ChatExports)
+    rows = spark.range(600).select(F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit("}")).alias("raw"), F.floor(F.col("id") / 4).alias("n"), "id")
+    rows.repartition(3, "n").sortWithinPartitions("n", "id").select("raw", "n").write.format("chat_export").option("layout", "file").option("by", "n").mode("append").save(folder)
+    paths = export_source.children(folder)
+    assert len(paths) == 150
+    plain = spark.read.format("chat_export").option("paths", json.dumps(paths)).load()
+    assert plain.rdd.getNumPartitions() == export_source.LEAST_TASKS
+    want = [(f"{folder}/export-{n:03}.json", k, f'{{"id": {4 * n + k}}}', None) for n in range(150) for k in range(4)]
+    for found in (plain, read_exports(spark, *paths, range_bytes=16)):
+        assert sorted((r.file, r.pos, r.raw, r.error) for r in found.collect()) == sorted(want)
+    with pytest.raises(Exception, match="lie apart"):
+        rows.repartition(3).select("raw", "n").write.format("chat_export").option("layout", "file").option("by", "n").mode("append").save(f"{tmp_path}/apart")
+    assert not export_source.children(f"{tmp_path}/apart")
